@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontamination, packing, secrets, sharding, simhash
+from . import ann, decontamination, packing, secrets, sharding, simhash, suffixes, windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,10 +22,18 @@ def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The old layout has all documents of a source in one of 12 shards, so a hot source makes it uneven."""
     old = F.pmod(F.xxhash64("source"), F.lit(12))
@@ -43,7 +51,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_neighbours, op4_decontamination, op7_sharding, op8_simhash, op10_secrets]
+    own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op6_windows, op7_sharding, op8_simhash, op10_secrets]
     return {f.__name__: f for f in own}
 
 
