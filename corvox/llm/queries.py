@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontamination, packing, secrets, sharding, simhash, suffixes, windows
+from . import ann, brown, decontamination, packing, secrets, sharding, simhash, suffixes, windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(decontamination.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op6_windows, op7_sharding, op8_simhash, op10_secrets]
+    own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op5_brown, op6_windows, op7_sharding, op8_simhash, op10_secrets]
     return {f.__name__: f for f in own}
 
 
