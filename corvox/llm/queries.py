@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, brown, decontamination, packing, secrets, sharding, simhash, suffixes, windows
+from . import ann, brown, decontamination, packing, secrets, sharding, simhash, suffixes, toxicity, windows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,12 +50,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op5_brown, op6_windows, op7_sharding, op8_simhash, op10_secrets]
+    own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op5_brown, op6_windows, op7_sharding, op8_simhash, op9_toxicity, op10_secrets]
     return {f.__name__: f for f in own}
 
 
