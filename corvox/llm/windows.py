@@ -13,7 +13,7 @@ from .blocks import bucket_bounds, covered, each, opened, packed, to_blocks, tot
 from .common import BYTE_VALUES, NOT_SPACE, chunks, fixed_hash, mix, partitions, prefix_hash, span_hash, words
 
 #: Bytes of text whose windows one bucket has, on average.
-BUCKET_BYTES = 1 << 23
+BUCKET_BYTES = 1 << 24
 
 
 def _windows(raw: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, ...]:
@@ -57,15 +57,20 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
             _, _, first, h, g = _windows(raw, at, n)
             h, k = np.unique(h, return_index=True)  # the first place of each
             g = g[k]
-            doc = np.array([_order(x) for x in ids], dtype=np.int64)[np.searchsorted(first, g, side="right") - 1] if len(g) else g
             bounds = bucket_bounds(h, buckets)
             some = np.flatnonzero(np.diff(bounds))
-            data = [packed(h[a:b], doc[a:b], g[a:b].astype(np.uint32)) for a, b in zip(bounds[some].tolist(), bounds[some + 1].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([row["block"]] * len(some), pa.int64()), pa.array(data, pa.binary())], ["bucket", "block", "data"])
+            data = [packed(h[a:b], g[a:b].astype(np.uint32)) for a, b in zip(bounds[some].tolist(), bounds[some + 1].tolist(), strict=True)]
+            # steps between the documents' ids and between their first words: less than an id for each window
+            docs_ = packed(np.diff([_order(x) for x in ids], prepend=0), np.diff(first[:-1], prepend=0).astype(np.uint32))
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([row["block"]] * len(some), pa.int64()), pa.array([docs_] * len(some), pa.binary()), pa.array(data, pa.binary())], ["bucket", "block", "docs", "data"])
 
     def later(table: pa.Table) -> pa.Table:
         owner = table.column("block").to_numpy()
-        (h, doc, g), of = unpacked_all(table.column("data").to_pylist(), "u8", "i8", "u4")
+        (h, g), of = unpacked_all(table.column("data").to_pylist(), "u8", "u4")
+        ends, doc = np.searchsorted(of, np.arange(len(owner) + 1)), np.empty(len(h), dtype=np.int64)
+        for k, x in enumerate(table.column("docs").to_pylist()):
+            ids, first = unpacked(x, "i8", "u4")
+            doc[ends[k] : ends[k + 1]] = np.cumsum(ids)[np.searchsorted(np.cumsum(first), g[ends[k] : ends[k + 1]], side="right") - 1]
         order = np.lexsort((g, owner[of], doc, h))
         again = np.zeros(len(h), dtype=bool)
         again[order[1:]] = h[order[1:]] == h[order[:-1]]
@@ -96,7 +101,7 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
         arrays = [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)]
         return pa.table(arrays[: 5 + with_text], ["doc_id", "n_words", "n_removed", "n_spans", "kept_sha256", "kept_text"][: 5 + with_text])
 
-    sent = blocks.mapInArrow(send, "bucket int, block long, data binary")
+    sent = blocks.mapInArrow(send, "bucket int, block long, docs binary, data binary")
     repeated = sent.groupBy("bucket").applyInArrow(later, "block long, data binary")
     schema = "doc_id long, n_words long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * with_text
     return blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(cut, schema)
