@@ -20,7 +20,7 @@ SCHEMA = "block long, ids array<long>, sizes array<int>, n_bytes long, data bina
 
 def packed(*columns: np.ndarray) -> bytes:
     """Columns of equal length, each with its bytes ordered by significance, compressed."""
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T.tobytes() for c in columns]
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns]
     return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
 

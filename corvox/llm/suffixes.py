@@ -143,11 +143,12 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         new = np.r_[True, (variant[1:] != variant[:-1]) | (h[1:] != h[:-1])] if len(h) else np.empty(0, dtype=bool)
         number = np.cumsum(new) - 1
         weight = np.bincount(number)[number] if len(number) else number
-        out = []
-        for k in np.unique(of).tolist():
-            own = of == k
-            first = own & new
-            out.append((bucket, int(owner[k]), packed(number[own].astype("u4"), place[own], left[own]), packed(number[first].astype("u4"), key[first].astype("u4"), weight[first].astype("u4"), place[first], left[first], right[first])))
+        out, by_row = [], np.argsort(of, kind="stable")
+        begins = np.flatnonzero(np.diff(of[by_row], prepend=-1))
+        for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(of)], strict=False):
+            own = by_row[a:b]
+            first = own[new[own]]
+            out.append((bucket, int(owner[of[own[0]]]), packed(number[own].astype("u4"), place[own], left[own]), packed(number[first].astype("u4"), key[first].astype("u4"), weight[first].astype("u4"), place[first], left[first], right[first])))
         columns = list(zip(*out, strict=True)) or [[]] * 4
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)], ["bucket", "block", "all", "first"])
 

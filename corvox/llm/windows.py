@@ -74,7 +74,9 @@ def remove_repeats(docs: DataFrame, n: int = 20, id_col: str = "doc_id", text_co
         order = np.lexsort((g, owner[of], doc, h))
         again = np.zeros(len(h), dtype=bool)
         again[order[1:]] = h[order[1:]] == h[order[:-1]]
-        found = [(int(owner[k]), packed(g[again & (of == k)])) for k in np.unique(of[again]).tolist()]
+        g, of = g[again], of[again]  # still by row
+        first = np.flatnonzero(np.diff(of, prepend=-1))
+        found = [(int(owner[of[a]]), packed(g[a:b])) for a, b in zip(first.tolist(), [*first[1:].tolist(), len(of)], strict=False)]
         return pa.table({"block": pa.array([x[0] for x in found], pa.int64()), "data": pa.array([x[1] for x in found], pa.binary())})
 
     def cut(key, block: pa.Table, found: pa.Table) -> pa.Table:
