@@ -65,21 +65,26 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Table and probe entries of each fingerprint. A table entry's key has one segment blanked. Two fingerprints
     with at most two differing bits have these in one segment (then their keys without that segment are equal) or
-    one each in two; for that case a probe flips each bit of the later of the two and blanks the earlier."""
+    one each in two; for that case probes clear each set bit of the later of the two and blank the earlier: of two
+    fingerprints that differ in a bit, one has it set."""
     blank = [np.uint64(~(0xFFFF << WIDTH * s) & 0xFFFFFFFFFFFFFFFF) for s in range(SEGMENTS)]
     for batch in batches:
         fp = np.asarray(batch.column("fp")).view(np.uint64)
         for a in range(0, len(fp), 1024):
-            own, keys, segments, probes = fp[a : a + 1024], [], [], []
+            own, keys, whose, segments, probes = fp[a : a + 1024], [], [], [], []
             for s in range(SEGMENTS):
                 keys.append(own & blank[s])
+                whose.append(own)
                 for bit in range(WIDTH * (s + 1), WIDTH * SEGMENTS):
-                    keys.append((own ^ np.uint64(1 << bit)) & blank[s])
+                    some = own[own & np.uint64(1 << bit) != 0]
+                    keys.append((some ^ np.uint64(1 << bit)) & blank[s])
+                    whose.append(some)
                 n = 1 + WIDTH * (SEGMENTS - s - 1)
                 segments += [s] * n
                 probes += [False] + [True] * (n - 1)
+            sizes = [len(x) for x in keys]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(segments, dtype=np.int32), len(own))), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.tile(own, len(keys)).view(np.int64)), pa.array(np.repeat(np.array(probes), len(own)))],
+                [pa.array(np.repeat(np.array(segments, dtype=np.int32), sizes)), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(whose).view(np.int64)), pa.array(np.repeat(np.array(probes), sizes))],
                 ["segment", "key", "fp", "probe"],
             )
 
@@ -190,3 +195,143 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     roots = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(roots, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+#: Of wide fingerprints: seeds of their 64-bit halves; segments that candidates must share but for one bit.
+WIDE_SEEDS = (42, 43)
+WIDE_SEGMENTS, WIDE_WIDTH = 6, 21
+
+
+def wide_fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and a 128-bit SimHash (two longs, x and y) of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            halves: list[list] = [[], []]
+            held, counts, size = [[], []], [], 0
+
+            def settle() -> None:
+                for k in range(2):
+                    halves[k].append(majority(b"".join(held[k]), np.array(counts, dtype=np.int64)))
+
+            for text in batch.column("text"):
+                own = (text.as_py() or "").lower().encode().split()
+                parts = [b" ".join(own)] * (len(own) > 0) if len(own) <= shingle else list(map(b" ".join, zip(*(own[k:] for k in range(shingle)), strict=False)))
+                for k, seed in enumerate(WIDE_SEEDS):
+                    held[k].append(b"".join(map(xxhash.xxh64_digest, parts, repeat(seed))))
+                counts.append(len(parts))
+                size += len(parts)
+                if size >= 1 << 17:
+                    settle()
+                    held, counts, size = [[], []], [], 0
+            settle()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.concatenate(h).view(np.int64)) for h in halves)], ["doc_id", "x", "y"])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, x long, y long")
+
+
+def _wide_segments(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
+    per, mask = WIDE_SEGMENTS // 2, np.uint64((1 << WIDE_WIDTH) - 1)
+    return [(half >> np.uint64(WIDE_WIDTH * k)) & mask for half in (x, y) for k in range(per)]
+
+
+def _wide_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A table entry for each segment, and a probe for each of its set bits: of two segments that differ in one bit
+    one has it set, and its probe without that bit meets the other."""
+    for batch in batches:
+        x, y, node = (np.asarray(batch.column(c)) for c in ("x", "y", "node"))
+        for k, own in enumerate(_wide_segments(x.view(np.uint64), y.view(np.uint64))):
+            rows, keys = [np.arange(len(own))], [own]
+            for bit in range(WIDE_WIDTH):
+                some = np.flatnonzero(own & np.uint64(1 << bit))
+                rows.append(some)
+                keys.append(own[some] ^ np.uint64(1 << bit))
+            row, key = np.concatenate(rows), np.concatenate(keys).astype(np.int64) | (k << WIDE_WIDTH)
+            probe = np.arange(len(row)) >= len(own)
+            for a in range(0, len(row), 1 << 16):
+                part = slice(a, a + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(node[row[part]]), pa.array(x[row[part]]), pa.array(y[row[part]]), pa.array(probe[part])], ["key", "node", "x", "y", "probe"])
+
+
+def _spread(x: np.ndarray, y: np.ndarray, probe: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the entries with one key, links that join what `distance` joins: from one entry after another that has been
+    reached to all that haven't been. A group of close copies is reached at once, so its work follows its size."""
+    left, to, by = np.arange(len(x)), [], []
+    while len(left):
+        queue, left = [left[0]], left[1:]
+        while queue and len(left):
+            k = queue.pop()
+            near = (np.bitwise_count(x[left] ^ x[k]) + np.bitwise_count(y[left] ^ y[k])) <= distance
+            found = left[near]
+            to += found.tolist()
+            by += [k] * len(found)
+            queue += found.tolist()
+            left = left[~near]
+    return np.array(to, dtype=np.int64), np.array(by, dtype=np.int64)
+
+
+def wide_links(distinct: DataFrame, distance: int) -> DataFrame:
+    """distinct: node, x, y. Links a, b between nodes of at most `distance` differing bits that share a segment but for
+    one bit: enough of them to have the same components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, held, rest = [], 0, None
+        names = ["key", "node", "x", "y", "probe"]
+
+        def forest() -> pa.RecordBatch:
+            a, b = _forest(pairs)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        def groups(key, node, x, y, probe) -> int:
+            first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+            last = np.r_[first[1:], len(key)]
+            tables = np.add.reduceat(~probe, first, dtype=np.int64)
+            some = (last - first > 1) & (tables > 0)
+            n = 0
+            for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True):
+                to, by = _spread(x[a:b].view(np.uint64), y[a:b].view(np.uint64), probe[a:b], distance)
+                if len(to):
+                    pairs.append((node[a:b][to], node[a:b][by]))
+                    n += len(to)
+            return n
+
+        for batch in batches:
+            own = [np.asarray(batch.column(c).to_numpy(zero_copy_only=False)) for c in names]
+            if rest is not None:
+                own = [np.concatenate(c) for c in zip(rest, own, strict=True)]
+            if not len(own[0]):
+                continue
+            cut = int(np.searchsorted(own[0], own[0][-1]))
+            rest = [c[cut:] for c in own]
+            if cut:
+                held += groups(*(c[:cut] for c in own))
+            if held >= HELD_LINKS:
+                yield forest()
+                pairs, held = [], 0
+        if rest is not None:
+            groups(*rest)
+        yield forest()
+
+    n = partitions(distinct.sparkSession)
+    entries = distinct.select("node", "x", "y").mapInArrow(_wide_entries, "key long, node long, x long, y long, probe boolean")
+    return entries.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 2, distance: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one row of each group of near copies: the one with the least id (null last).
+
+    Texts link whose 128-bit fingerprints over pairs of words differ in at most `distance` bits. With the default, of
+    texts that share 0.8 or more of their five-word shingles, about 99 in 100 link; unrelated texts differ in some
+    30 bits or more, as only close copies come below half of the bits' mean distance. Candidates share one of six
+    21-bit segments but for one bit at most. All blank texts are copies of each other, of which one row stays; of
+    repeated rows of one id one stays; an empty table stays empty; other columns stay as they are."""
+    prints = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("x", "y")), "prints")
+    nodes = written(prints.groupBy("node").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.min("doc_id").alias("first_id")), "nodes")
+    found = components(wide_links(nodes, distance))
+    rooted = nodes.join(found, "node", "left").select("first_id", F.coalesce("root", "node").alias("root"))
+    # rows of one id have one key even if their texts differ; a component of null ids alone keeps one of them
+    kept = written(rooted.groupBy("root").agg(F.min("first_id").alias("kept_id")).select("kept_id").distinct(), "kept")
+    own = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    if prints.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return own
+    return own.dropDuplicates([id_col])

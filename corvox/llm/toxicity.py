@@ -155,6 +155,15 @@ class Reader:
         return out
 
 
+class Scorer:
+    def __init__(self, model: CharacterModel, chosen: dict[str, int], weights: np.ndarray, intercept: float) -> None:
+        self.reader, self.weights, self.intercept = Reader(model, chosen), weights, intercept
+
+    def scores(self, texts: pa.Array) -> np.ndarray:
+        z = [self.intercept + sum(self.weights[k] for k in sorted(self.reader.features(t.as_py() or ""))) for t in texts]
+        return 1 / (1 + np.exp(-np.clip(np.array(z, dtype=np.float64), -500, 500)))
+
+
 def fit_logistic(indices: list[list[int]], y: np.ndarray, size: int, rounds: int = 400, ridge: float = 0.3) -> tuple[np.ndarray, float]:
     """Weights and intercept of a ridge logistic regression on sets of features, by accelerated gradient steps."""
     flat = np.array([k for x in indices for k in x], dtype=np.int64)
@@ -244,16 +253,25 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int
     Null and empty texts get the score of a text without features. Several labels of one id count as the greatest;
     null ids and null labels teach nothing; without labels of both kinds all rows get the share of toxic ones.
     Repeated rows each get their row; an empty table gives none; other columns are ignored. Texts aren't shuffled."""
-    model, chosen, w, b = train(docs, labels, folds=folds, fold=fold, id_col=id_col, text_col=text_col, **options)
-    sent = docs.sparkSession.sparkContext.broadcast((model, chosen, w, b))
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, folds=folds, fold=fold, id_col=id_col, text_col=text_col, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, chosen, w, b = sent.value
-        reader = Reader(model, chosen)
+        scorer = Scorer(*sent.value)
         for batch in batches:
-            z = [b + sum(w[k] for k in sorted(reader.features(t.as_py() or ""))) for t in batch.column("text")]
-            p = 1 / (1 + np.exp(-np.clip(np.array(z, dtype=np.float64), -500, 500)))
+            p = scorer.scores(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     own = id_and_text(docs, id_col, text_col).withColumn("held_out", crc_mod("doc_id", folds) == fold)
     return own.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs, with all their columns, that score() predicts 0 for."""
+    sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, **options))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer.scores(batch.column(text_col)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
