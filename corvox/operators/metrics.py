@@ -115,9 +115,9 @@ def dimensions(scores: DataFrame) -> DataFrame:
     """Each row once for each of the four standard breakdowns: dim, value, label, score."""
     dims = F.array(
         F.struct(F.lit("generator").alias("dim"), or_placeholder(F.col("generator"), "(real)").alias("value")),
-        F.struct(F.lit("engine"), or_placeholder(engine(F.col("generator")), "(real)")),
-        F.struct(F.lit("source"), or_placeholder(F.col("source"), "(unknown)")),
-        F.struct(F.lit("condition"), condition(F.col("augment"))),
+        F.struct(F.lit("engine").alias("dim"), or_placeholder(engine(F.col("generator")), "(real)").alias("value")),
+        F.struct(F.lit("source").alias("dim"), or_placeholder(F.col("source"), "(unknown)").alias("value")),
+        F.struct(F.lit("condition").alias("dim"), condition(F.col("augment")).alias("value")),
     )
     return scores.select(F.explode(dims).alias("d"), "label", "score").select("d.dim", "d.value", "label", "score")
 

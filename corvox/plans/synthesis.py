@@ -63,7 +63,7 @@ def references(df: DataFrame, wanted: DataFrame) -> DataFrame:
     longest = usable.agg(F.max("duration")).head()[0] or 0.0
     order = Window.partitionBy("speaker", "variant").orderBy("h_", "ref")
     shuffled = usable.withColumn("variant", F.explode(F.array(*(F.lit(k) for k in range(VARIANTS)))))
-    shuffled = shuffled.withColumn("h_", stable_hash(F.lit("ref"), "speaker", "variant", "ref")).withColumn("at_", F.row_number().over(order))
+    shuffled = shuffled.withColumn("h_", stable_hash(F.lit("ref"), F.col("speaker"), F.col("variant"), F.col("ref"))).withColumn("at_", F.row_number().over(order))
     if longest <= MOST_REF - TARGET_REF - GAP:
         shuffled = shuffled.where("at_ <= 5")
     lists = shuffled.groupBy("speaker", "variant").agg(F.sort_array(F.collect_list(F.struct("at_", "ref", "duration"))).alias("list_"))

@@ -159,20 +159,20 @@ def detect(spark: SparkSession, roots: str | list[str], depth: int = MOST_DEPTH)
         parts = F.split("rel", "/")
         levels = F.sequence(F.lit(0), F.least(F.size(parts) - 1, F.lit(depth)))
         at = files.select("name", "suffix", F.explode(F.transform(levels, lambda k: F.struct(F.array_join(F.slice(parts, 1, k), "/").alias("dir"), F.slice(parts, k + 1, F.size(parts)).alias("below")))).alias("d")).select("name", "suffix", "d.dir", "d.below")
-        crowded = at.where("size(below) > 1").groupBy("dir").agg(F.count_distinct(F.col("below")[0]).alias("n")).where(F.col("n") > MOST_CHILDREN)
+        crowded = at.where("size(below) > 1").groupBy("dir").agg(F.count_distinct(F.get("below", F.lit(0))).alias("n")).where(F.col("n") > MOST_CHILDREN)
         wide = [r.dir for r in crowded.select("dir").collect()]
-        first, last = F.lower(F.col("below")[0]), F.size("below")
+        first, last = F.lower(F.get("below", F.lit(0))), F.size("below")
         has = lambda c: F.max(F.when(c, 1).otherwise(0))
         facts = at.groupBy("dir").agg(
-            *(has((F.col("below")[0] == s) & (F.col("below")[1] == "prompts.txt") & (last == 2)).alias(f"p_{s}") for s in ("train", "test")),
-            *(has((F.col("below")[0] == s) & (F.col("below")[1] == "waves") & (last > 2)).alias(f"w_{s}") for s in ("train", "test")),
-            has((F.col("below")[1] == "waves") & F.col("below")[2].startswith("VIVOS")).alias("spk"),
-            has((F.col("below")[0] == "clips") & (last > 1)).alias("clips"), has(F.col("name").isin(*TSVS) & (last == 1)).alias("tsv"),
+            *(has((F.get("below", F.lit(0)) == s) & (F.get("below", F.lit(1)) == "prompts.txt") & (last == 2)).alias(f"p_{s}") for s in ("train", "test")),
+            *(has((F.get("below", F.lit(0)) == s) & (F.get("below", F.lit(1)) == "waves") & (last > 2)).alias(f"w_{s}") for s in ("train", "test")),
+            has((F.get("below", F.lit(1)) == "waves") & F.get("below", F.lit(2)).startswith("VIVOS")).alias("spk"),
+            has((F.get("below", F.lit(0)) == "clips") & (last > 1)).alias("clips"), has(F.col("name").isin(*TSVS) & (last == 1)).alias("tsv"),
             has(first.isin(*REAL_DIRS) & (last > 1)).alias("real"), has(first.isin(*FAKE_DIRS) & (last > 1)).alias("fake"), has(F.col("suffix").isin(*SUFFIXES)).alias("audio"),
         )
         scores = F.array(
             F.struct(F.least(F.lit(1.0), 0.4 * (F.col("p_train") + F.col("p_test")) + 0.1 * (F.col("w_train") + F.col("w_test")) + 0.2 * F.col("spk")).alias("s"), F.lit("vivos").alias("a")),
-            F.struct(0.5 * F.col("clips") + 0.4 * F.col("tsv"), F.lit("common_voice")), F.struct(0.9 * F.col("real") * F.col("fake"), F.lit("labeled_folder")), F.struct(0.15 * F.col("audio"), F.lit("folder")),
+            *(F.struct(v.alias("s"), F.lit(a).alias("a")) for v, a in ((0.5 * F.col("clips") + 0.4 * F.col("tsv"), "common_voice"), (0.9 * F.col("real") * F.col("fake"), "labeled_folder"), (0.15 * F.col("audio"), "folder"))),
         )
         level = F.when(F.col("dir") == "", 0).otherwise(F.size(F.split("dir", "/")))
         inside = ~F.exists(F.array(*(F.lit(w) for w in wide)), lambda w: (w == "") & (F.col("dir") != "") | F.col("dir").startswith(F.concat(w, F.lit("/")))) if wide else F.lit(True)
