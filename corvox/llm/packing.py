@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from bisect import bisect_left
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -40,7 +41,8 @@ def encoder(vocabulary: str, pattern: str) -> Callable[[str], np.ndarray]:
 def cuts(at: list[int], cost: list[float], window: int) -> list[int]:
     """Of the increasing candidates at (from 0), those that end windows in the cheapest way: padding and the cut's
     cost. best[i] = cost[i] + window - at[i] + min(best[j] + at[j] for at[i] - at[j] <= window): the minimum slides,
-    and a queue whose values increase holds what may still become it."""
+    and a queue whose values increase holds what may still become it. The last window costs nothing: more tokens
+    follow, or it is cut so that it needs no padding. Else its padding would be spread over the others."""
     best, came, queue = [0.0] * len(at), [0] * len(at), deque([(0.0, 0, 0)])
     pop, popleft, push = queue.pop, queue.popleft, queue.append
     for i in range(1, len(at)):
@@ -56,7 +58,11 @@ def cuts(at: list[int], cost: list[float], window: int) -> list[int]:
         while queue and queue[-1][0] >= value:
             pop()
         push((value, here, i))
-    out, i = [], len(at) - 1
+    i = len(at) - 1
+    if i:
+        low = bisect_left(at, at[i] - window)
+        came[i] = min(range(low, i), key=best.__getitem__)
+    out = []
     while i:
         out.append(at[i])
         i = came[i]
@@ -123,7 +129,7 @@ class _Stream:
 
 def pack(
     docs: DataFrame, vocabulary: str | None = None, pattern: str | None = None, window: int = 2048, sentence_cost: float = 1.0,
-    hard_cost: float = 24.0, grid: int = 32, settle_at: int = 1 << 19, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text",
+    hard_cost: float = 8.0, grid: int = 16, settle_at: int = 1 << 19, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Each partition of docs, in its order, as one stream of tokens (each document's ids, then id 1) cut into windows
     of at most `window` tokens: a row for each piece of a document in a window. Cuts lie at the ends of documents

@@ -17,7 +17,9 @@ from .grouping import suffix_array
 #: Starts from which strings choose among their anchors: longer makes fewer anchors and longer contexts.
 SPREAD = 65
 #: Bytes of text whose anchors one bucket has, on average; symbols that are suffix-sorted at once.
-BUCKET_BYTES, BATCH_SYMBOLS = 1 << 23, 1 << 17
+BUCKET_BYTES, BATCH_SYMBOLS = 1 << 23, 1 << 15
+#: A key whose contexts have more symbols is sliced.
+KEY_SYMBOLS = 1 << 14
 ANCHOR = ("u8", "u8", "u4", "u1", "u1")
 
 
@@ -83,24 +85,71 @@ def _sorted_batch(contexts: list[tuple[int, int, bytes, bytes]], need: int) -> I
     yield of[order][often], place[order][often]
 
 
+def _slices(contexts: list[tuple[int, int, bytes, bytes]], members: list[int], need: int, low: int, high: int) -> Iterator[list[tuple[int, bytes, bytes, list[int]]]]:
+    """A key's contexts in smaller groups, for strings that begin low to high - 1 places before the gram. They all hold
+    the columns from `low` places before it to `need - high` after it, so only contexts that agree there can have
+    equal ones; of each its part that matters is kept, equal parts as one (weight, before, after, members). Groups
+    that are still large are cut in halves; a single place leaves one part."""
+    groups: dict[tuple[bytes, bytes], dict[tuple[bytes, bytes], list]] = {}
+    for k in members:
+        _, weight, left, right = contexts[k]
+        if max(low, need - 1 - len(right)) > min(high - 1, len(left)):
+            continue
+        core = left[len(left) - low :], right[: need - high]
+        part = left[max(0, len(left) - high + 1) :], right[: need - 1 - low]
+        found = groups.setdefault(core, {}).setdefault(part, [0, []])
+        found[0] += weight
+        found[1].append(k)
+    for parts in groups.values():
+        if sum(w for w, _ in parts.values()) > 1:
+            if len(parts) * need <= KEY_SYMBOLS or high - low == 1:
+                yield [(w, *part, ks) for part, (w, ks) in parts.items()]
+            else:
+                middle, own = (low + high) // 2, [k for _, ks in parts.values() for k in ks]
+                yield from _slices(contexts, own, need, low, middle)
+                yield from _slices(contexts, own, need, middle, high)
+
+
 def repeated_starts(contexts: list[tuple[int, int, bytes, bytes]], need: int) -> list[list[tuple[int, int]]]:
     """Of each context, the ranges of places (first, last) at which a string begins that occurs more than once: in
-    contexts of the same key, each as often as its weight says. Contexts are sorted in batches of whole keys."""
+    contexts of the same key, each as often as its weight says. Contexts are sorted in batches of whole keys; a key
+    with many contexts is sliced first."""
+    by_key: dict[int, list[int]] = {}
+    for k, c in enumerate(contexts):
+        by_key.setdefault(c[0], []).append(k)
     out: list[list[tuple[int, int]]] = [[] for _ in contexts]
-    order = sorted(range(len(contexts)), key=lambda k: contexts[k][0])
-    a = 0
-    while a < len(order):
-        b, size = a, 0
-        while b < len(order) and (size < BATCH_SYMBOLS or contexts[order[b]][0] == contexts[order[b - 1]][0]):
-            size += len(contexts[order[b]][2]) + len(contexts[order[b]][3]) + 2
-            b += 1
-        for of, place in _sorted_batch([contexts[k] for k in order[a:b]], need):
+    held: list[tuple[int, int, bytes, bytes]] = []
+    owners: list[list[int]] = []
+
+    def settle() -> None:
+        for of, place in _sorted_batch(held, need):
             by = np.lexsort((place, of))
             of, place = of[by], place[by]
             new = np.flatnonzero(np.r_[True, (np.diff(of) != 0) | (np.diff(place) != 1)])
             for k, x, y in zip(of[new].tolist(), place[new].tolist(), place[np.r_[new[1:], len(of)] - 1].tolist(), strict=True):
-                out[order[a + k]].append((x, y))
-        a = b
+                for owner in owners[k]:
+                    shift = len(contexts[owner][2]) - len(held[k][2])
+                    out[owner].append((x + shift, y + shift))
+        held.clear()
+        owners.clear()
+
+    number, size = 0, 0
+    for members in by_key.values():
+        if len(members) * need <= KEY_SYMBOLS:
+            groups = iter([[(*contexts[k][1:], [k]) for k in members]])
+        else:
+            groups = _slices(contexts, members, need, 0, need)
+        for group in groups:
+            for weight, left, right, ks in group:
+                held.append((number, weight, left, right))
+                owners.append(ks)
+                size += len(left) + len(right) + 2
+            number += 1
+            if size >= BATCH_SYMBOLS:
+                settle()
+                size = 0
+    if held:
+        settle()
     return out
 
 
