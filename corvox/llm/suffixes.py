@@ -82,7 +82,8 @@ def _sorted_batch(contexts: list[tuple[int, int, bytes, bytes]], need: int) -> I
     groups = np.r_[0, np.cumsum(~same)]
     weights = np.array([c[1] for c in contexts])[of[order]]
     often = np.bincount(groups, weights=weights)[groups] > 1
-    yield of[order][often], place[order][often]
+    if often.any():
+        yield of[order][often], place[order][often]
 
 
 def _slices(contexts: list[tuple[int, int, bytes, bytes]], members: list[int], need: int, low: int, high: int) -> Iterator[list[tuple[int, bytes, bytes, list[int]]]]:
@@ -257,6 +258,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     sent = blocks.mapInArrow(send, "bucket int, block long, data binary")
     classes = written(sent.groupBy("bucket").applyInArrow(classify, "bucket int, block long, all binary, first binary"), "classes", codec="none")
     contexts = blocks.groupBy("block").cogroup(classes.select("block", "bucket", "first").groupBy("block")).applyInArrow(gather, "bucket int, data binary")
-    spans = contexts.groupBy("bucket").cogroup(classes.select("bucket", "block", "all").groupBy("bucket")).applyInArrow(sort, "block long, data binary")
+    # a bucket is little data and much work: as many tasks as buckets, which small sizes don't merge
+    contexts, members = contexts.repartition(buckets, "bucket"), classes.select("bucket", "block", "all").repartition(buckets, "bucket")
+    spans = contexts.groupBy("bucket").cogroup(members.groupBy("bucket")).applyInArrow(sort, "block long, data binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
     return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
