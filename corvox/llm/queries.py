@@ -35,7 +35,7 @@ def op5_brown(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.remove_repeats(_table(spark, sf_dir, "documents"))
+    return windows.remove_repeats(_table(spark, sf_dir, "documents")).drop("n_spans")
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,10 +58,42 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents"))
 
 
+#: DuckDB SQL for the operators that it can express.
+ORACLE = {
+    "op3_suffixes": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, s, substr(h, 2 * s + 1, 2) AS b, CASE WHEN 2 * s + 400 <= length(h) THEN md5_number(substr(h, 2 * s + 1, 400)) END AS w FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS s FROM d)),
+n AS (SELECT doc_id, s, b, CASE WHEN w IS NOT NULL AND count(*) OVER (PARTITION BY w) > 1 THEN 1 ELSE 0 END AS r FROM p),
+g AS (SELECT doc_id, s, b, max(r) OVER (PARTITION BY doc_id ORDER BY s ROWS 199 PRECEDING) AS gone FROM n),
+e AS (SELECT *, lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM g),
+a AS (SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (gone = 1 AND before = 0) AS n_spans, string_agg(b, '' ORDER BY s) FILTER (gone = 0) AS k FROM e GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, ''))) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)""",
+    "op4_decontamination": """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark WHERE item_id IS NOT NULL),
+bn AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(ws, i + 1, i + n), ' ') AS w FROM (SELECT *, unnest(range(len(ws) - n + 1)) AS i FROM bn)),
+dn AS (SELECT doc_id, ws, n FROM d, (SELECT DISTINCT n FROM bn) WHERE len(ws) >= n),
+dw AS (SELECT doc_id, i, n, array_to_string(list_slice(ws, i + 1, i + n), ' ') AS w FROM (SELECT *, unnest(range(len(ws) - n + 1)) AS i FROM dn)),
+hits AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, w)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op6_windows": """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, s, array_to_string(list_slice(ws, s + 1, s + 20), ' ') AS w FROM (SELECT *, unnest(range(len(ws) - 19)) AS s FROM d WHERE len(ws) >= 20)),
+again AS (SELECT doc_id, s FROM w QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM again),
+kept AS (SELECT doc_id, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS k FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS p FROM d) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kept, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (doc_id)""",
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [op1_packing, op2_neighbours, op3_suffixes, op4_decontamination, op5_brown, op6_windows, op7_sharding, op8_simhash, op9_toxicity, op10_secrets]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
