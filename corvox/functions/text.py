@@ -127,3 +127,11 @@ def toneless(config_json: Column, families: tuple[str, ...] = ("vi",)) -> Column
     """"all", "some" or "none" of the tone symbols are missing."""
     n = F.size(missing_tones(config_json, families))
     return F.when(n == 8, "all").when(n > 0, "some").otherwise("none")
+
+
+def with_tones(voices, config: str = "config", families: tuple[str, ...] = ("vi",)):
+    """The rows of a table of voices whose JSON config lacks no tone symbol; an error if none is left."""
+    kept = voices.where(toneless(F.col(config), families) == "none")
+    if kept.isEmpty():
+        raise ValueError("every voice lacks tone symbols")
+    return kept
