@@ -450,3 +450,18 @@ def test_sliced_keys_give_the_same_starts(monkeypatch):
             monkeypatch.setattr(suffixes, "KEY_SYMBOLS", most)
             got = suffixes.repeated_starts(contexts, need)
             assert [{p for x, y in r for p in range(x, y + 1)} for r in got] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=12), st.sampled_from(["<|endoftext|>", "'s", "  ", "\u0085", "　", "１²Ⅷ", "é́"])), max_size=12))
+def test_ids_are_the_tokenizers(parts):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = _tokenizer.setdefault("tok", Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")) if not _tokenizer else None)
+    encode = _tokenizer.setdefault("own", packing.encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN) if len(_tokenizer) < 2 else None)
+    text = "".join(parts)
+    assert encode(text).tolist() == tok.encode(text, add_special_tokens=False).ids
+
+
+_tokenizer: dict = {}
