@@ -54,7 +54,8 @@ def anchors(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, .
         new = np.flatnonzero(np.r_[True, (np.diff(chosen) != 0) | (np.diff(start) != 1)])
         first, last, place = start[new], start[np.r_[new[1:], len(start)] - 1], chosen[new]
         variant = mix(span_hash(prefix, first, last + length) ^ (place - first).astype(np.uint64))
-        out.append((h[place], variant, (place + at[a]).astype(np.uint32), (place - first).astype(np.uint8), (last + length - place - gram).astype(np.uint8)))
+        # least hashes are small ones: mixed again, they spread over all buckets
+        out.append((mix(~h[place]), variant, (place + at[a]).astype(np.uint32), (place - first).astype(np.uint8), (last + length - place - gram).astype(np.uint8)))
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.empty(0, dtype=k) for k in ANCHOR)
 
 
