@@ -35,6 +35,8 @@ STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
 BEGINNINGS = (3, 4, 5, 6)
 BEAM, CACHE = 24, 200_000
+#: Log-odds of every text where labels of one kind or none teach nothing.
+UNTAUGHT = -4.0
 
 
 class CharacterModel:
@@ -227,7 +229,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_
     totals = texts.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).head()
     bad, good = totals[0], totals[1]
     if not bad or not good:
-        return model, {}, np.zeros(0), float(np.log((bad + 0.5) / (good + 0.5)))
+        return model, {}, np.zeros(0), UNTAUGHT
     p = bad / (bad + good)
     tally = texts.mapInArrow(features, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     both = F.col("clean") + F.col("toxic")
@@ -251,7 +253,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int
     of the label toxic), predicted (1 from threshold up). Only texts are inputs; labels of held-out rows aren't used.
 
     Null and empty texts get the score of a text without features. Several labels of one id count as the greatest;
-    null ids and null labels teach nothing; without labels of both kinds all rows get the share of toxic ones.
+    null ids and null labels teach nothing; without labels of both kinds nothing is learned and all rows score 0.018.
     Repeated rows each get their row; an empty table gives none; other columns are ignored. Texts aren't shuffled."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, folds=folds, fold=fold, id_col=id_col, text_col=text_col, **options))
 

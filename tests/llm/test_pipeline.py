@@ -27,3 +27,20 @@ def test_stages_keep_clean_documents_and_columns(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == set(kept[3])
     assert corpus_pipeline.ORACLE_SQL is None and len(queries.queries()) == 10
+
+
+def test_stages_take_empty_tables_nulls_and_clashing_columns(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node long, kept string, hits string, score double, doc struct<text: string>"
+    odd = [(1, None, None, None, None, 1, "k", None, None, None), (None, "a b c", None, None, 5, 1, "k", "h", 0.1, ("x",)), (1, None, None, None, None, 1, "k", None, None, None), (2, "w " * 60_000, "en", "s", 0, 1, "k", "h", 0.1, ("x",)), (3, "", "en", "s", 0, 1, "k", "h", 0.1, ("x",))]
+    spark.createDataFrame([(None, 1, None), (1, None, 1), (2, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(None, "x"), (1, None), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for rows in (odd, []):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, str(tmp_path))
+            n = got.count()
+            if name == "packing":
+                assert got.where("length <= 0 or length > 2048").isEmpty()
+            else:
+                assert got.columns == docs.columns and n <= len(rows), name
+            assert n > 0 or not rows, name
