@@ -16,10 +16,10 @@ from .grouping import suffix_array
 
 #: Starts from which strings choose among their anchors: longer makes fewer anchors and longer contexts.
 SPREAD = 65
-#: Bytes of text whose anchors one bucket has, on average; symbols that are suffix-sorted at once.
-BUCKET_BYTES, BATCH_SYMBOLS = 1 << 23, 1 << 15
-#: A key whose contexts have more symbols is sliced.
-KEY_SYMBOLS = 1 << 14
+#: Bytes of text whose anchors one bucket has, on average; contexts that are suffix-sorted at once, in whole keys.
+BUCKET_BYTES, BATCH_CONTEXTS = 1 << 23, 1 << 11
+#: A key that has more contexts is sliced.
+KEY_CONTEXTS = 1 << 11
 ANCHOR = ("u8", "u8", "u4", "u1", "u1")
 
 
@@ -59,32 +59,55 @@ def anchors(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, .
     return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else tuple(np.empty(0, dtype=k) for k in ANCHOR)
 
 
-def _sorted_batch(contexts: list[tuple[int, int, bytes, bytes]], need: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """contexts: (key, weight, bytes before the gram, bytes after it). The text has each context with one symbol for
-    its gram, then 0. A string of `length` bytes is `need` symbols: those that agree lie side by side among the
-    suffixes. Yields, of each group of equal strings that occurs more than once: contexts, and places in them."""
-    keys = {k: 258 + i for i, k in enumerate(dict.fromkeys(c[0] for c in contexts))}
-    parts, begins, at = [], [], 0
-    for key, _, left, right in contexts:
-        parts.append(np.r_[np.frombuffer(left, dtype=np.uint8).astype(np.int64) + 2, keys[key], np.frombuffer(right, dtype=np.uint8).astype(np.int64) + 2, 1])
-        begins.append(at)
-        at += len(parts[-1])
-    text = np.concatenate([*parts, [0]])
-    of = np.repeat(np.arange(len(contexts)), [len(p) for p in parts])
-    place = np.arange(len(text) - 1) - np.repeat(begins, [len(p) for p in parts])
-    left = np.array([len(c[2]) for c in contexts])
-    order = suffix_array(text)
-    order = order[order < len(text) - 1]
-    order = order[place[order] <= np.minimum(left, [len(p) - 1 - need for p in parts])[of[order]]]
-    if not len(order):
-        return
-    whole = np.lib.stride_tricks.sliding_window_view(text, need)
-    same = np.concatenate([(whole[order[a : a + 65536][1:]] == whole[order[a : a + 65536][:-1]]).all(axis=1) if k == 0 else (whole[order[a : a + 65536]] == whole[order[a - 1 : a - 1 + len(order[a : a + 65536])]]).all(axis=1) for k, a in enumerate(range(0, len(order), 65536))])
-    groups = np.r_[0, np.cumsum(~same)]
-    weights = np.array([c[1] for c in contexts])[of[order]]
-    often = np.bincount(groups, weights=weights)[groups] > 1
-    if often.any():
-        yield of[order][often], place[order][often]
+def _common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each place of text, how many symbols its suffix shares with the one that shares most: a neighbour in order."""
+    n, shared = len(text), np.zeros(len(order) - 1, dtype=np.int64)
+    alive, k = np.arange(len(order) - 1), 0
+    while len(alive):
+        x, y = order[alive] + k, order[alive + 1] + k
+        inside = (x < n) & (y < n)
+        alive = alive[inside]
+        alive = alive[(text[x[inside]] == text[y[inside]]) & (text[x[inside]] > 1)]  # separators agree with nothing
+        k += 1
+        shared[alive] = k
+    out = np.zeros(n, dtype=np.int64)
+    out[order] = np.maximum(np.r_[0, shared], np.r_[shared, 0])
+    return out
+
+
+def _sorted_batch(contexts: list[tuple[int, int, bytes, bytes]], need: int) -> tuple[np.ndarray, np.ndarray]:
+    """contexts: (key, weight, bytes before the gram, bytes after it), those of a key together. Which of them, and at
+    which places in them, a string begins that occurs more than once.
+
+    Contexts of a key are aligned at their gram, so what all of them agree in tells no string from another and is
+    left out: the text holds, for each context, its bytes in the columns in which its key's contexts differ, and one
+    symbol for the gram. A string is repeated if its context is, or if the suffix that begins with its first symbol
+    shares all of its symbols with a neighbour in suffix order."""
+    wide, n = need - 1, len(contexts)
+    left, right = (np.array([len(c[k]) for c in contexts]) for k in (2, 3))
+    cells = np.zeros((n, 2 * wide + 2), dtype=np.int32)  # bytes before, gram, bytes after, end; 0: none
+    column = np.arange(wide)
+    cells[:, :wide][column >= (wide - left)[:, None]] = np.frombuffer(b"".join(c[2] for c in contexts), dtype=np.uint8).astype(np.int32) + 2
+    cells[:, wide + 1 : -1][column < right[:, None]] = np.frombuffer(b"".join(c[3] for c in contexts), dtype=np.uint8).astype(np.int32) + 2
+    key = np.array([c[0] for c in contexts])
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    of = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+    differ = np.logical_or.reduceat(cells != cells[first][of], first, axis=0)[of]
+    cells[:, wide], cells[:, -1] = 258 + of, 1
+    kept = differ & (cells > 0)
+    kept[:, wide] = kept[:, -1] = True
+    text = np.r_[cells[kept], 0]
+    before = np.zeros((n, 2 * wide + 3), dtype=np.int64)
+    np.cumsum(kept, axis=1, out=before[:, 1:])
+    begins = np.r_[0, np.cumsum(before[:, -1])[:-1]]
+    shared = _common_prefixes(text, suffix_array(text))
+    # a string that begins in column s ends in column s + need - 1
+    start = np.arange(need)
+    symbols = before[:, need : 2 * need] - before[:, :need]
+    often = (shared[begins[:, None] + before[:, :need]] >= symbols) | (np.array([c[1] for c in contexts]) > 1)[:, None]
+    often &= (start >= (wide - left)[:, None]) & (start <= right[:, None])
+    context, at = np.nonzero(often)
+    return context, at - (wide - left)[context]
 
 
 def _slices(contexts: list[tuple[int, int, bytes, bytes]], members: list[int], need: int, low: int, high: int) -> Iterator[list[tuple[int, bytes, bytes, list[int]]]]:
@@ -104,7 +127,7 @@ def _slices(contexts: list[tuple[int, int, bytes, bytes]], members: list[int], n
         found[1].append(k)
     for parts in groups.values():
         if sum(w for w, _ in parts.values()) > 1:
-            if len(parts) * need <= KEY_SYMBOLS or high - low == 1:
+            if len(parts) <= KEY_CONTEXTS or high - low == 1:
                 yield [(w, *part, ks) for part, (w, ks) in parts.items()]
             else:
                 middle, own = (low + high) // 2, [k for _, ks in parts.values() for k in ks]
@@ -124,20 +147,19 @@ def repeated_starts(contexts: list[tuple[int, int, bytes, bytes]], need: int) ->
     owners: list[list[int]] = []
 
     def settle() -> None:
-        for of, place in _sorted_batch(held, need):
-            by = np.lexsort((place, of))
-            of, place = of[by], place[by]
-            new = np.flatnonzero(np.r_[True, (np.diff(of) != 0) | (np.diff(place) != 1)])
-            for k, x, y in zip(of[new].tolist(), place[new].tolist(), place[np.r_[new[1:], len(of)] - 1].tolist(), strict=True):
-                for owner in owners[k]:
-                    shift = len(contexts[owner][2]) - len(held[k][2])
-                    out[owner].append((x + shift, y + shift))
+        of, place = _sorted_batch(held, need)  # sorted by both
+        new = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(place, prepend=-2) != 1))
+        last = place[np.r_[new[1:], len(of)] - 1] if len(of) else place
+        for k, x, y in zip(of[new].tolist(), place[new].tolist(), last.tolist(), strict=True):
+            for owner in owners[k]:
+                shift = len(contexts[owner][2]) - len(held[k][2])
+                out[owner].append((x + shift, y + shift))
         held.clear()
         owners.clear()
 
     number, size = 0, 0
     for members in by_key.values():
-        if len(members) * need <= KEY_SYMBOLS:
+        if len(members) <= KEY_CONTEXTS:
             groups = iter([[(*contexts[k][1:], [k]) for k in members]])
         else:
             groups = _slices(contexts, members, need, 0, need)
@@ -145,9 +167,9 @@ def repeated_starts(contexts: list[tuple[int, int, bytes, bytes]], need: int) ->
             for weight, left, right, ks in group:
                 held.append((number, weight, left, right))
                 owners.append(ks)
-                size += len(left) + len(right) + 2
+            size += len(group)
             number += 1
-            if size >= BATCH_SYMBOLS:
+            if size >= BATCH_CONTEXTS:
                 settle()
                 size = 0
     if held:

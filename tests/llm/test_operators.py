@@ -446,8 +446,9 @@ def test_sliced_keys_give_the_same_starts(monkeypatch):
                     x = (k, a[p:], b[: need - 1 - (len(a) - p)])
                     counts[x] = counts.get(x, 0) + w
         want = [{p for p in range(len(a) + 1) if counts.get((k, a[p:], b[: need - 1 - (len(a) - p)]), 0) > 1 and len(a) - p + 1 + len(b) >= need} for k, _, a, b in contexts]
-        for most in (1, 50, 10_000):
-            monkeypatch.setattr(suffixes, "KEY_SYMBOLS", most)
+        for most in (1, 5, 10_000):
+            monkeypatch.setattr(suffixes, "KEY_CONTEXTS", most)
+            monkeypatch.setattr(suffixes, "BATCH_CONTEXTS", most)
             got = suffixes.repeated_starts(contexts, need)
             assert [{p for x, y in r for p in range(x, y + 1)} for r in got] == want
 
