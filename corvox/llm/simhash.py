@@ -323,7 +323,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 2, distance: int = 20, i
     Texts link whose 128-bit fingerprints over pairs of words differ in at most `distance` bits. With the default, of
     texts that share 0.8 or more of their five-word shingles, about 99 in 100 link; unrelated texts differ in some
     30 bits or more, as only close copies come below half of the bits' mean distance. Candidates share one of six
-    21-bit segments but for one bit at most. All blank texts are copies of each other, of which one row stays; of
+    21-bit segments but for one bit at most: so all pairs of up to 11 differing bits are found, and most of up to 20. All blank texts are copies of each other, of which one row stays; of
     repeated rows of one id one stays; an empty table stays empty; other columns stay as they are."""
     prints = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("x", "y")), "prints")
     nodes = written(prints.groupBy("node").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.min("doc_id").alias("first_id")), "nodes")
