@@ -597,3 +597,17 @@ def pronunciation_audit(spark, d):
     grp = F.when(F.col("turn") % 4 == 0, "(real)").otherwise(F.concat(F.lit("eng_"), (F.col("conv_id") % 3).cast("string")))
     rows = views.hypotheses(spark, d).select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("utt_id"), grp.alias("grp"), few("ref_text"), few("hyp_text"))
     return _rounded(features.pronunciation_audit(rows), "wer")
+
+
+# ------------------------------------------------------------------ kernels: no SQL; tests hold them against plain code
+
+
+def without_sql(fn: Query) -> Query:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+@without_sql
+def band_embeddings(spark, d):
+    got = features.embed(views.signals(spark, d), rate=10)
+    return got.select("utt_id", F.size("embedding").alias("width"), F.round(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x), 4).alias("total"))
