@@ -17,7 +17,7 @@ from .components import components
 SEED = 42
 SEGMENTS, WIDTH = 4, 16
 #: Links held before a task hands on what they connect.
-HELD_LINKS = 200_000
+HELD_LINKS, GATHERED_LINKS = 200_000, 400_000
 
 
 def shingle_digests(text: bytes, shingle: int) -> list[bytes]:
@@ -181,6 +181,18 @@ def links(distinct: DataFrame) -> DataFrame:
     return by_key.mapInArrow(_linked, "a long, b long")
 
 
+def thinned(found: DataFrame) -> DataFrame:
+    """Links that connect the same nodes as found (a, b) does, as a task finds them among at most about GATHERED_LINKS:
+    tasks whose keys held the same close copies have each connected them in their own way."""
+    found = written(found, "found")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = _forest([(np.asarray(x.column("a")), np.asarray(x.column("b"))) for x in batches])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return found.coalesce(1 + found.count() // GATHERED_LINKS).mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: doc_id, fp (64-bit SimHash of its word shingles) and component_id, the smallest doc_id among the
     documents that links of two differing bits or fewer reach from it, itself included.
@@ -190,7 +202,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     repeated rows each get their row; an empty table gives none."""
     prints = written(fingerprints(docs, shingle, id_col, text_col), "prints")
     nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    found = components(links(nodes)).withColumnRenamed("node", "fp")
+    found = components(thinned(links(nodes))).withColumnRenamed("node", "fp")
     rooted = nodes.join(found, "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     roots = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = rooted.join(roots, "root").select("fp", "component_id")
@@ -327,7 +339,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 2, distance: int = 20, i
     repeated rows of one id one stays; an empty table stays empty; other columns stay as they are."""
     prints = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("x", "y")), "prints")
     nodes = written(prints.groupBy("node").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.min("doc_id").alias("first_id")), "nodes")
-    found = components(wide_links(nodes, distance))
+    found = components(thinned(wide_links(nodes, distance)))
     rooted = nodes.join(found, "node", "left").select("first_id", F.coalesce("root", "node").alias("root"))
     # rows of one id have one key even if their texts differ; a component of null ids alone keeps one of them
     kept = written(rooted.groupBy("root").agg(F.min("first_id").alias("kept_id")).select("kept_id").distinct(), "kept")
