@@ -29,7 +29,7 @@ SEPARATORS = " .-_*'~/\\"
 #: letter, a separator put into a word; and of a sign that is no letter at all.
 SIGN, WILD, STRETCH, SPLIT, KEEP = -1.5, -3.0, -1.0, -1.0, -4.0
 NOISE = re.compile(r"[^\W\d_]*(?:[0-9@$!|+€£(*]+[^\W\d_]|[^\W\d_][.\-_*'~/\\][^\W\d_])|([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W_]){2,}(?![^\W_])")
+SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W_]){2,31}(?![^\W_])")
 WORD = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
@@ -66,6 +66,8 @@ def decode(observed: str, model: CharacterModel) -> str:
     """Viterbi over the lattice of what the characters may stand for: the likeliest text by channel and model. States
     are the last two letters, the best BEAM of them at each place."""
     log, n = model.log, len(observed)
+    # between letters that all stand alone, separators are likelier to be noise
+    split, keep = (-0.1, -2.0) if SPACED.fullmatch(observed) else (SPLIT, -0.5)
     states: list[dict[tuple[int, int], tuple[float, tuple | None]]] = [{} for _ in range(n + 1)]
     states[0][0, 0] = (0.0, None)
     i = 0
@@ -86,8 +88,8 @@ def decode(observed: str, model: CharacterModel) -> str:
             for x in SIGNS.get(c, ""):
                 arcs.append((i + 1, x, WILD if c == "*" else SIGN))
             if c in SEPARATORS and 0 < i:
-                arcs.append((run, "", SPLIT))
-            arcs.append((i + 1, " ", -0.5 if c in SEPARATORS else KEEP))
+                arcs.append((run, "", split))
+            arcs.append((i + 1, " ", keep if c in SEPARATORS else KEEP))
         best = sorted(states[i].items(), key=lambda s: -s[1][0])[:BEAM]
         for to, text, cost in arcs:
             after = states[to]
@@ -133,7 +135,7 @@ class Reader:
                 own = [core]
             else:
                 own = WORD.findall(token)
-                if NOISE.search(token):
+                if NOISE.search(token) or SPACED.fullmatch(token):
                     own += WORD.findall(decode(token, self.model))
             if self.chosen is None:
                 found = tuple({p for w in own for p in parts(w)})
