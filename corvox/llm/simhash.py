@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -209,141 +210,213 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Of wide fingerprints: seeds of their 64-bit halves; segments that candidates must share but for one bit.
-WIDE_SEEDS = (42, 43)
-WIDE_SEGMENTS, WIDE_WIDTH = 6, 21
+#: Five-word shingles that are put last when prefixes are taken: at most so many, from a sample of so many texts.
+COMMON, SAMPLED = 1 << 18, 20_000
+#: Texts of which a task remembers that it has sent their entries.
+REMEMBERED = 1 << 18
+ENTRY = "key long, node long, size int, at int"
 
 
-def wide_fingerprints(docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and a 128-bit SimHash (two longs, x and y) of each row."""
+def shingle_set(text: str | None, shingle: int) -> set[bytes]:
+    """Shingles of lower-cased words; a text of fewer words is one shingle, one without words has none."""
+    own = (text or "").lower().encode().split()
+    if len(own) <= shingle:
+        return {b" ".join(own)} if own else set()
+    return set(map(b" ".join, zip(*(own[k:] for k in range(shingle)), strict=False)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            halves: list[list] = [[], []]
-            held, counts, size = [[], []], [], 0
 
-            def settle() -> None:
-                for k in range(2):
-                    halves[k].append(majority(b"".join(held[k]), np.array(counts, dtype=np.int64)))
+def _hashed(text: str | None, shingle: int) -> np.ndarray:
+    return np.unique(np.array([xxhash.xxh64_intdigest(x, SEED) for x in shingle_set(text, shingle)], dtype=np.uint64).view(np.int64))
 
-            for text in batch.column("text"):
-                own = (text.as_py() or "").lower().encode().split()
-                parts = [b" ".join(own)] * (len(own) > 0) if len(own) <= shingle else list(map(b" ".join, zip(*(own[k:] for k in range(shingle)), strict=False)))
-                for k, seed in enumerate(WIDE_SEEDS):
-                    held[k].append(b"".join(map(xxhash.xxh64_digest, parts, repeat(seed))))
-                counts.append(len(parts))
-                size += len(parts)
-                if size >= 1 << 17:
-                    settle()
-                    held, counts, size = [[], []], [], 0
-            settle()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(np.concatenate(h).view(np.int64)) for h in halves)], ["doc_id", "x", "y"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, x long, y long")
+def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of the shingles that are in four or more texts of a sample."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(_hashed(text.as_py(), shingle))], ["key"])
 
-def _wide_segments(x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-    per, mask = WIDE_SEGMENTS // 2, np.uint64((1 << WIDE_WIDTH) - 1)
-    return [(half >> np.uint64(WIDE_WIDTH * k)) & mask for half in (x, y) for k in range(per)]
+    share = min(1.0, SAMPLED / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1))
+    top = some.select("text").mapInArrow(run, "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(COMMON).toArrow()
+    key, count = top.column("key").to_numpy(), top.column("count").to_numpy()
+    return key[np.argsort(key)], count[np.argsort(key)]
 
 
-def _wide_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A table entry for each segment, and a probe for each of its set bits: of two segments that differ in one bit
-    one has it set, and its probe without that bit meets the other."""
-    for batch in batches:
-        x, y, node = (np.asarray(batch.column(c)) for c in ("x", "y", "node"))
-        for k, own in enumerate(_wide_segments(x.view(np.uint64), y.view(np.uint64))):
-            rows, keys = [np.arange(len(own))], [own]
-            for bit in range(WIDE_WIDTH):
-                some = np.flatnonzero(own & np.uint64(1 << bit))
-                rows.append(some)
-                keys.append(own[some] ^ np.uint64(1 << bit))
-            row, key = np.concatenate(rows), np.concatenate(keys).astype(np.int64) | (k << WIDE_WIDTH)
-            probe = np.arange(len(row)) >= len(own)
-            for a in range(0, len(row), 1 << 16):
-                part = slice(a, a + (1 << 16))
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(node[row[part]]), pa.array(x[row[part]]), pa.array(y[row[part]]), pa.array(probe[part])], ["key", "node", "x", "y", "probe"])
-
-
-def _spread(x: np.ndarray, y: np.ndarray, probe: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the entries with one key, links that join what `distance` joins: from one entry after another that has been
-    reached to all that haven't been. A group of close copies is reached at once, so its work follows its size."""
-    left, to, by = np.arange(len(x)), [], []
-    while len(left):
-        queue, left = [left[0]], left[1:]
-        while queue and len(left):
-            k = queue.pop()
-            near = (np.bitwise_count(x[left] ^ x[k]) + np.bitwise_count(y[left] ^ y[k])) <= distance
-            found = left[near]
-            to += found.tolist()
-            by += [k] * len(found)
-            queue += found.tolist()
-            left = left[~near]
-    return np.array(to, dtype=np.int64), np.array(by, dtype=np.int64)
-
-
-def wide_links(distinct: DataFrame, distance: int) -> DataFrame:
-    """distinct: node, x, y. Links a, b between nodes of at most `distance` differing bits that share a segment but for
-    one bit: enough of them to have the same components."""
+def _prefix_entries(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """texts: node, text. The first shingles of each text, as many as two texts of that similarity must share one of,
+    with the size of its set and their places. Any order that is the same for all texts will do: with the shingles
+    that are common in a sample last, few texts meet that aren't alike."""
+    sent = texts.sparkSession.sparkContext.broadcast(_common(texts, shingle))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (common, count), seen = sent.value, set()
+        for batch in batches:
+            keys, nodes, sizes, held = [], [], [], 0
+
+            def entries() -> pa.RecordBatch:
+                n = np.array([len(k) for k in keys])
+                at = [np.arange(len(k), dtype=np.int32) for k in keys]
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), n)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), n)), pa.array(np.concatenate(at))], ["key", "node", "size", "at"])
+
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                if node in seen:
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(node)
+                own = _hashed(text.as_py(), shingle)
+                if not len(own):
+                    continue
+                where = np.searchsorted(common, own)
+                rank = np.zeros(len(own), dtype=np.int64)
+                known = where < len(common)
+                known[known] = common[where[known]] == own[known]
+                rank[known] = count[where[known]]
+                keys.append(own[np.lexsort((own, rank))][: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1])
+                nodes.append(node)
+                sizes.append(len(own))
+                held += len(keys[-1])
+                if held >= 1 << 17:
+                    yield entries()
+                    keys, nodes, sizes, held = [], [], [], 0
+            if keys:
+                yield entries()
+
+    return texts.select("node", "text").mapInArrow(run, ENTRY)
+
+
+def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> DataFrame:
+    """What of_group yields for the columns (numpy) of each key's entries, one a node, where it has two or more."""
+    names = entries.columns
+
+    def groups(own: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+        new = np.r_[True, (own[0][1:] != own[0][:-1]) | (own[1][1:] != own[1][:-1])]
+        own = [c[new] for c in own]
+        first = np.flatnonzero(np.r_[True, own[0][1:] != own[0][:-1]])
+        last = np.r_[first[1:], len(own[0])]
+        for a, b in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
+            yield from of_group([c[a:b] for c in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, held, rest = [], 0, None
-        names = ["key", "node", "x", "y", "probe"]
-
-        def forest() -> pa.RecordBatch:
-            a, b = _forest(pairs)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        def groups(key, node, x, y, probe) -> int:
-            first = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-            last = np.r_[first[1:], len(key)]
-            tables = np.add.reduceat(~probe, first, dtype=np.int64)
-            some = (last - first > 1) & (tables > 0)
-            n = 0
-            for a, b in zip(first[some].tolist(), last[some].tolist(), strict=True):
-                to, by = _spread(x[a:b].view(np.uint64), y[a:b].view(np.uint64), probe[a:b], distance)
-                if len(to):
-                    pairs.append((node[a:b][to], node[a:b][by]))
-                    n += len(to)
-            return n
+        rest: list[list[np.ndarray]] = []
+        held: list[list[np.ndarray]] = []
+        size = 0
+
+        def settled(own: list[np.ndarray], last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal size
+            for found in groups(own) if len(own[0]) else ():
+                held.append(found)
+                size += len(found[0])
+                if size >= 1 << 16:
+                    yield out()
+                    size = 0
+            if last and held:
+                yield out()
+
+        def out() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], columns)
+            held.clear()
+            return made
 
         for batch in batches:
             own = [np.asarray(batch.column(c).to_numpy(zero_copy_only=False)) for c in names]
-            if rest is not None:
-                own = [np.concatenate(c) for c in zip(rest, own, strict=True)]
             if not len(own[0]):
                 continue
-            cut = int(np.searchsorted(own[0], own[0][-1]))
-            rest = [c[cut:] for c in own]
-            if cut:
-                held += groups(*(c[:cut] for c in own))
-            if held >= HELD_LINKS:
-                yield forest()
-                pairs, held = [], 0
-        if rest is not None:
-            groups(*rest)
-        yield forest()
+            if rest and rest[0][0][0] == own[0][-1]:
+                rest.append(own)  # all of one key so far
+                continue
+            whole = [np.concatenate(c) for c in zip(*rest, own, strict=True)]
+            cut = len(whole[0]) - int((whole[0][::-1] != whole[0][-1]).argmax()) if (whole[0] != whole[0][-1]).any() else 0
+            rest = [[c[cut:] for c in whole]]
+            yield from settled([c[:cut] for c in whole], False)
+        if rest:
+            yield from settled([np.concatenate(c) for c in zip(*rest, strict=True)], True)
+
+    n = partitions(entries.sparkSession)
+    return entries.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, schema)
+
+
+def _shared(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    yield group
+
+
+def _paired(similarity: float, stars: bool):
+    """Of one key's entries, the pairs (a, b) that can be similar by sizes and by what can follow the key in both: of
+    nodes of different roots; for stars, of a node only with the least set that its size allows."""
+
+    def pairs(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+        root = group[4] if len(group) > 4 else group[1]
+        if (root == root[0]).all():
+            return
+        order = np.argsort(group[2], kind="stable")
+        node, size, at, root = group[1][order], group[2][order].astype(np.int64), group[3][order].astype(np.int64), root[order]
+        ends = np.searchsorted(size, size / similarity + 1e-6, side="right")
+        k = 0
+        while k < len(node):
+            b = slice(k + 1, int(ends[k]))
+            most = np.minimum(size[k] - at[k], size[b] - at[b])
+            due = similarity / (1 + similarity) * (size[k] + size[b]) - 1e-6
+            to = node[b][(most >= due) & (root[b] != root[k])]
+            if len(to):
+                yield [np.minimum(to, node[k]), np.maximum(to, node[k])]
+            k = int(ends[k]) if stars else k + 1
+
+    return pairs
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts' shingle sets have that Jaccard similarity, by the shingles themselves."""
+    pairs = written(pairs.where("a <> b").distinct(), "pairs")
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    own = written(texts.join(met, "node", "left_semi").dropDuplicates(["node"]), "met")
+    both = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
 
-    n = partitions(distinct.sparkSession)
-    entries = distinct.select("node", "x", "y").mapInArrow(_wide_entries, "key long, node long, x long, y long, probe boolean")
-    return entries.repartition(n, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)
+                met = len(x & y)
+                kept.append(met >= similarity * (len(x) + len(y) - met))
+            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return written(both.mapInArrow(run, "a long, b long"), "similar")
+
+
+def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def without_near_copies(docs: DataFrame, shingle: int = 2, distance: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near copies: the one with the least id (null last).
 
-    Texts link whose 128-bit fingerprints over pairs of words differ in at most `distance` bits. With the default, of
-    texts that share 0.8 or more of their five-word shingles, about 99 in 100 link; unrelated texts differ in some
-    30 bits or more, as only close copies come below half of the bits' mean distance. Candidates share one of six
-    21-bit segments but for one bit at most: so all pairs of up to 11 differing bits are found, and most of up to 20. All blank texts are copies of each other, of which one row stays; of
+    Texts link exactly if their sets of five-word shingles have a Jaccard similarity of at least `similarity`, groups
+    are what links connect. Candidates are first the links of SimHash fingerprints and, of each shingle of the texts'
+    prefixes, a star; then all pairs that share a shingle of their prefixes and aren't connected yet, which leaves out
+    none. All are verified on the texts. All blank texts are copies of each other, of which one row stays; of
     repeated rows of one id one stays; an empty table stays empty; other columns stay as they are."""
-    prints = written(wide_fingerprints(docs, shingle, id_col, text_col).withColumn("node", F.xxhash64("x", "y")), "prints")
-    nodes = written(prints.groupBy("node").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.min("doc_id").alias("first_id")), "nodes")
-    found = components(thinned(wide_links(nodes, distance)))
-    rooted = nodes.join(found, "node", "left").select("first_id", F.coalesce("root", "node").alias("root"))
+    own = id_and_text(docs, id_col, text_col)
+    blank = F.col("text").isNull() | F.col("text").rlike(r"^[ \t\n\x0B\f\r]*$")
+    rows = own.withColumn("node", F.when(blank, F.lit(0).cast("long")).otherwise(F.xxhash64("text")))
+    texts = rows.where("node <> 0").select("node", "text")
+    ids = written(rows.select("node", "doc_id"), "ids")
+    nodes = written(ids.groupBy("node").agg(F.min("doc_id").alias("first_id")), "nodes")
+    # equal fingerprints and links between fingerprints, each by its least node
+    prints = written(fingerprints(texts, id_col="node").toDF("node", "fp").distinct(), "prints")
+    least = written(prints.groupBy("fp").agg(F.min("node").alias("least")), "least")
+    close = thinned(links(least)).join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    close = close.union(prints.join(least, "fp").select("least", "node"))
+    shared = written(_by_key(_prefix_entries(texts, shingle, similarity), _shared, ENTRY.replace(" long", "").replace(" int", "").split(", "), ENTRY), "shared")
+    stars = _by_key(shared, _paired(similarity, True), ["a", "b"], "a long, b long")
+    first = _similar(close.union(stars), texts, shingle, similarity)
+    roots = written(_rooted(nodes, first), "roots")
+    across = _by_key(shared.join(roots.select("node", "root"), "node").select("key", "node", "size", "at", "root"), _paired(similarity, False), ["a", "b"], "a long, b long")
+    rooted = _rooted(nodes, first.union(_similar(across, texts, shingle, similarity)))
     # rows of one id have one key even if their texts differ; a component of null ids alone keeps one of them
     kept = written(rooted.groupBy("root").agg(F.min("first_id").alias("kept_id")).select("kept_id").distinct(), "kept")
     own = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    if prints.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if ids.groupBy("doc_id").count().where("count > 1").isEmpty():
         return own
     return own.dropDuplicates([id_col])

@@ -346,6 +346,28 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in got.collect()) == [*range(0, 40, 5), 100, 102] and got.columns == ["doc_id", "text", "node"]
 
 
+def test_near_copies_are_those_of_a_brute_force_search(spark):
+    """Texts of distinct words with one run appended, cut or replaced, just above and below the similarity."""
+    rng = random.Random(5)
+    run = lambda n: [f"{rng.randrange(1 << 30):x}" for _ in range(n)]
+    rows, line = [], run(12)
+    for g in range(60):
+        w = line + run(rng.randint(40, 250))
+        n = len(w)
+        for v in (w, w + run(round(n * rng.uniform(0.15, 0.4))), w[: round(n * rng.uniform(0.7, 0.85))], w[: n // 2] + run(round(n * rng.uniform(0.05, 0.2))) + w[n // 2 + n // 10 :]):
+            rows.append((len(rows), " ".join(v)))
+    sets = [simhash.shingle_set(t, 5) for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            met = len(sets[a] & sets[b])
+            if met >= 0.75 * (len(sets[a]) + len(sets[b]) - met):
+                root = [root[b] if x == root[a] else x for x in root]
+    want = sorted(min(k for k, x in enumerate(root) if x == r) for r in set(root))
+    got = simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in got.collect()) == want and 60 < len(want) < 200
+
+
 # ------------------------------------------------------------------ toxicity
 
 
