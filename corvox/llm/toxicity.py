@@ -28,8 +28,13 @@ SEPARATORS = " .-_*'~/\\"
 #: Log-probabilities of what the channel does: a sign for a letter, any of the letters a wildcard may be, a stretched
 #: letter, a separator put into a word; and of a sign that is no letter at all.
 SIGN, WILD, STRETCH, SPLIT, KEEP = -1.5, -3.0, -1.0, -1.0, -4.0
-NOISE = re.compile(r"[^\W\d_]*(?:[0-9@$!|+€£(*]+[^\W\d_]|[^\W\d_][.\-_*'~/\\][^\W\d_])|([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<![^\W_])[^\W\d_](?:[ .\-_*]{1,2}[^\W_]){2,31}(?![^\W_])")
+#: What a token with a letter is decoded for: a sign, separators between letters or digits, a stretched letter.
+NOISE = re.compile(r"[0-9@$!|+€£(*]|[^\W_][.\-_'~/\\]+[^\W_]|([^\W\d_])\1\1")
+LETTER = re.compile(r"[^\W\d_]")
+#: Letters, digits and signs that stand alone; a long run is decoded in windows that overlap.
+SPACED = re.compile(r"(?<![^\W_])(?:[^\W_]|[@$!|+€£(])(?:[ .\-_*]{1,3}(?:[^\W_]|[@$!|+€£(])){2,}(?![^\W_])")
+WINDOW, OVERLAP = 256, 96
+GAP = re.compile(r"[ .\-_*]+")
 WORD = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
@@ -120,6 +125,19 @@ def parts(word: str) -> list[str]:
     return [word + "$", *(word[:k] for k in BEGINNINGS if len(word) > k)]
 
 
+def windows(run: str) -> Iterator[str]:
+    """A run of letters that stand alone, in windows: no word of up to OVERLAP signs and gaps is cut in all of them. Where
+    gaps differ, what the wider ones part is given too."""
+    for a in range(0, max(1, len(run) - OVERLAP), WINDOW - OVERLAP):
+        yield run[a : a + WINDOW].strip(SEPARATORS)
+    gaps = [len(g) for g in GAP.findall(run)]
+    if min(gaps) < max(gaps):
+        for part in re.split(r"[ .\-_*]{%d,}" % (min(gaps) + 1), run):
+            if len(part) > 4:
+                for a in range(0, max(1, len(part) - OVERLAP), WINDOW - OVERLAP):
+                    yield part[a : a + WINDOW].strip(SEPARATORS)
+
+
 class Reader:
     """The features of texts: words as written, and what tokens with signs, separators or stretched letters, and runs
     of spaced letters, are restored to. Tokens are cached, as most are met again."""
@@ -131,12 +149,15 @@ class Reader:
         found = self.cache.get(token)
         if found is None:
             core = token.strip(PUNCTUATION)
-            if core.isalpha() and not STRETCHED.search(core):
+            if core.isalpha() and not STRETCHED.search(core) and not NOISE.search(token):
                 own = [core]
             else:
                 own = WORD.findall(token)
-                if NOISE.search(token) or SPACED.fullmatch(token):
-                    own += WORD.findall(decode(token, self.model))
+                if LETTER.search(token):
+                    # closing and opening punctuation may be letters' signs ('naz!') or not ('hat3!')
+                    for seen in {token, core}:
+                        if NOISE.search(seen) or SPACED.fullmatch(seen):
+                            own += WORD.findall(decode(seen, self.model))
             if self.chosen is None:
                 found = tuple({p for w in own for p in parts(w)})
             else:
@@ -150,7 +171,8 @@ class Reader:
     def features(self, text: str) -> set:
         text = text.lower()
         tokens = set(text.split())
-        tokens.update(m[0] for m in SPACED.finditer(text))
+        for m in SPACED.finditer(text):
+            tokens.update(windows(m[0]))
         out: set = set()
         for t in tokens:
             found = self.token(t)

@@ -410,6 +410,17 @@ def test_viterbi_restores_signs():
         assert toxicity.decode(seen, model) == meant
 
 
+def test_disguises_at_ends_and_in_long_runs_are_read():
+    counts = np.zeros(toxicity.SIZE**3, dtype=np.int64)
+    toxicity.trigrams("you are such an utterly worthless and hate filled moron stupid clown idiot trash asshole of the " * 20, counts)
+    reader = toxicity.Reader(toxicity.CharacterModel(counts), None)
+    for text, word in (("hat3", "hate"), ("a hat3! b", "hate"), ("asshol3", "asshole"), ("m---o---r---o---n", "moron"), ("so 1 d i o t", "idiot"), ("@ s s h o l e", "asshole"), ("idio+", "idiot"), ("i d i o t  t r a s h", "trash")):
+        assert word + "$" in reader.features(text), text
+    long = " ".join("youaresuchanutterlyworthlessandhatefilledmoron" * 6 + "idiot")
+    assert len(long) > toxicity.WINDOW and any(k.startswith("moron") for k in reader.features(long))
+    assert not toxicity.Reader(reader.model, None).features("1 2 3 4 2024")
+
+
 # ------------------------------------------------------------------ secrets
 
 
