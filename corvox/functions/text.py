@@ -85,11 +85,13 @@ def words(text: Column) -> Column:
 
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Word-level edit distance over reference words; null for an empty reference. Each distinct word of a pair is one
-    symbol, so that the built-in levenshtein counts words; null too if a pair has more distinct words than there are
-    symbols (4096)."""
+    symbol, so that the built-in levenshtein counts words: of ALPHABET first, then the code points from 2**16 on. Null
+    too if a pair has more distinct words than these are (1,052,671)."""
     own = F.array_distinct(F.concat(reference, hypothesis))
-    coded = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(F.lit(ALPHABET), F.array_position(own, w).cast("int"), F.lit(1))), "")
-    enough = (F.size(reference) > 0) & (F.size(own) <= len(ALPHABET))
+    further = lambda at: F.decode(F.unhex(F.lpad(F.hex(at + (0x10000 - len(ALPHABET) - 1)), 8, "0")), "UTF-32")
+    symbol = lambda at: F.when(at <= len(ALPHABET), F.substring(F.lit(ALPHABET), at.cast("int"), F.lit(1))).otherwise(further(at))
+    coded = lambda ws: F.array_join(F.transform(ws, lambda w: symbol(F.array_position(own, w))), "")
+    enough = (F.size(reference) > 0) & (F.size(own) <= len(ALPHABET) + 0xFFFFF)
     return F.when(enough, F.levenshtein(coded(reference), coded(hypothesis)) / F.size(reference))
 
 

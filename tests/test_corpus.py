@@ -1,6 +1,10 @@
+import random
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
+from corvox import queries
 from corvox.functions import text as X
 from corvox.operators import corpus, splits
 from corvox.plans import stages, synthesis
@@ -64,6 +68,36 @@ def test_text_expressions(spark):
     assert one(X.toneless, config) == "some" and one(X.toneless, "{") == "none" and one(X.toneless, '{"language": {"family": "vi"}}') == "all"
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def test_word_error_rates_take_whole_texts(spark, tmp_path):
+    rng = random.Random(1)
+    turns = [(c, t, "user" if t % 2 else "assistant", " ".join(f"w{rng.randrange(40)}" for _ in range(rng.randint(1, 120)))) for c in range(6) for t in range(1, 7)]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    said = {(c, t): x.split() for c, t, _, x in turns}
+    want = {(c, t): round(edits(w, said[c, t + 1]) / len(w), 6) for (c, t), w in said.items() if t % 2 and (c, t + 1) in said}
+    assert {(r.conv_id, r.turn): r.wer for r in queries.word_error_rates_whole(spark, str(tmp_path)).collect()} == want and len(want) == 18
+    for r in queries.pronunciation_audit_whole(spark, str(tmp_path)).collect():
+        own = [w for (c, t), w in want.items() if r.grp == ("(real)" if t % 4 == 0 else f"eng_{c % 3}")]
+        assert r.n == len(own) and r.wer == pytest.approx(statistics.median(own), abs=1e-6)
+        c, t = map(int, r.worst.split("-"))
+        assert want[c, t] == max(own)
+
+
+def test_word_error_rates_of_many_distinct_words(spark):
+    a = [f"a{k}" for k in range(4500)]
+    b = [*a[:4300], *(f"b{k}" for k in range(200))]
+    df = spark.createDataFrame([(a, b)], "a array<string>, b array<string>")
+    assert df.select(X.word_error_rate(F.col("a"), F.col("b"))).head()[0] == pytest.approx(200 / 4500)
+
+
 def test_splits_are_disjoint_and_do_not_depend_on_partitions(spark):
     rows = [row(f"u{k}", "fake" if k % 2 else "real", speaker="" if k % 10 == 0 else f"s{k % 37}") for k in range(300)]
     rows += [row(f"u{k}-aug0", augment="gain", parent_utt_id=f"u{k}", speaker="" if k % 10 == 0 else f"s{k % 37}") for k in range(0, 300, 5)]
