@@ -130,13 +130,28 @@ def reshard(docs: DataFrame, shards: int, old_shard: Column, old_shards: int, bl
     )
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8) -> list[int]:
-    """Writes the rows of docs (one for each id) to path/shard=K; only shards that a moved row leaves or enters are
-    written again. Returns these. placed is what reshard() returned."""
-    moved = placed.where("moved")
-    affected = sorted(r.s for r in moved.selectExpr("explode(array(old_shard, shard)) s").distinct().collect())
-    where = placed.where(F.col("shard").isin(affected)).select(F.col("doc_id").alias(id_col), "shard")
-    out = docs.drop("shard").join(where, id_col).withColumn("part_", F.pmod(F.xxhash64(id_col), F.lit(files_per_shard)))
+def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8, text_col: str = "text") -> list[int]:
+    """Writes the rows of docs to path/shard=K; only shards that a moved row leaves or enters are written again, and
+    those of rows of one id, size and checksum that lay in several shards, as nothing tells which is which. Returns
+    these. placed is what reshard() returned: each of its rows is written once, null and repeated ids too."""
+    key = ["doc_id", "size", "text_crc32"]
+    ends = F.explode(F.array("old_shard", "shard")).alias("s")
+    apart = placed.groupBy(*key).agg(F.min("old_shard").alias("a"), F.max("old_shard").alias("b"), F.collect_set("shard").alias("to"), F.collect_set("old_shard").alias("of"))
+    found = placed.where("moved").select(ends).union(apart.where("a <> b").select(F.explode(F.array_union("to", "of"))))
+    affected = sorted(r.s for r in found.distinct().collect())
+    nth = lambda order: F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    where = placed.withColumn("nth", nth(["shard", "slot"])).where(F.col("shard").isin(affected)).select(*(F.col(c).alias(f"{c}_") for c in key), F.col("nth").alias("nth_"), "shard")
+    text = docs[text_col].cast("string")
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "shard")).alias("row"),
+        docs[id_col].cast("long").alias("doc_id"),
+        (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    # rows of one key are numbered by what they hold, so a task that runs again numbers them the same
+    rows = rows.withColumn("nth", nth([F.xxhash64(F.to_json("row"))]))
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("size") == F.col("size_")) & (F.col("text_crc32") == F.col("text_crc32_")) & (F.col("nth") == F.col("nth_"))
+    out = rows.join(where, same).select("row.*", "shard", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(files_per_shard)).alias("part_"))
     out = out.repartition("shard", "part_").drop("part_")
     out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
     return affected

@@ -284,6 +284,20 @@ def test_flow_moves_the_fewest_bytes(spark, docs, tmp_path):
     assert got == {r.doc_id: r.shard for r in placed.collect()} and len(got) == one.count()
 
 
+def test_rewritten_shards_hold_every_row_once(spark, tmp_path):
+    rows = [(None, f"text {k % 4}", k, k % 3) for k in range(30)] + [(k // 5, f"repeated {k // 10}", 100 + k, k % 2) for k in range(60)] + [(200 + k, "x" * (k * 7 % 90), 200 + k, 0) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, nr int, lies int")
+    docs.withColumn("shard", F.col("lies")).write.partitionBy("shard").parquet(str(tmp_path / "out"))
+    placed = sharding.reshard(docs, 4, F.col("lies"), 3, 8)
+    placed = spark.createDataFrame(placed.collect(), placed.schema)
+    sharding.rewrite(docs, placed, str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r.doc_id, r.text, r.nr, r.lies) for r in got.where("doc_id is not null").collect()) == sorted(r for r in rows if r[0] is not None)
+    assert sorted(r.nr for r in got.where("doc_id is null").collect()) == list(range(30))
+    count = lambda df: {tuple(r[:2]): r[2] for r in df.groupBy("doc_id", "shard").count().collect()}
+    assert count(got) == count(placed)
+
+
 # ------------------------------------------------------------------ simhash
 
 
