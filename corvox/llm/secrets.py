@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -25,10 +24,19 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 URL_CODE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE_CODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-#: Text characters that a decoded layer may consist of.
-PRINTABLE = re.compile(r"[^\x00-\x08\x0e-\x1f\x7f-\x9f�]+")
-#: Decompressed bytes of one layer at most; a larger layer is no text to scan and is left alone as a whole.
-LAYER_BYTES = 1 << 24
+#: Text characters that a decoded layer may consist of; parts of what decodes only in parts have LEAST of them.
+PRINTABLE = re.compile(r"[^\x00-\x08\x0e-\x1f\x7f-\x9f\ud800-\udfff\ufffd]+")
+LEAST = 12
+PARTS = re.compile(PRINTABLE.pattern[:-1] + "{%d,}" % LEAST)
+#: What isn't text, where a layer keeps a place for it.
+UNREADABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ud800-\udfff]")
+#: Where a gzip or zlib stream may begin.
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Inflated layers are scanned in pieces of so many bytes, each with the last bytes of the one before it.
+PIECE, OVERLAP = 1 << 20, 1 << 16
+
+#: A part of a code: its start and end there, the text that it stands for, and where each character comes from.
+Part = tuple[int, int, str, list[int], list[int]]
 
 
 def spans(text: str) -> list[tuple[int, int, int]]:
@@ -40,102 +48,155 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _inflated(data: bytes) -> bytes | None:
-    """What a gzip or zlib stream holds."""
-    try:
-        worker = zlib.decompressobj(wbits=47)
-        out = worker.decompress(data, LAYER_BYTES)
-        return out if worker.eof else None
-    except zlib.error:
-        return None
-
-
-def _text(data: bytes) -> str | None:
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if PRINTABLE.fullmatch(text) else None
-
-
-def _from_base64(code: str) -> tuple[str, list[int], list[int]] | None:
-    """A text, and which characters of the code each of its characters comes from."""
-    core = code.rstrip("=")
-    if len(core) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(core.translate({45: 43, 95: 47}) + "=" * (-len(core) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-        if (raw := _inflated(data)) is not None and (text := _text(raw)):
-            return text, [0] * len(text), [len(code)] * len(text)
-    if (text := _text(data)) is None:
-        return None
-    low, high, at = [], [], 0
-    for c in text:
-        end = at + len(c.encode())
-        low.append(at * 4 // 3)
-        high.append(min(len(code), -(-end * 4 // 3)))
-        at = end
-    return text, low, high
-
-
-def _from_url(code: str) -> tuple[str, list[int], list[int]] | None:
-    """Runs of escapes that aren't UTF-8 stay as they are."""
-    text = _text(bytes.fromhex(code.replace("%", "")))
-    if text is None:
-        return None
-    ends = np.cumsum([3 * len(c.encode()) for c in text]).tolist()
-    return text, [0, *ends[:-1]], ends
-
-
-def _from_unicode(code: str) -> tuple[str, list[int], list[int]] | None:
+def _inflated(data: bytes) -> Iterator[str]:
+    """What the gzip or zlib streams at the start of data hold, one after another, as texts of bounded size. A stream
+    that breaks off gives what comes before."""
+    kept, some = b"", False
+    while data:
+        worker, got = zlib.decompressobj(wbits=47), False
+        while True:
+            try:
+                new = worker.decompress(data, PIECE)
+            except zlib.error:
+                new, worker = b"", None
+            if new:
+                got = some = True
+                kept += new
+                if len(kept) >= PIECE:
+                    yield UNREADABLE.sub("\ufffd", kept.decode(errors="replace"))
+                    kept, some = kept[-OVERLAP:], False
+            if worker is None or worker.eof or not new:
+                break
+            data = worker.unconsumed_tail
+        if worker is None or not worker.eof or not got:
+            break
+        data = worker.unused_data.lstrip(b"\0")  # gzip pads with zeros
+    if some:
+        yield UNREADABLE.sub("\ufffd", kept.decode(errors="replace"))
+
+
+def _placed(text: str, start: int, end: int) -> Part:
+    """A text of which each character comes from all of the code."""
+    return start, end, text, [0] * len(text), [end - start] * len(text)
+
+
+def _from_base64(code: str) -> tuple[list[Part], list[tuple[int, int, Iterator[str]]]]:
+    """Parts that are text: all of the code if that decodes, else what is readable at any of the four alignments; and
+    further pieces of streams, with the place of their code."""
+    core = code.rstrip("=").translate({45: 43, 95: 47})
+    parts: list[Part] = []
+    more: list[tuple[int, int, Iterator[str]]] = []
+    for k in range(4):
+        own = core[k:]
+        own = own[: len(own) - (len(own) % 4 == 1)]
+        data = base64.b64decode(own + "=" * (-len(own) % 4))
+        text = data.decode(errors="surrogateescape")
+        if k == 0 and len(core) % 4 != 1 and PRINTABLE.fullmatch(text):
+            found = [(0, len(text))]
+        else:
+            found = [m.span() for m in PARTS.finditer(text)]
+        done, at = 0, 0
+        for a, b in found:
+            at += len(text[done:a].encode(errors="surrogateescape"))
+            start, low, high = k + at * 4 // 3, [], []
+            for c in text[a:b]:
+                end = at + len(c.encode())
+                low.append(k + at * 4 // 3 - start)
+                high.append(min(len(code), k - (-end * 4 // 3)) - start)
+                at = end
+            whole = len(found) == 1 and b - a == len(text) and k == 0
+            parts.append((start, len(code) if whole else start + high[-1], text[a:b], low, high))
+            done = b
+        if found and k == 0 and found[0] == (0, len(text)):
+            break
+        end = 0
+        for m in PACKED.finditer(data):
+            if m.start() < end:
+                continue
+            pieces = _inflated(data[m.start() :])
+            first = next(pieces, None)
+            if first is not None and PARTS.search(first):
+                start = k + m.start() * 4 // 3
+                parts.append(_placed(first, start, len(code)))
+                end = len(data)  # its streams have been followed to their end
+                more.append((start, len(code), pieces))
+            elif first is not None:
+                more.append((k + m.start() * 4 // 3, len(code), pieces))
+    return parts, more
+
+
+def _from_url(code: str) -> tuple[list[Part], list]:
+    """What isn't text has a place of its own in the layer."""
+    text = bytes.fromhex(code.replace("%", "")).decode(errors="surrogateescape")
+    if not PRINTABLE.search(text):
+        return [], []
+    ends = np.cumsum([3 * len(c.encode(errors="surrogateescape")) for c in text]).tolist()
+    return [(0, len(code), UNREADABLE.sub("\ufffd", text), [0, *ends[:-1]], ends)], []
+
+
+def _from_unicode(code: str) -> tuple[list[Part], list]:
     width = 6 if code[1] == "u" else 4
-    text = "".join(chr(int(code[i + 2 : i + width], 16)) for i in range(0, len(code), width))
-    if any("\ud800" <= c <= "\udfff" for c in text):
-        try:
-            joined = text.encode("utf-16", "surrogatepass").decode("utf-16")
-        except UnicodeDecodeError:
-            return None
-        ends = np.cumsum([width * (2 if ord(c) > 0xFFFF else 1) for c in joined]).tolist()
-        return joined, [0, *ends[:-1]], ends
-    return text, list(range(0, len(code), width)), list(range(width, len(code) + width, width))
+    units = "".join(chr(int(code[i + 2 : i + width], 16)) for i in range(0, len(code), width))
+    text = re.sub("[\ud800-\udbff][\udc00-\udfff]", lambda m: m[0].encode("utf-16", "surrogatepass").decode("utf-16"), units)
+    ends = np.cumsum([width * (2 if ord(c) > 0xFFFF else 1) for c in text]).tolist()
+    return [(0, len(code), UNREADABLE.sub("\ufffd", text), [0, *ends[:-1]], ends)], []
 
 
 DECODERS = ((URL_CODE, "%", _from_url), (UNICODE_CODE, "\\", _from_unicode), (BASE64, "", _from_base64))
 
 
+def _digest(text: str) -> bytes:
+    return hashlib.sha1(text.encode(errors="surrogatepass")).digest()
+
+
 def layers(text: str) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
     """Every layer below text, with the places in text that its characters come from. A layer is its parent with all
-    parts of one coding decoded in place, so that what stands around them is still there. Each new layer is put on
-    the worklist; one that has been seen, at any depth, isn't, so cycles end and the fixpoint is reached."""
-    seen, work = {text}, [(text, None, None)]
+    parts of one coding decoded in place, so that what stands around them is still there; parts that overlap others
+    and further pieces of large streams are layers by themselves. Each new layer is put on the worklist; one that has
+    been seen, at any depth, isn't, so cycles end and the fixpoint is reached."""
+    seen = {_digest(text)}
+    work: list[tuple[Iterator[str], np.ndarray | None, np.ndarray | None]] = [(iter([text]), None, None)]
     while work:
-        own, low, high = work.pop()
+        texts, low, high = work[-1]
+        own = next(texts, None)
+        if own is None:
+            work.pop()
+            continue
+        if len(work) > 1:
+            if _digest(own) in seen:
+                continue
+            seen.add(_digest(own))
+            if len(low) != len(own):  # a piece: all of it comes from all of the code
+                low, high = np.full(len(own), low[0]), np.full(len(own), high[0])
+            yield own, low, high
+        new: list[tuple[Iterator[str], np.ndarray, np.ndarray]] = []
         for pattern, mark, decode in DECODERS:
             if mark and mark not in own:
                 continue
             parts, lows, highs, done = [], [], [], 0
             for m in pattern.finditer(own):
-                if found := decode(m[0]):
-                    a, b = m.span()
-                    parts += [own[done:a], found[0]]
-                    lows += [np.arange(done, a), np.array(found[1], dtype=np.int64) + a]
-                    highs += [np.arange(done, a), np.array(found[2], dtype=np.int64) + a - 1]
-                    done = b
-            if not parts:
-                continue
-            new = "".join([*parts, own[done:]])
-            if new in seen:
-                continue
-            seen.add(new)
-            # first and last character of the parent that each comes from
-            first, last = (np.concatenate([*x, np.arange(done, len(own))]).astype(np.int64) for x in (lows, highs))
-            if low is not None:
-                first, last = low[first], high[last]
-            work.append((new, first, last))
-            yield new, first, last
+                found, more = decode(m[0])
+                for start, end, t, a, b in sorted(found, key=lambda x: (x[0], -x[1])):
+                    x, y = m.start() + start, m.start() + end
+                    first, last = np.array(a, dtype=np.int64) + x, np.array(b, dtype=np.int64) + x - 1
+                    if x < done:
+                        new.append((iter([t]), *_up(first, last, low, high)))
+                        continue
+                    parts += [own[done:x], t]
+                    lows += [np.arange(done, x), first]
+                    highs += [np.arange(done, x), last]
+                    done = y
+                for start, end, pieces in more:
+                    new.append((pieces, *_up(np.array([m.start() + start]), np.array([m.start() + end - 1]), low, high)))
+            if parts:
+                first, last = (np.concatenate([*x, np.arange(done, len(own))]).astype(np.int64) for x in (lows, highs))
+                new.append((iter(["".join([*parts, own[done:]])]), *_up(first, last, low, high)))
+        work += new
+
+
+def _up(first: np.ndarray, last: np.ndarray, low: np.ndarray | None, high: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """First and last character of the text that each comes from, by those of the parent."""
+    return (first, last) if low is None else (low[first], high[last])
 
 
 def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -160,8 +221,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind:start:end in code points, by start and kind, joined by commas), spans (all spans, written likewise).
 
     Base spans are what the patterns find in the text itself; further ones come from nested layers: URL escapes,
-    Unicode escapes, base64 and, within it, gzip or zlib. Null and empty texts have none. A layer of more than 16 MiB
-    decompressed isn't unwrapped. Repeated rows each get their row; an empty table gives none; nothing is shuffled."""
+    Unicode escapes, base64 and, within it, gzip or zlib. Null and empty texts have none. Repeated rows each get their row; an empty table gives none; nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -470,6 +470,27 @@ def test_layers_are_unwrapped_and_mapped():
     assert secrets.find(f"token={b64[:12]}")[0] and secrets.find("just words and 100% of them \\u00") == ([], [])
 
 
+def test_layers_in_odd_places_are_unwrapped():
+    secret = "password=hunter2hunter2x"
+    code = lambda data: base64.b64encode(data).decode()
+    noise = random.Random(4).randbytes(3 << 20)
+    members = gzip.compress(b"nothing here at all") + gzip.compress(secret.encode())
+    large = zlib.compress(b"plain words " * (3 << 19) + secret.encode() + b" plain words" * 9, 1)
+    split = zlib.compress(b"x" * (secrets.PIECE - 5) + b" " + secret.encode(), 1)
+    texts = {
+        "slash": f"https://x.io/get/{code(secret.encode())}", "id": f"id_{code(secret.encode())} b", "letter": f"x{code(secret.encode())}",
+        "tail": f"{code(secret.encode() + b'  ')}/y/z", "members": code(members), "large": code(large), "split": code(split), "path": f"a/{code(members)}",
+        "control": code(b"\x00\x01" + secret.encode() + b"\xff"), "url": "%FF%00" + "".join(f"%{c:02X}" for c in secret.encode()), "after": code(noise[:99] + members),
+        "lone": "\\ud800" + "".join(f"\\u{ord(c):04x}" for c in secret), "nested": f"id_{code(('go/' + code(secret.encode())).encode())}",
+    }
+    for name, text in texts.items():
+        base, every = secrets.find(f"a {text} b")
+        assert not any(k == 0 for _, k, _ in base) and any(k == 0 and 2 <= a < b <= 2 + len(text) for a, k, b in every), name
+    got = [x for x in secrets.find(f"go id_{code(secret.encode())} on")[1] if x[1] == 0]
+    assert got and all(a <= 6 + 1 and 3 + len(code(secret.encode())) <= b <= 6 + len(code(secret.encode())) for a, _, b in got)
+    assert secrets.find("/usr/local/lib/python/site-packages some_long_identifier_of_a_program averyveryverylongwordindeed") == ([], [])
+
+
 def test_scan_and_redact(spark, docs):
     got = secrets.scan(docs)
     assert got.count() == len(corpus()) and got.where("doc_id is null").count() == 1
