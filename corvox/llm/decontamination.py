@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import BYTE_VALUES, LOWER, chunks, fixed_hash, id_and_text, mix, prefix_hash, span_hash, utf8, words, written
 
@@ -84,20 +85,14 @@ def benchmark_blocks(benchmark: DataFrame, n: int, most_bytes: int, id_col: str,
         yield NgramSet(block, n)
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """For each row of docs: doc_id, text, n_words, hits (ranges of words within occurring windows, pairs of
-    little-endian 32-bit numbers: first word, word after the last) and items (ids of the items they come from).
-
-    Words are lower-cased (A-Z) runs of digits, letters and characters beyond ASCII. A window is n consecutive words
-    of an item, or all words of a shorter one; a hit is found by its Rabin-Karp hash in the broadcast set and then
-    compared word for word. Documents aren't shuffled. If the benchmark has more than most_bytes of text, block after
-    block of it goes over all documents. Null texts have no words, null or wordless items no windows; items of the
-    same id count as one item; repeated documents each get their row; an empty table on either side gives no hits."""
-    spark = docs.sparkSession
-    out = id_and_text(docs, id_col, text_col)
-    blocks = list(benchmark_blocks(benchmark, n, most_bytes, item_col, item_text_col)) or [NgramSet([], n)]
-    for k, ngrams in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(ngrams)
+def _scanned(rows: DataFrame, benchmark: DataFrame, n: int, most_bytes: int, item_col: str, item_text_col: str) -> DataFrame:
+    """rows (text and any other columns) with n_words, hits and items: what all blocks of the benchmark find in the
+    texts as they are. One block after another is built, sent, looked for in all rows and dropped again."""
+    blocks = benchmark_blocks(benchmark, n, most_bytes, item_col, item_text_col)
+    ahead, out, names = next(blocks, None) or NgramSet([], n), rows, rows.columns
+    schema = T.StructType(rows.schema.fields + T.StructType.fromDDL(SCANNED).fields)
+    while ahead is not None:
+        sent, ahead = rows.sparkSession.sparkContext.broadcast(ahead), next(blocks, None)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -109,15 +104,28 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes: int = 8
                     if "hits" in batch.schema.names:
                         hits = [x + y for x, y in zip(part.column("hits").to_pylist(), hits, strict=True)]
                         items = [x | {*y} for x, y in zip(items, part.column("items").to_pylist(), strict=True)]
-                    columns = [part.column("doc_id"), part.column("text"), pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "hits", "items"])
+                    columns = [*(part.column(c) for c in names), pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "hits", "items"])
 
-        out = out.mapInArrow(run, f"doc_id long, text string, {SCANNED}")
-        if k + 1 < len(blocks):
+        out = out.mapInArrow(run, schema)
+        if ahead is not None:
             out = written(out, "scanned")
+            sent.destroy()
     return out
 
 
+def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes: int = 8_000_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """For each row of docs: doc_id, text, n_words, hits (ranges of words within occurring windows, pairs of
+    little-endian 32-bit numbers: first word, word after the last) and items (ids of the items they come from).
+
+    Words are lower-cased (A-Z) runs of digits, letters and characters beyond ASCII. A window is n consecutive words
+    of an item, or all words of a shorter one; a hit is found by its Rabin-Karp hash in the broadcast set and then
+    compared word for word. Documents aren't shuffled. If the benchmark has more than most_bytes of text, block after
+    block of it goes over all documents. Null texts have no words, null or wordless items no windows; items of the
+    same id count as one item; repeated documents each get their row; an empty table on either side gives no hits."""
+    return _scanned(id_and_text(docs, id_col, text_col), benchmark, n, most_bytes, item_col, item_text_col)
+
+
 def _covered(hits: bytes) -> list[list[int]]:
     """Maximal ranges of hit words."""
     out: list[list[int]] = []
@@ -147,34 +155,27 @@ def contamination(scanned: DataFrame) -> DataFrame:
     return columns.mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs with the hit ranges cut out of its texts: all of a range from its first word to its last. Documents
-    without hits, null texts among them, and other columns stay as they are."""
+def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes: int = 8_000_000, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """docs with the hit ranges cut out of its texts: all of a range from its first word to its last. Ranges are those
+    that scan() finds in the texts as they are, by all of the benchmark, so they don't depend on its blocks. Rows
+    without hits, null and empty texts among them, and other columns stay as they are; repeated rows and ids are cut
+    each for itself; an empty table on either side changes nothing."""
     names = docs.columns
-    row = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.struct(*(F.col(f"`{x}`") for x in names)).alias("kept"))
-    spark, blocks = docs.sparkSession, list(benchmark_blocks(benchmark, n, options.get("most_bytes", 8_000_000), options.get("item_col", "item_id"), options.get("item_text_col", "text")))
-    for ngrams in blocks:
-        sent = spark.sparkContext.broadcast(ngrams)
+    row = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*(F.col(f"`{x}`") for x in names if x != text_col), F.lit(0).alias("_")).alias("kept"))
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                raw, at = utf8(batch.column("text"))
-                data = raw.tobytes()
-                for a, b in chunks(at, 1 << 20):
-                    part = batch.slice(a, b - a)
-                    texts = part.column("text").to_pylist()
-                    _, hits, _ = sent.value.scan(raw[at[a] : at[b]], at[a : b + 1] - at[a])
-                    for k in (k for k, x in enumerate(hits) if x):
-                        own = data[at[a + k] : at[a + k + 1]]
-                        start, end, _ = words(np.frombuffer(own, dtype=np.uint8), np.array([0, len(own)]), IS_WORD)
-                        left, done = [], 0
-                        for x, y in _covered(np.array(hits[k], dtype="<i4").tobytes()):
-                            left.append(own[done : start[x]])
-                            done = int(end[y - 1])
-                        texts[k] = b"".join([*left, own[done:]]).decode()
-                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.string()), part.column("kept")], names=["doc_id", "text", "kept"])
-
-        row = row.mapInArrow(run, row.schema)
-        if len(blocks) > 1:
-            row = written(row, "cut")
-    return row.select(*(F.col("text").alias(x) if x == text_col else F.col(f"kept.`{x}`").alias(x) for x in names))
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for k, hits in enumerate(batch.column("hits").to_pylist()):
+                if hits:
+                    own = texts[k].encode()
+                    start, end, _ = words(np.frombuffer(own, dtype=np.uint8), np.array([0, len(own)]), IS_WORD)
+                    left, done = [], 0
+                    for x, y in _covered(hits):
+                        left.append(own[done : start[x]])
+                        done = int(end[y - 1])
+                    texts[k] = b"".join([*left, own[done:]]).decode()
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("kept")], names=["text", "kept"])
+
+    cut_rows = _scanned(row, benchmark, n, most_bytes, item_col, item_text_col).select("text", "hits", "kept").mapInArrow(cut, row.schema)
+    return cut_rows.select(*(F.col("text").cast(docs.schema[x].dataType).alias(x) if x == text_col else F.col(f"kept.`{x}`").alias(x) for x in names))

@@ -9,7 +9,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, partitions, written
@@ -214,6 +214,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 COMMON, SAMPLED = 1 << 18, 20_000
 #: Texts of which a task remembers that it has sent their entries.
 REMEMBERED = 1 << 18
+#: Rounds of stars before all pairs are compared; entries that are compared at once.
+STARS, GROUP = 3, 1 << 15
 ENTRY = "key long, node long, size int, at int"
 
 
@@ -342,33 +344,67 @@ def _shared(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
     yield group
 
 
-def _paired(similarity: float, stars: bool):
-    """Of one key's entries, the pairs (a, b) that can be similar by sizes and by what can follow the key in both: of
-    nodes of different roots; for stars, of a node only with the least set that its size allows."""
+def _paired(similarity: float, star: int | None = None):
+    """Of one group's entries, the pairs (a, b) of nodes of different roots that can be similar by sizes and by what
+    can follow the key in both. star: not all pairs, but each node with one of those that its size allows; which one
+    depends on the number, so that rounds differ."""
 
     def pairs(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-        root = group[4] if len(group) > 4 else group[1]
+        order = np.argsort(group[2], kind="stable")
+        node, size, at, root = group[1][order], group[2][order].astype(np.int64), group[3][order].astype(np.int64), group[4][order]
         if (root == root[0]).all():
             return
-        order = np.argsort(group[2], kind="stable")
-        node, size, at, root = group[1][order], group[2][order].astype(np.int64), group[3][order].astype(np.int64), root[order]
         ends = np.searchsorted(size, size / similarity + 1e-6, side="right")
         k = 0
         while k < len(node):
-            b = slice(k + 1, int(ends[k]))
-            most = np.minimum(size[k] - at[k], size[b] - at[b])
-            due = similarity / (1 + similarity) * (size[k] + size[b]) - 1e-6
-            to = node[b][(most >= due) & (root[b] != root[k])]
+            end = int(ends[k])
+            if star is None:
+                one, among = k, slice(k + 1, end)
+            else:
+                one, among = k + star * 7919 % (end - k), slice(k, end)
+            most = np.minimum(size[one] - at[one], size[among] - at[among])
+            due = similarity / (1 + similarity) * (size[one] + size[among]) - 1e-6
+            to = node[among][(most >= due) & (root[among] != root[one])]
             if len(to):
-                yield [np.minimum(to, node[k]), np.maximum(to, node[k])]
-            k = int(ends[k]) if stars else k + 1
+                yield [np.minimum(to, node[one]), np.maximum(to, node[one])]
+            k = k + 1 if star is None else end
 
     return pairs
 
 
+def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """Entries with their nodes' roots, of keys whose nodes have different ones; n: how many entries the key has."""
+    live = shared.join(roots.select("node", "root"), "node").select("key", "node", "size", "at", "root")
+    keys = live.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
+    return live.join(keys.select("key", "n"), "key")
+
+
+def _star_groups(mixed: DataFrame, number: int) -> DataFrame:
+    """Groups of about GROUP entries at most: those of a key with more are dealt out anew in each round."""
+    part = F.pmod(F.xxhash64(F.lit(number), "node"), F.ceil(F.col("n") / GROUP))
+    key = F.when(F.col("n") > GROUP, F.xxhash64("key", part)).otherwise(F.col("key"))
+    return mixed.select(key.alias("key"), "node", "size", "at", "root")
+
+
+def _all_groups(mixed: DataFrame) -> DataFrame:
+    """Groups in which every two entries of a key that have different roots meet. Of a key with more than GROUP of
+    them, entries of the root that has most are dealt out in parts, which need not meet each other; each other entry
+    goes to all parts if these are few, else every two parts make a group. Groups stay bounded, no pair is lost."""
+    sizes = mixed.where(F.col("n") > GROUP).groupBy("key", "root").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("key").agg(F.max_by("root", F.struct("m", "root")).alias("main"), F.max("m").alias("most"))
+    rows = mixed.join(main, "key", "left")
+    parts = F.ceil(F.col("n") / GROUP)
+    own = F.pmod(F.xxhash64("node"), parts)
+    every = F.sequence(F.lit(0).cast("long"), parts - 1)
+    with_each = F.transform(F.filter(every, lambda p: p != own), lambda p: F.xxhash64(F.col("key"), F.least(own, p), F.greatest(own, p)))
+    with_main = F.transform(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(every), lambda p: F.xxhash64("key", p))
+    key = F.when(F.col("main").isNull(), F.array("key")).when(F.col("n") - F.col("most") <= GROUP, with_main).otherwise(with_each)
+    return rows.select(F.explode(key).alias("key"), "node", "size", "at", "root")
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts' shingle sets have that Jaccard similarity, by the shingles themselves."""
-    pairs = written(pairs.where("a <> b").distinct(), "pairs")
+    """pairs (a, b) of nodes with: similar, whether their texts' shingle sets have that Jaccard similarity, by the
+    shingles themselves."""
     met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     own = written(texts.join(met, "node", "left_semi").dropDuplicates(["node"]), "met")
     both = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
@@ -380,43 +416,50 @@ def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
                 x, y = shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)
                 met = len(x & y)
                 kept.append(met >= similarity * (len(x) + len(y) - met))
-            yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(kept, pa.bool_())], ["a", "b", "similar"])
 
-    return written(both.mapInArrow(run, "a long, b long"), "similar")
+    return written(both.mapInArrow(run, "a long, b long, similar boolean"), "similar")
 
 
-def _rooted(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    return nodes.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+def _node(text: Column) -> Column:
+    """What stands for a text: 0 for blank ones, else a hash."""
+    return F.when(text.isNull() | text.rlike(r"^[ \t\n\x0B\f\r]*$"), F.lit(0).cast("long")).otherwise(F.xxhash64(text))
 
 
 def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near copies: the one with the least id (null last).
 
     Texts link exactly if their sets of five-word shingles have a Jaccard similarity of at least `similarity`, groups
-    are what links connect. Candidates are first the links of SimHash fingerprints and, of each shingle of the texts'
-    prefixes, a star; then all pairs that share a shingle of their prefixes and aren't connected yet, which leaves out
-    none. All are verified on the texts. All blank texts are copies of each other, of which one row stays; of
-    repeated rows of one id one stays; an empty table stays empty; other columns stay as they are."""
-    own = id_and_text(docs, id_col, text_col)
-    blank = F.col("text").isNull() | F.col("text").rlike(r"^[ \t\n\x0B\f\r]*$")
-    rows = own.withColumn("node", F.when(blank, F.lit(0).cast("long")).otherwise(F.xxhash64("text")))
+    are what links connect. Candidates are first the links of SimHash fingerprints; then, in rounds, stars among texts
+    that share a shingle of their prefixes and aren't connected yet; at last all such pairs, which leaves out none.
+    All are verified on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
+    another text is like them. All blank texts are copies of each other, of which one row stays; of rows that repeat
+    an id with its text one stays; an empty table stays empty; other columns stay as they are."""
+    rows = id_and_text(docs, id_col, text_col).withColumn("node", _node(F.col("text")))
     texts = rows.where("node <> 0").select("node", "text")
-    ids = written(rows.select("node", "doc_id"), "ids")
-    nodes = written(ids.groupBy("node").agg(F.min("doc_id").alias("first_id")), "nodes")
+    ids = written(rows.groupBy("node", "doc_id").agg(F.count("*").alias("n")), "ids")
+    nodes = ids.select("node").distinct()
     # equal fingerprints and links between fingerprints, each by its least node
     prints = written(fingerprints(texts, id_col="node").toDF("node", "fp").distinct(), "prints")
     least = written(prints.groupBy("fp").agg(F.min("node").alias("least")), "least")
-    close = thinned(links(least)).join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    close = close.union(prints.join(least, "fp").select("least", "node"))
+    close = thinned(links(least)).join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = close.union(prints.join(least, "fp").where("least <> node").select("least", "node")).distinct()
     shared = written(_by_key(_prefix_entries(texts, shingle, similarity), _shared, ENTRY.replace(" long", "").replace(" int", "").split(", "), ENTRY), "shared")
-    stars = _by_key(shared, _paired(similarity, True), ["a", "b"], "a long, b long")
-    first = _similar(close.union(stars), texts, shingle, similarity)
-    roots = written(_rooted(nodes, first), "roots")
-    across = _by_key(shared.join(roots.select("node", "root"), "node").select("key", "node", "size", "at", "root"), _paired(similarity, False), ["a", "b"], "a long, b long")
-    rooted = _rooted(nodes, first.union(_similar(across, texts, shingle, similarity)))
-    # rows of one id have one key even if their texts differ; a component of null ids alone keeps one of them
-    kept = written(rooted.groupBy("root").agg(F.min("first_id").alias("kept_id")).select("kept_id").distinct(), "kept")
-    own = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    if ids.groupBy("doc_id").count().where("count > 1").isEmpty():
+    tested, roots = None, None
+    for number in range(STARS + 2):
+        if number:
+            mixed = _mixed(shared, roots)
+            groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(mixed), None)
+            pairs = _by_key(groups, _paired(similarity, star), ["a", "b"], "a long, b long").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        found = _similar(written(pairs, "pairs"), texts, shingle, similarity)
+        tested = found if tested is None else tested.union(found)
+        roots = written(nodes.join(components(tested.where("similar")), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("kept")
+    kept = roots.join(ids, "node").groupBy("root").agg(first).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.node").alias("kept_node"))
+    kept, key = written(kept, "kept"), (docs[id_col].cast("long"), _node(docs[text_col].cast("string")))
+    own = docs.join(kept, key[0].eqNullSafe(kept["kept_id"]) & (key[1] == kept["kept_node"]), "left_semi")
+    if ids.where("n > 1").isEmpty():
         return own
-    return own.dropDuplicates([id_col])
+    # of rows that have both id and text in common one stays
+    keyed = own.select(key[0].alias("id"), key[1].alias("node"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    return keyed.dropDuplicates(["id", "node"]).select("row.*")

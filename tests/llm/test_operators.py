@@ -534,3 +534,77 @@ def test_ids_are_the_tokenizers(parts):
 
 
 _tokenizer: dict = {}
+
+
+# ------------------------------------------------------------------ what must not be lost
+
+
+def test_unlike_rows_without_ids_or_with_one_stay(spark):
+    """Texts are grouped, not ids."""
+    word = lambda k, n: " ".join(f"w{k}x{j}" for j in range(n))
+    rows = [(None, word(1, 30)), (None, word(2, 30)), (None, word(3, 30)), (7, word(4, 30)), (7, word(5, 30)), (None, word(1, 30)), (8, word(4, 30)), (7, word(5, 30)), (9, word(2, 30) + " tail")]
+    got = simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)), similarity=0.8)
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(None, word(1, 30)), (9, word(2, 30) + " tail"), (None, word(3, 30)), (7, word(4, 30)), (7, word(5, 30))], key=repr)
+
+
+def test_near_copies_in_large_groups_are_compared_in_parts(spark, monkeypatch):
+    """The same rows stay however few entries are compared at once."""
+    rng = random.Random(12)
+    base = [f"{rng.randrange(1 << 24):x}" for _ in range(60)]
+    rows = []
+    for k in range(90):
+        w = list(base)
+        for _ in range(rng.randint(0, 5)):
+            w[rng.randrange(60)] = f"{rng.randrange(1 << 24):x}"
+        rows.append((k, " ".join(w)))
+    sets = [simhash.shingle_set(t, 5) for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                root = [root[b] if x == root[a] else x for x in root]
+    want = sorted(min(k for k, x in enumerate(root) if x == r) for r in set(root))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for most in (1 << 15, 8):
+        monkeypatch.setattr(simhash, "GROUP", most)
+        assert sorted(r.doc_id for r in simhash.without_near_copies(docs, similarity=0.8).collect()) == want
+    assert 1 < len(want) < 80
+
+
+def test_near_copies_are_found_at_every_similarity(spark):
+    """Recall by band of similarity, over texts that share a common line: all links at 0.8 or more, no row below it."""
+    rng = random.Random(21)
+    run = lambda n: [f"{rng.randrange(1 << 30):x}" for _ in range(n)]
+    rows, wanted, line = [], {}, run(10)
+    for g in range(120):
+        w = line + run(rng.randint(40, 160))
+        v = w[:]
+        for _ in range(rng.randint(0, 6)):
+            v[rng.randrange(len(v))] = f"{rng.randrange(1 << 30):x}"
+        if g % 3 == 0:
+            v += run(rng.randint(0, len(v) // 4))
+        rows += [(2 * g, " ".join(w)), (2 * g + 1, " ".join(v))]
+        a, b = simhash.shingle_set(rows[-2][1], 5), simhash.shingle_set(rows[-1][1], 5)
+        wanted[2 * g + 1] = len(a & b) / len(a | b)
+    kept = {r.doc_id for r in simhash.without_near_copies(spark.createDataFrame(rows, "doc_id long, text string"), similarity=0.8).collect()}
+    for low, high in ((0.8, 0.85), (0.85, 0.95), (0.95, 1.01), (0.0, 0.8)):
+        band = {k for k, s in wanted.items() if low <= s < high}
+        assert len(band) > 3 and (band <= kept if high == 0.8 else not band & kept), (low, high)
+    assert all(2 * g in kept for g in range(120))
+
+
+def test_cuts_do_not_depend_on_the_benchmarks_blocks(spark):
+    """Two items share words; a document holds both: cuts are made on the texts as they are."""
+    w = lambda a, n: " ".join(f"{a}{k}" for k in range(n))
+    items = [(1, w("alpha", 15) + " " + w("beta", 8)), (2, w("beta", 8) + " " + w("gamma", 6)), (3, None), (None, "x y")]
+    texts = [f"lead words here {w('alpha', 15)} {w('beta', 8)} {w('gamma', 6)} tail", f"so {w('beta', 8)} {w('gamma', 6)}. end", "clean", None, "", f"so {w('beta', 8)} {w('gamma', 6)}. end"]
+    docs = spark.createDataFrame([(k % 2 or None, t, k, "h") for k, t in enumerate(texts)], "doc_id long, text string, kept int, hits string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    outs = []
+    for most in (8_000_000, 100, 10):
+        cut = decontamination.remove_spans(docs, benchmark, most_bytes=most)
+        assert cut.columns == docs.columns
+        outs.append(sorted((r.kept, r.text) for r in cut.collect()))
+    assert outs[0] == outs[1] == outs[2] == sorted(enumerate(["lead words here  tail", "so . end", "clean", None, "", "so . end"]))
+    assert decontamination.contamination(decontamination.scan(cut, benchmark)).where("contaminated").count() == 0
+    assert sorted((r.kept, r.text) for r in decontamination.remove_spans(docs, benchmark.limit(0)).collect()) == sorted(enumerate(texts))
