@@ -20,22 +20,33 @@ def _counted(docs: DataFrame, before: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without rows that the classifier calls toxic. Null and empty texts stay; ties at the threshold go; repeated rows
+    and ids are each judged by their text; an empty table stays empty; other columns stay as they are."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.without_near_copies(docs)
+    """One row of each group of texts that five-word Jaccard similarities of 0.8 or more connect: that of the least id,
+    null last. Blank and null texts are one group; rows of one id or none stay if their texts differ; an empty table
+    stays empty; other columns stay as they are."""
+    return simhash.without_near_copies(docs, similarity=0.8)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without what the benchmark has of them, n_chars counted anew. All rows stay, null and empty texts and
+    repeated rows among them; an empty table on either side changes nothing; other columns stay as they are."""
     return _counted(decontamination.remove_spans(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with secrets replaced, n_chars counted anew. All rows stay, null and empty texts and repeated rows among
+    them; an empty table stays empty; other columns stay as they are."""
     return _counted(secrets.redact(docs), docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences. A null or empty text is one token; repeated rows are packed each; an empty table
+    gives no rows; other columns are ignored."""
     return packing.pack(docs)
 
 
