@@ -23,13 +23,17 @@ NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
 _made: list[tuple[SparkSession, str]] = []
+_paths: dict[int, tuple[DataFrame, str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one made here where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, one is made here if all of
+    Spark runs on this machine; on a cluster that is an error, as executors could not read it."""
     sc = spark.sparkContext
     found = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not found:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         sc.setCheckpointDir(found)
     return found
@@ -42,16 +46,29 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = f"{shared_dir(spark).rstrip('/')}/corvox-{uuid.uuid4().hex}/{name}"
     df.write.option("compression", codec).parquet(path)
     _made.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[id(out)] = (out, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that written() returned and that nothing will read again."""
+    for df in tables:
+        _, path = _paths.pop(id(df))
+        _delete(df.sparkSession, path)
+        _made.remove((df.sparkSession, path))
 
 
 @atexit.register
 def _remove() -> None:
     for spark, path in _made:
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path).getParent()
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(spark, path)
         except Exception:  # the session has ended already
             return
 

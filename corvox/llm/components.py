@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import dropped, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,14 +14,18 @@ def components(links: DataFrame) -> DataFrame:
     written, so lineage stays short and a lost executor costs one round at most. No links: no rows."""
     both = links.where("a <> b").select("a", "b")
     both = written(both.union(both.select("b", "a")).toDF("node", "other").distinct(), "links")
-    labels = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root"))
+    labels, before = both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("root")), None
     while True:
         labels = written(labels, "labels")
+        if before is not None:
+            dropped(before)
         of = labels.select(F.col("node").alias("other"), F.col("root").alias("other_root"))
         best = both.join(of, "other").groupBy("node").agg(F.min("other_root").alias("near"))
         hooked = labels.join(best, "node").select("node", "root", F.least("root", "near").alias("hook"))
         up = labels.select(F.col("node").alias("hook"), F.col("root").alias("up"))
         moved = written(hooked.join(up, "hook").select("node", F.col("root").alias("was"), F.least("hook", "up").alias("root")), "moved")
-        labels = moved.select("node", "root")
+        dropped(labels)
+        labels, before = moved.select("node", "root"), moved
         if moved.where("was <> root").isEmpty():
+            dropped(both)
             return labels

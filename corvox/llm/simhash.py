@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -12,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, partitions, written
+from .common import dropped, id_and_text, mix, partitions, written
 from .components import components
 
 SEED = 42
@@ -215,7 +216,11 @@ COMMON, SAMPLED = 1 << 18, 20_000
 #: Texts of which a task remembers that it has sent their entries.
 REMEMBERED = 1 << 18
 #: Rounds of stars before all pairs are compared; entries that are compared at once.
-STARS, GROUP = 3, 1 << 15
+STARS, GROUP = 2, 1 << 15
+#: Bytes of text in a block of nodes whose pairs are verified together.
+BLOCK_BYTES = 1 << 22
+#: Of 128 bits: texts of a similarity of 0.75 or more differ in 24 on average, unlike ones in 64.
+FAR = 50
 ENTRY = "key long, node long, size int, at int"
 
 
@@ -231,6 +236,32 @@ def _hashed(text: str | None, shingle: int) -> np.ndarray:
     return np.unique(np.array([xxhash.xxh64_intdigest(x, SEED) for x in shingle_set(text, shingle)], dtype=np.uint64).view(np.int64))
 
 
+def _set_prints(texts: DataFrame, shingle: int) -> DataFrame:
+    """node, fp, more: a SimHash of 128 bits over each text's set of shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[np.ndarray] = []
+            held, size, counts = [], 0, []
+            for text in batch.column("text"):
+                held.append(_hashed(text.as_py(), shingle).view(np.uint64))
+                counts.append(len(held[-1]))
+                size += counts[-1]
+                if size >= 1 << 17:
+                    out.append(_two_prints(held, counts))
+                    held, size, counts = [], 0, []
+            out.append(_two_prints(held, counts))
+            both = np.concatenate(out)
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["node", "fp", "more"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, fp long, more long")
+
+
+def _two_prints(hashes: list[np.ndarray], counts: list[int]) -> np.ndarray:
+    own, n = np.concatenate([*hashes, np.empty(0, dtype=np.uint64)]), np.array(counts, dtype=np.int64)
+    return np.column_stack([majority(x.astype(">u8").tobytes(), n).view(np.int64) for x in (own, mix(~own))])
+
+
 def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes, sorted, and counts of the shingles that are in four or more texts of a sample."""
 
@@ -402,23 +433,61 @@ def _all_groups(mixed: DataFrame) -> DataFrame:
     return rows.select(F.explode(key).alias("key"), "node", "size", "at", "root")
 
 
-def _similar(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """pairs (a, b) of nodes with: similar, whether their texts' shingle sets have that Jaccard similarity, by the
-    shingles themselves."""
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    own = written(texts.join(met, "node", "left_semi").dropDuplicates(["node"]), "met")
-    both = pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
+def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, mean_bytes: float) -> DataFrame:
+    """pairs (a, b) of nodes, written: those whose texts' shingle sets have that Jaccard similarity.
+
+    The complete distance of the fingerprints leaves out what is further apart than FAR. Other nodes are in blocks of
+    about BLOCK_BYTES of text; a pair is verified in the cell of its two blocks, to which each text that has pairs
+    there goes once, however many they are. Sets are compared by 64-bit hashes of shingles."""
+    of = lambda x: prints.toDF(x, f"fp_{x}", f"more_{x}")
+    apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("fp", "more")), F.lit(0))
+    pairs = written(pairs.join(of("a"), "a").join(of("b"), "b").where(apart <= FAR).select("a", "b"), "near")
+    met = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "met")
+    blocks = max(1, math.ceil(met.count() * mean_bytes / BLOCK_BYTES))
+    block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(blocks))
+    low, high = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
+    placed = written(pairs.select((low * blocks + high).alias("cell"), "a", "b"), "placed")
+    wanted = written(placed.select("cell", F.col("a").alias("node")).union(placed.select("cell", "b")).distinct(), "wanted")
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            keys = list(zip(batch.column("cell").to_pylist(), batch.column("node").to_pylist(), strict=True))
+            new = []
+            for k in keys:
+                new.append(k not in seen)
+                seen.add(k)
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            yield batch.filter(pa.array(new, pa.bool_()))
+
+    sent = texts.join(wanted, "node").select("cell", "node", "text").mapInArrow(once, "cell long, node long, text string")
+    every = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text").union(placed.select("cell", F.lit(1), "a", "b", F.lit(None).cast("string")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, sets = None, {}
         for batch in batches:
-            kept = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                x, y = shingle_set(x.as_py(), shingle), shingle_set(y.as_py(), shingle)
-                met = len(x & y)
-                kept.append(met >= similarity * (len(x) + len(y) - met))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(kept, pa.bool_())], ["a", "b", "similar"])
-
-    return written(both.mapInArrow(run, "a long, b long, similar boolean"), "similar")
+            out: list[tuple[int, int]] = []
+            for of, kind, x, y, text in zip(*(batch.column(c) if c == "text" else batch.column(c).to_pylist() for c in ("cell", "kind", "a", "b", "text")), strict=True):
+                if of != cell:
+                    cell, sets = of, {}
+                if not kind:
+                    if x not in sets:
+                        sets[x] = _hashed(text.as_py(), shingle)
+                else:
+                    one, two = sets[x], sets[y]
+                    if len(one) > len(two):
+                        one, two = two, one
+                    same = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum()) if len(one) else 0
+                    if same >= similarity * (len(one) + len(two) - same):
+                        out.append((x, y))
+            columns = list(zip(*out, strict=True)) or [[], []]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    n = partitions(texts.sparkSession)
+    found = written(every.repartition(n, "cell").sortWithinPartitions("cell", "kind").mapInArrow(run, "a long, b long"), "similar")
+    dropped(pairs, met, placed, wanted)
+    return found
 
 
 def _node(text: Column) -> Column:
@@ -429,10 +498,11 @@ def _node(text: Column) -> Column:
 def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each group of near copies: the one with the least id (null last).
 
-    Texts link exactly if their sets of five-word shingles have a Jaccard similarity of at least `similarity`, groups
-    are what links connect. Candidates are first the links of SimHash fingerprints; then, in rounds, stars among texts
-    that share a shingle of their prefixes and aren't connected yet; at last all such pairs, which leaves out none.
-    All are verified on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
+    Texts link if their sets of five-word shingles have a Jaccard similarity of at least `similarity`, groups are what
+    links connect. Candidates are first the links of SimHash fingerprints by multi-index hashing; then, in rounds,
+    stars among texts that share a shingle of their prefixes and aren't connected yet; at last all such pairs, which
+    leaves out none. Of these the complete distance of 128-bit fingerprints is verified (FAR or less, which a link
+    exceeds less than once in 10**6 times) and then the similarity itself, on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
     another text is like them. All blank texts are copies of each other, of which one row stays; of rows that repeat
     an id with its text one stays; an empty table stays empty; other columns stay as they are."""
     rows = id_and_text(docs, id_col, text_col).withColumn("node", _node(F.col("text")))
@@ -440,20 +510,26 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
     ids = written(rows.groupBy("node", "doc_id").agg(F.count("*").alias("n")), "ids")
     nodes = ids.select("node").distinct()
     # equal fingerprints and links between fingerprints, each by its least node
-    prints = written(fingerprints(texts, id_col="node").toDF("node", "fp").distinct(), "prints")
+    prints = written(_set_prints(texts, shingle).dropDuplicates(["node"]), "prints")
     least = written(prints.groupBy("fp").agg(F.min("node").alias("least")), "least")
     close = thinned(links(least)).join(least.toDF("a", "x"), "a").join(least.toDF("b", "y"), "b").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    pairs = close.union(prints.join(least, "fp").where("least <> node").select("least", "node")).distinct()
+    pairs = written(close.union(prints.join(least, "fp").where("least <> node").select("least", "node")).distinct(), "pairs")
     shared = written(_by_key(_prefix_entries(texts, shingle, similarity), _shared, ENTRY.replace(" long", "").replace(" int", "").split(", "), ENTRY), "shared")
-    tested, roots = None, None
+    n_rows, n_bytes = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).head()
+    tested, similar, roots = [], [], None
     for number in range(STARS + 2):
         if number:
-            mixed = _mixed(shared, roots)
+            # keys all of whose nodes are connected stay so
+            mixed = written(_mixed(shared.select("key", "node", "size", "at"), roots), "mixed")
+            dropped(shared, roots)
+            shared = mixed
             groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(mixed), None)
-            pairs = _by_key(groups, _paired(similarity, star), ["a", "b"], "a long, b long").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = _similar(written(pairs, "pairs"), texts, shingle, similarity)
-        tested = found if tested is None else tested.union(found)
-        roots = written(nodes.join(components(tested.where("similar")), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+            pairs = _by_key(groups, _paired(similarity, star), ["a", "b"], "a long, b long").distinct()
+            pairs = written(pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti"), "pairs")
+        similar.append(_similar(pairs, prints, texts, shingle, similarity, n_bytes / max(1, n_rows)))
+        tested.append(pairs)
+        roots = written(nodes.join(components(reduce(DataFrame.union, similar)), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
+    dropped(shared, prints, least, *tested, *similar)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("kept")
     kept = roots.join(ids, "node").groupBy("root").agg(first).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.node").alias("kept_node"))
     kept, key = written(kept, "kept"), (docs[id_col].cast("long"), _node(docs[text_col].cast("string")))
