@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,10 @@ POINTS = np.array([CODE.get(chr(k), OTHER if chr(k).isalpha() else 0) for k in r
 #: What each sign may stand for.
 SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c",
 }
+#: What a star may stand for: the first letters of LETTERS.
+WILDCARD = LETTERS[:26]
 SEPARATORS = " .-_*'~/\\"
 #: Log-probabilities of what the channel does: a sign for a letter, any of the letters a wildcard may be, a stretched
 #: letter, a separator put into a word; and of a sign that is no letter at all.
@@ -39,7 +41,9 @@ WORD = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
 BEGINNINGS = (3, 4, 5, 6)
-BEAM, CACHE = 24, 200_000
+CACHE = 200_000
+#: Less than any path's log-probability.
+NEVER = np.float32(-1e30)
 #: Log-odds of every text where labels of one kind or none teach nothing.
 UNTAUGHT = -4.0
 
@@ -55,7 +59,10 @@ class CharacterModel:
         two = n.sum(0)
         two = (two + 20 * one) / (two.sum(1, keepdims=True) + 20)
         three = (n + 10 * two) / (n.sum(2, keepdims=True) + 10)
-        self.log = np.log(three).astype(np.float32).tolist()
+        self.table = np.log(three).astype(np.float32)
+        self.log = self.table.reshape(SIZE * SIZE, SIZE).tolist()
+        self.wild = np.ascontiguousarray(self.table[:, :, 1 : len(WILDCARD) + 1])
+        self.ends = np.where(np.arange(SIZE) > 0, self.table[:, :, 0], np.float32(0))
 
 
 def trigrams(text: str, counts: np.ndarray) -> None:
@@ -67,53 +74,108 @@ def trigrams(text: str, counts: np.ndarray) -> None:
     counts += np.bincount(((a * SIZE + b) * SIZE + c)[(b > 0) | (c > 0)], minlength=len(counts))
 
 
+class States:
+    """The best path to each state (the last two letters) at one place: few as a dict from a * SIZE + b to (value, way),
+    many, as stars make them, as tables of values with a function that gives the way to a state."""
+
+    def __init__(self) -> None:
+        self.few: dict[int, tuple[float, tuple | None]] = {}
+        self.many: list[tuple[np.ndarray, Callable[[int, int], tuple | None]]] = []
+
+    def reach(self, key: int, value: float, way: tuple | None) -> None:
+        old = self.few.get(key)
+        if old is None or old[0] < value:
+            self.few[key] = (value, way)
+
+    def letters(self, to: States, text: str, codes: tuple[int, ...], cost: float, model: CharacterModel) -> None:
+        """Goes from all states by the letters of text."""
+        log, after = model.log, to.few
+        for key, (value, way) in self.few.items():
+            value += cost
+            for k in codes:
+                value += log[key][k]
+                key = key % SIZE * SIZE + k
+            old = after.get(key)
+            if old is None or old[0] < value:
+                after[key] = (value, (way, text))
+        for values, way in self.many:
+            every = values + model.table[:, :, codes[0]]
+            best, value = every.argmax(0).tolist(), every.max(0).tolist()
+            for b, a in enumerate(best):
+                if value[b] > NEVER:
+                    x, key = value[b] + cost, b * SIZE + codes[0]
+                    for k in codes[1:]:
+                        x += log[key][k]
+                        key = key % SIZE * SIZE + k
+                    to.reach(key, x, (way(a, b), text))
+
+    def star(self, to: States, model: CharacterModel) -> None:
+        """Goes from all states by any letter of WILDCARD; from many, only the best of those with the same last one."""
+        if len(self.few) < 12:
+            for key, (value, way) in self.few.items():
+                row, after = model.log[key], key % SIZE * SIZE
+                for k, x in enumerate(WILDCARD, 1):
+                    to.reach(after + k, value + row[k] + WILD, (way, x))
+            layers = self.many
+        else:
+            have, own = np.full((SIZE, SIZE), NEVER, dtype=np.float32), self.few
+            keys = np.fromiter(own, dtype=np.int64, count=len(own))
+            have[keys // SIZE, keys % SIZE] = [v for v, _ in own.values()]
+            layers = [(have, lambda a, b: own[a * SIZE + b][1]), *self.many]
+        for have, way in layers:
+            ends = np.flatnonzero(have.max(0) > NEVER)
+            every = have[:, ends, None] + model.wild[:, ends]
+            values, best = np.full((SIZE, SIZE), NEVER, dtype=np.float32), np.zeros((SIZE, SIZE), dtype=np.int64)
+            values[ends, 1 : len(WILDCARD) + 1], best[ends, 1 : len(WILDCARD) + 1] = every.max(0) + WILD, every.argmax(0)
+            to.many.append((values, lambda b, k, best=best, way=way: (way(int(best[b, k]), b), WILDCARD[k - 1])))
+
+    def skip(self, to: States, cost: float) -> None:
+        """Goes from all states by no letter."""
+        for key, (value, way) in self.few.items():
+            to.reach(key, value + cost, way)
+        to.many += [(values + np.float32(cost), way) for values, way in self.many]
+
+    def ended(self, model: CharacterModel) -> tuple[float, tuple | None]:
+        """The best of all states when their word ends here."""
+        log = model.log
+        out = [(v + (log[key][0] if key % SIZE else 0.0), w) for key, (v, w) in self.few.items()]
+        for values, way in self.many:
+            every = values + model.ends
+            a, b = divmod(int(every.argmax()), SIZE)
+            out.append((float(every[a, b]), way(a, b)))
+        return max(out, key=lambda s: s[0])
+
+
 def decode(observed: str, model: CharacterModel) -> str:
     """Viterbi over the lattice of what the characters may stand for: the likeliest text by channel and model. States
-    are the last two letters, the best BEAM of them at each place."""
-    log, n = model.log, len(observed)
+    are the last two letters; none is left out, so the path is the best there is."""
+    n = len(observed)
     # between letters that all stand alone, separators are likelier to be noise
     split, keep = (-0.1, -2.0) if SPACED.fullmatch(observed) else (SPLIT, -0.5)
-    states: list[dict[tuple[int, int], tuple[float, tuple | None]]] = [{} for _ in range(n + 1)]
-    states[0][0, 0] = (0.0, None)
-    i = 0
-    while i < n:
-        if not states[i]:
-            i += 1
+    states = [States() for _ in range(n + 1)]
+    states[0].few[0] = (0.0, None)
+    for i, c in enumerate(observed):
+        own, after, run = states[i], states[i + 1], i + 1
+        if not own.few and not own.many:
             continue
-        c = observed[i]
-        run = i + 1
         while run < n and observed[run] == c:
             run += 1
-        arcs: list[tuple[int, str, float]] = []  # where to, what for, at what cost
-        if c in CODE or c.isalpha():
-            arcs.append((i + 1, c, 0.0))
+        k = CODE.get(c) or (OTHER if c.isalpha() else 0)
+        if k:
+            own.letters(after, c, (k,), 0.0, model)
             if run - i >= 3:
-                arcs += [(run, c, STRETCH), (run, c + c, STRETCH - 1.0)]
-        else:
-            for x in SIGNS.get(c, ""):
-                arcs.append((i + 1, x, WILD if c == "*" else SIGN))
-            if c in SEPARATORS and 0 < i:
-                arcs.append((run, "", split))
-            arcs.append((i + 1, " ", keep if c in SEPARATORS else KEEP))
-        best = sorted(states[i].items(), key=lambda s: -s[1][0])[:BEAM]
-        for to, text, cost in arcs:
-            after = states[to]
-            for (a, b), (value, way) in best:
-                value += cost
-                for x in text:
-                    if x == " ":
-                        if b:
-                            value += log[a][b][0]
-                        a = b = 0
-                    else:
-                        k = CODE.get(x, OTHER)
-                        value += log[a][b][k]
-                        a, b = b, k
-                if (a, b) not in after or after[a, b][0] < value:
-                    after[a, b] = (value, (way, text) if text else way)
-        i += 1
-    value, way = max(((v + (log[a][b][0] if b else 0.0), w) for (a, b), (v, w) in states[n].items()), key=lambda s: s[0])
-    out = []
+                own.letters(states[run], c, (k,), STRETCH, model)
+                own.letters(states[run], c + c, (k, k), STRETCH - 1.0, model)
+            continue
+        if c == "*":
+            own.star(after, model)
+        for x in SIGNS.get(c, ""):
+            own.letters(after, x, (CODE[x],), SIGN, model)
+        if c in SEPARATORS and i:
+            own.skip(states[run], split)
+        value, way = own.ended(model)
+        after.reach(0, value + (keep if c in SEPARATORS else KEEP), (way, " "))
+    way, out = states[n].ended(model)[1], []
     while way:
         way, text = way
         out.append(text)
@@ -146,26 +208,25 @@ class Reader:
         self.model, self.chosen, self.cache = model, chosen, {}
 
     def token(self, token: str) -> tuple:
-        found = self.cache.get(token)
-        if found is None:
-            core = token.strip(PUNCTUATION)
-            if core.isalpha() and not STRETCHED.search(core) and not NOISE.search(token):
-                own = [core]
-            else:
-                own = WORD.findall(token)
-                if LETTER.search(token):
-                    # closing and opening punctuation may be letters' signs ('naz!') or not ('hat3!')
-                    for seen in {token, core}:
-                        if NOISE.search(seen) or SPACED.fullmatch(seen):
-                            own += WORD.findall(decode(seen, self.model))
-            if self.chosen is None:
-                found = tuple({p for w in own for p in parts(w)})
-            else:
-                get = self.chosen.get
-                found = tuple({k for w in own for k in (get(w + "$"), *(get(w[:n]) for n in BEGINNINGS if len(w) > n)) if k is not None})
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[token] = found
+        """The features of a token that isn't in the cache."""
+        core = token.strip(PUNCTUATION)
+        if core.isalpha() and not STRETCHED.search(core) and not NOISE.search(token):
+            own = [core]
+        else:
+            own = WORD.findall(token)
+            if LETTER.search(token):
+                # closing and opening punctuation may be letters' signs ('naz!') or not ('hat3!')
+                for seen in {token, core}:
+                    if NOISE.search(seen) or SPACED.fullmatch(seen):
+                        own += WORD.findall(decode(seen, self.model))
+        if self.chosen is None:
+            found = tuple({p for w in own for p in parts(w)})
+        else:
+            get = self.chosen.get
+            found = tuple({k for w in own for k in (get(w + "$"), *(get(w[:n]) for n in BEGINNINGS if len(w) > n)) if k is not None})
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        self.cache[token] = found
         return found
 
     def features(self, text: str) -> set:
@@ -174,10 +235,10 @@ class Reader:
         for m in SPACED.finditer(text):
             tokens.update(windows(m[0]))
         out: set = set()
+        get, update = self.cache.get, out.update
         for t in tokens:
-            found = self.token(t)
-            if found:
-                out.update(found)
+            found = get(t)
+            update(self.token(t) if found is None else found)
         return out
 
 

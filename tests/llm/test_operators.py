@@ -608,3 +608,51 @@ def test_cuts_do_not_depend_on_the_benchmarks_blocks(spark):
     assert outs[0] == outs[1] == outs[2] == sorted(enumerate(["lead words here  tail", "so . end", "clean", None, "", "so . end"]))
     assert decontamination.contamination(decontamination.scan(cut, benchmark)).where("contaminated").count() == 0
     assert sorted((r.kept, r.text) for r in decontamination.remove_spans(docs, benchmark.limit(0)).collect()) == sorted(enumerate(texts))
+
+
+def every_reading(seen, model):
+    """All texts that the lattice of `seen` holds, each with its best log-probability."""
+    best: dict = {}
+    split, keep = (-0.1, -2.0) if toxicity.SPACED.fullmatch(seen) else (toxicity.SPLIT, -0.5)
+
+    def step(a, b, letters):
+        total = 0.0
+        for x in letters:
+            k = 0 if x == " " else toxicity.CODE.get(x, toxicity.OTHER)
+            total += model.log[a * toxicity.SIZE + b][k] if k or b else 0.0
+            a, b = (b, k) if k else (0, 0)
+        return total, a, b
+
+    def walk(i, a, b, value, text):
+        if i == len(seen):
+            value += model.log[a * toxicity.SIZE + b][0] if b else 0.0
+            best[text] = max(value, best.get(text, -1e9))
+            return
+        c, run = seen[i], i + 1
+        while run < len(seen) and seen[run] == c:
+            run += 1
+        if c.isalpha():
+            arcs = [(i + 1, c, 0.0)] + ([(run, c, toxicity.STRETCH), (run, c + c, toxicity.STRETCH - 1)] if run - i >= 3 else [])
+        else:
+            signs = toxicity.WILDCARD if c == "*" else toxicity.SIGNS.get(c, "")
+            arcs = [(i + 1, x, toxicity.WILD if c == "*" else toxicity.SIGN) for x in signs]
+            arcs += [(run, "", split)] if c in toxicity.SEPARATORS and i else []
+            arcs.append((i + 1, " ", keep if c in toxicity.SEPARATORS else toxicity.KEEP))
+        for to, x, cost in arcs:
+            more, x_, y_ = step(a, b, x)
+            walk(to, x_, y_, value + cost + more, text + x)
+
+    walk(0, 0, 0, 0.0, "")
+    return best
+
+
+def test_decoding_finds_the_best_of_all_readings(monkeypatch):
+    counts = np.zeros(toxicity.SIZE**3, dtype=np.int64)
+    toxicity.trigrams("loser moron stupid clown idiot trash of the and façade naïve " * 20, counts)
+    model = toxicity.CharacterModel(counts)
+    rng = random.Random(6)
+    tokens = ["m***n", "***", "a*b**", "f**k***"[:5], "*", "l.0.s.e.r", "stuuuu1d", "m o r o n", "1 d i 0 t", "--a--", "tr@5h!", "naïï ï"]
+    tokens += ["".join(rng.choice("aioms01@$*.- !+") for _ in range(rng.randint(1, 6))) for _ in range(300)]
+    for seen in (t for t in tokens if t.count("*") < 4):
+        every = every_reading(seen, model)
+        assert every[toxicity.decode(seen, model)] >= max(every.values()) - 1e-3, seen
