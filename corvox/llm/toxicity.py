@@ -59,11 +59,20 @@ class CharacterModel:
         two = n.sum(0)
         two = (two + 20 * one) / (two.sum(1, keepdims=True) + 20)
         three = (n + 10 * two) / (n.sum(2, keepdims=True) + 10)
-        self.table = np.log(three).astype(np.float32)
+        self._take(np.log(three).astype(np.float32))
+
+    def _take(self, table: np.ndarray) -> None:
+        self.table = table
         self.log = self.table.reshape(SIZE * SIZE, SIZE).tolist()
         self.wild = np.ascontiguousarray(self.table[:, :, 1 : len(WILDCARD) + 1])
         self.ends = np.where(np.arange(SIZE) > 0, self.table[:, :, 0], np.float32(0))
 
+    def __getstate__(self) -> np.ndarray:
+        return self.table
+
+    def __setstate__(self, table: np.ndarray) -> None:
+        self._take(table)
+
 
 def trigrams(text: str, counts: np.ndarray) -> None:
     """Adds the trigrams within the words of a lower-case text; before a word stand two borders, after it one."""
@@ -123,10 +132,10 @@ class States:
             have[keys // SIZE, keys % SIZE] = [v for v, _ in own.values()]
             layers = [(have, lambda a, b: own[a * SIZE + b][1]), *self.many]
         for have, way in layers:
-            ends = np.flatnonzero(have.max(0) > NEVER)
-            every = have[:, ends, None] + model.wild[:, ends]
+            ends, starts = np.flatnonzero(have.max(0) > NEVER), np.flatnonzero(have.max(1) > NEVER)
+            every = have[starts[:, None], ends, None] + model.wild[starts[:, None], ends]
             values, best = np.full((SIZE, SIZE), NEVER, dtype=np.float32), np.zeros((SIZE, SIZE), dtype=np.int64)
-            values[ends, 1 : len(WILDCARD) + 1], best[ends, 1 : len(WILDCARD) + 1] = every.max(0) + WILD, every.argmax(0)
+            values[ends, 1 : len(WILDCARD) + 1], best[ends, 1 : len(WILDCARD) + 1] = every.max(0) + WILD, starts[every.argmax(0)]
             to.many.append((values, lambda b, k, best=best, way=way: (way(int(best[b, k]), b), WILDCARD[k - 1])))
 
     def skip(self, to: States, cost: float) -> None:
@@ -238,7 +247,10 @@ class Reader:
         get, update = self.cache.get, out.update
         for t in tokens:
             found = get(t)
-            update(self.token(t) if found is None else found)
+            if found is None:
+                found = self.token(t)
+            if found:
+                update(found)
         return out
 
 
