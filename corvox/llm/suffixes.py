@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .blocks import bucket_bounds, covered, each, opened, packed, to_blocks, total_bytes, unpacked, unpacked_all
 from .common import BYTE_VALUES, chunks, fixed_hash, mix, partitions, prefix_hash, span_hash, written
@@ -182,8 +183,9 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     A byte of a text's UTF-8 goes if it is in a string of `length` bytes that also begins anywhere else, in the same
     document or another; strings are judged on the input and never go beyond a document.
 
-    Equal strings have equal anchors, so candidates meet in buckets by their anchor's hash. Contexts of anchors that
-    occur more than once are gathered, equal ones as one with a weight, and suffix-sorted; the order shows which
+    Equal strings have equal anchors, so candidates meet in buckets by their anchor's hash. A block sends each context
+    once, however often it holds it. Contexts of anchors that occur more than once are gathered, equal ones (by two
+    64-bit hashes, the anchor's and the context's) as one with a weight, and suffix-sorted; the order shows which
     strings are equal. Null texts are empty; shorter texts stay whole; repeated rows remove each other's bytes; an
     empty table gives no rows; other columns are ignored. with_bytes adds the bytes that stay (kept)."""
     if length < 2 * SPREAD:
@@ -196,26 +198,38 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         for row in each(batches):
             _, raw, at = opened(row)
             found = anchors(raw, at, length)
-            order = np.argsort(found[0], kind="stable")
+            order = np.lexsort((found[1], found[0]))
             found = [x[order] for x in found]
+            # what a block holds of one context goes as one entry; its strings occur more than once here already
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (found[0][1:] != found[0][:-1]) | (found[1][1:] != found[1][:-1])
+            n = np.diff(np.r_[np.flatnonzero(new), len(new)])
+            if len(n) < len(new):
+                _, _, place, left, right = (x[np.repeat(n, n) > 1] for x in found)
+                own = packed(place - left, left.astype(np.uint32) + right + np.uint32(gram))
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - row["block"] % buckets], pa.int32()), pa.array([row["block"]], pa.int64()), pa.array([own], pa.binary())], ["bucket", "block", "data"])
+            found = [*(x[new] for x in found), (n > 1).astype(np.uint8)]
             bounds = bucket_bounds(found[0], buckets)
             some = np.flatnonzero(np.diff(bounds))
             data = [packed(*(x[a:b] for x in found)) for a, b in zip(bounds[some].tolist(), bounds[some + 1].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([row["block"]] * len(some), pa.int64()), pa.array(data, pa.binary())], ["bucket", "block", "data"])
 
     def classify(table: pa.Table) -> pa.Table:
-        """Anchors that occur more than once, numbered by key and context; for each number one that stands for it."""
+        """Anchors that occur more than once, numbered by key and context; for each number one that stands for it. A
+        negative bucket holds what blocks have found by themselves."""
         owner, bucket = table.column("block").to_numpy(), table.column("bucket")[0].as_py()
-        (h, variant, place, left, right), of = unpacked_all(table.column("data").to_pylist(), *ANCHOR)
+        if bucket < 0:
+            return pa.table([table.column("bucket"), table.column("block"), table.column("data"), pa.nulls(len(table), pa.binary())], ["bucket", "block", "all", "first"])
+        (h, variant, place, left, right, again), of = unpacked_all(table.column("data").to_pylist(), *ANCHOR, "u1")
         order = np.lexsort((place, of, variant, h))
-        h, variant, place, left, right, of = (x[order] for x in (h, variant, place, left, right, of))
+        h, variant, place, left, right, again, of = (x[order] for x in (h, variant, place, left, right, again, of))
         new_key = np.r_[True, h[1:] != h[:-1]] if len(h) else np.empty(0, dtype=bool)
         key = np.cumsum(new_key) - 1
-        often = np.bincount(key)[key] > 1
-        h, variant, key, place, left, right, of = (x[often] for x in (h, variant, key, place, left, right, of))
+        often = np.bincount(key, weights=1 + again)[key] > 1
+        h, variant, key, place, left, right, again, of = (x[often] for x in (h, variant, key, place, left, right, again, of))
         new = np.r_[True, (variant[1:] != variant[:-1]) | (h[1:] != h[:-1])] if len(h) else np.empty(0, dtype=bool)
         number = np.cumsum(new) - 1
-        weight = np.bincount(number)[number] if len(number) else number
+        weight = np.bincount(number, weights=1 + again)[number].astype(np.int64) if len(number) else number
         out, by_row = [], np.argsort(of, kind="stable")
         begins = np.flatnonzero(np.diff(of[by_row], prepend=-1))
         for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(of)], strict=False):
@@ -280,9 +294,10 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     sent = blocks.mapInArrow(send, "bucket int, block long, data binary")
     classes = written(sent.groupBy("bucket").applyInArrow(classify, "bucket int, block long, all binary, first binary"), "classes", codec="none")
+    alone, classes = classes.where("bucket < 0").select("block", F.col("all").alias("data")), classes.where("bucket >= 0")
     contexts = blocks.groupBy("block").cogroup(classes.select("block", "bucket", "first").groupBy("block")).applyInArrow(gather, "bucket int, data binary")
     # a bucket is little data and much work: as many tasks as buckets, which small sizes don't merge
     contexts, members = contexts.repartition(buckets, "bucket"), classes.select("bucket", "block", "all").repartition(buckets, "bucket")
     spans = contexts.groupBy("bucket").cogroup(members.groupBy("bucket")).applyInArrow(sort, "block long, data binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
+    return blocks.groupBy("block").cogroup(spans.union(alone).groupBy("block")).applyInArrow(cut, schema)

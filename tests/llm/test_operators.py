@@ -656,3 +656,18 @@ def test_decoding_finds_the_best_of_all_readings(monkeypatch):
     for seen in (t for t in tokens if t.count("*") < 4):
         every = every_reading(seen, model)
         assert every[toxicity.decode(seen, model)] >= max(every.values()) - 1e-3, seen
+
+
+def test_runs_of_one_byte_are_sent_once(spark):
+    """A megabyte of one byte and texts that repeat within a block and across blocks."""
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    texts = [" " * 1_000_000, "x" * 5000 + base, base[100:400], base, "y" * 260, "y" * 190, base * 3, None, "z" * 199]
+    rows = [(k, t, 1, "b", 0.5, "s") for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = listed(suffixes.remove_repeats(docs, 200), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    small = [(k, t, 1, "b", 0.5, "s") for k, t, *_ in rows if k]
+    assert [r for r in got if r[0]] == brute_repeats(small, 200)
+    assert [r[:4] for r in got if r[0] == 0] == [(0, 1_000_000, 1_000_000, 1)]
+    hashed = suffixes.anchors(np.full(100_000, 32, dtype=np.uint8), np.array([0, 100_000]), 200)
+    assert len(hashed[0]) > 1000 and len(set(zip(hashed[0].tolist(), hashed[1].tolist(), strict=True))) < 10
