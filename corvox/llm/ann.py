@@ -89,6 +89,7 @@ def scan_list(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarr
         for b in range(first, n, STEP):
             part = own + norms[b : b + STEP] - 2 * q[:, :BLOCK] @ columns[0][b : b + STEP].T
             limit = best[:, -1] if best.shape[1] == k else np.full(len(q), np.inf)
+            added = [np.empty(0) for _ in q]
             for i in range(len(q)):
                 alive = np.flatnonzero(part[i] <= limit[i] * factor[0])
                 far, at = part[i][alive], alive + b
@@ -101,7 +102,8 @@ def scan_list(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarr
                 if len(at):
                     kept[i].append(at)
                     dist[i].append(far)
-            ranked = [np.sort(np.concatenate([best[i], *(dist[i][1:][-1:])]))[:k] for i in range(len(q))]
+                    added[i] = far
+            ranked = [np.sort(np.concatenate([best[i], added[i]]))[:k] for i in range(len(q))]
             width = min(map(len, ranked))
             best = np.array([x[:width] for x in ranked])
         for i in range(len(q)):
@@ -126,7 +128,9 @@ def search(
     of components than most do, take no part. Rows repeated with their id count once. No rows: no result."""
     spark = vectors.sparkSession
     values = F.col("embedding")
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<float>").alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    # scores are of the vectors as they are: only single precision is kept as such
+    kind = "array<float>" if vectors.schema[vector_col].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind).alias("embedding"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     rows = rows.where(
         F.col("vec_id").isNotNull() & (F.size(values) > 0)
         & F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0)
@@ -162,9 +166,9 @@ def search(
                 own = sent.value.nearest(sent.value.rotated(_matrix(batch.column("embedding")), True), sent.value.centres, probed)
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32).tolist(), pa.list_(pa.int32()))], [*batch.schema.names, "lists"])
 
-    placed = written(points.select("point", "ids", "embedding").mapInArrow(place, "point long, ids array<long>, embedding array<float>, list int"), "placed")
+    placed = written(points.select("point", "ids", "embedding").mapInArrow(place, f"point long, ids array<long>, embedding {kind}, list int"), "placed")
     asking = points.join(asks.select("point").distinct(), "point", "left_semi").select("point", "embedding")
-    asked = written(asking.mapInArrow(ask, "point long, embedding array<float>, lists array<int>"), "asked").select("point", "embedding", F.explode("lists").alias("list"))
+    asked = written(asking.mapInArrow(ask, f"point long, embedding {kind}, lists array<int>"), "asked").select("point", "embedding", F.explode("lists").alias("list"))
     counts = placed.groupBy("list").agg(F.count("*").alias("n")).join(asked.groupBy("list").agg(F.count("*").alias("m")), "list")
     cells = counts.select("list", F.ceil(F.col("n") / CELL_VECTORS).cast("int").alias("nc"), F.ceil(F.col("m") / CELL_QUERIES).cast("int").alias("nq"))
     cells = F.broadcast(spark.createDataFrame(cells.collect(), cells.schema))  # a row for each list, most_lists at most

@@ -19,6 +19,8 @@ from .common import BYTE_VALUES, LOWER, NOT_SPACE, chunks, id_and_text, mix, par
 END = np.uint64(0x2545F4914F6CDD1D)
 CODED = "block long, ids array<long>, held array<boolean>, sizes array<int>, n_bytes long, tokens binary, vocabulary binary"
 BUCKET_BYTES = 1 << 23
+#: Words that are clustered one by one, at most: their table of pairs has that many rows and columns.
+MOST_FREQUENT = 4096
 
 
 def _held_out(doc_id: int | None, folds: int, fold: int) -> bool:
@@ -99,6 +101,13 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 6) -> np.ndarray:
     return own
 
 
+def sizes(vocabulary: int) -> tuple[int, int]:
+    """Numbers of classes and of words that are clustered one by one, by the number of distinct words: classes as its
+    cube root, words as four times its square root. MOST_FREQUENT words and 240 classes fit the driver's table; the
+    rest of the vocabulary is assigned on Spark, however large it is."""
+    return min(240, max(48, round(vocabulary ** (1 / 3)))), min(MOST_FREQUENT, max(768, round(4 * vocabulary**0.5)))
+
+
 def _sum_pairs(table: pa.Table) -> pa.Table:
     (code_, n), _ = unpacked_all(table.column("data").to_pylist(), "u4", "u4")
     code_, at = np.unique(code_, return_inverse=True)
@@ -106,16 +115,16 @@ def _sum_pairs(table: pa.Table) -> pa.Table:
 
 
 def score(
-    docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 48, frequent: int = 768, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, folds: int = 5, fold: int = 1, classes: int | None = None, frequent: int | None = None, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """For each row: doc_id, held_out (crc32 of the id's text modulo folds is `fold`), n_tokens, n_known (tokens that
     training texts have), train_tokens, base_score (add-half unigram log10 probability), score (log10 probability by
     the class model), perplexity (10 ** (-score / n_tokens)).
 
     Tokens are lower-cased (A-Z) words and one end for each text. All words of the training texts are counted. The
-    `frequent` most frequent ones are clustered by exchange; every other word that occurs twice or more then goes to
-    the class that its left neighbours favour most, one exchange step over all of the corpus. Words that occur once
-    share a class with the unknown word, whose probability is Good and Turing's; they have no left-context of their
+    `frequent` most frequent ones are clustered by exchange into `classes`; both numbers follow the vocabulary unless
+    they are given (sizes()). Every other word that occurs twice or more then goes to the class that its neighbours on
+    both sides favour most, one exchange step over all of the corpus. Words that occur once share a class with the unknown word, whose probability is Good and Turing's; they have no left-context of their
     own. A token's probability is that of its class after the class before it (after the end's at a text's start),
     interpolated with the class's own, times that of the word in its class. For any history the probabilities of all
     known words and the unknown one add up to 1.
@@ -127,7 +136,7 @@ def score(
     coded = code(docs, folds, fold, id_col, text_col)
     n_bytes = coded.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).head()[0]
     buckets = max(partitions(spark), n_bytes // BUCKET_BYTES)
-    rare = classes
+    given = frequent
 
     def by_bucket(block: int, h: np.ndarray, pack) -> pa.RecordBatch:
         bounds = bucket_bounds(h, buckets)
@@ -146,7 +155,7 @@ def score(
         (h, n), of = unpacked_all(table.column("data").to_pylist(), "u8", "u4")
         h, at = np.unique(h, return_inverse=True)
         c = np.bincount(at, weights=n).astype(np.int64)
-        top = np.argsort(-c, kind="stable")[:frequent]
+        top = np.argsort(-c, kind="stable")[: given or MOST_FREQUENT]
         top = top[c[top] > 0]
         facts = dict(n=int(c.sum()), v=int((c > 0).sum()), v1=int((c == 1).sum()), v2=int((c == 2).sum()), top=[dict(h=int(x), c=int(y)) for x, y in zip(h[top].view(np.int64), c[top], strict=True)])
         rows = [dict(bucket=bucket, block=b, data=packed(c[at[of == k]]), facts=facts if k == 0 else None) for k, b in enumerate(owner)]
@@ -159,6 +168,8 @@ def score(
     counted = written(sent.groupBy("bucket").applyInArrow(count, f"bucket int, block long, data binary, facts {facts_type}"), "counted", codec="none")
     known = counted.where("facts is not null")
     total, v, v1, v2 = (x or 0 for x in known.agg(*(F.sum(f"facts.{x}") for x in ("n", "v", "v1", "v2"))).head())
+    classes, frequent = (x or y for x, y in zip((classes, frequent), sizes(v), strict=True))
+    rare = classes
     top = known.select(F.explode("facts.top").alias("w")).select("w.h", "w.c").where("c > 1").orderBy(F.desc("c"), "h").limit(frequent).collect()
     top_hash = np.array([r.h for r in top], dtype=np.int64).view(np.uint64)
     if END not in top_hash:
@@ -192,7 +203,10 @@ def score(
     member = np.zeros((k_top, classes))
     member[np.arange(k_top), top_class] = 1
     smooth = member.T @ pairs @ member + 0.1
-    favour = np.log(smooth / smooth.sum(1, keepdims=True)) - np.log(smooth.sum(0) / smooth.sum())
+    # what each class of the word before, then of the word after, tells about the word's own class
+    joint = np.log(smooth / smooth.sum())
+    favour = joint - np.log(smooth.sum(1, keepdims=True) / smooth.sum()) - np.log(smooth.sum(0) / smooth.sum())
+    favour = np.concatenate([favour, favour.T]).astype(np.float32)
 
     def send_contexts(key, block: pa.Table, counts: pa.Table) -> pa.Table:
         out = []
@@ -206,14 +220,19 @@ def score(
             # the nearest frequent word before each token, of the same text or its start
             seen = np.where(begins, end_rank, np.r_[-1, top[tokens[:-1]]])
             context = top_class[seen[np.maximum.accumulate(np.where(seen >= 0, np.arange(len(seen)), 0))]]
+            # and the nearest one after it: every text has its end
+            own, last = top[tokens], len(tokens) - 1
+            ahead = np.minimum.accumulate(np.where(own >= 0, np.arange(len(own)), last)[::-1])[::-1]
+            after = top_class[own[ahead[np.minimum(np.arange(len(own)) + 1, last)]]]
             some = train & (place[tokens] >= 0)
-            code_, n = np.unique(place[tokens[some]] * classes + context[some], return_counts=True)
-            word = code_ // classes
+            of = place[tokens[some]] * 2 * classes
+            code_, n = np.unique(np.concatenate([of + context[some], of + classes + after[some]]), return_counts=True)
+            word = code_ // (2 * classes)
 
             def pack(a: int, b: int, asked=asked, h=h, code_=code_, n=n, word=word) -> bytes:
                 x, y = np.searchsorted(word, (a, b))
                 head = packed(h[asked[a:b]])
-                return len(head).to_bytes(4, "little") + head + packed((code_[x:y] - a * classes).astype(np.uint32), n[x:y].astype(np.uint32))
+                return len(head).to_bytes(4, "little") + head + packed((code_[x:y] - a * 2 * classes).astype(np.uint32), n[x:y].astype(np.uint32))
 
             out.append(by_bucket(row["block"], h[asked], pack))
         return pa.Table.from_batches(out) if out else pa.table({"bucket": pa.array([], pa.int32()), "block": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
@@ -227,12 +246,12 @@ def score(
             codes.append(unpacked(x[n:], "u4", "u4"))
         distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
         ends = np.cumsum([len(x) for x in hashes])
-        counts = np.zeros((len(distinct), classes))
+        counts = np.zeros((len(distinct), 2 * classes), dtype=np.float32)
         for x, end, (code_, n) in zip(hashes, ends, codes, strict=True):
             own = at[end - len(x) : end]
-            np.add.at(counts, (own[code_ // classes], code_ % classes), n)
+            np.add.at(counts, (own[code_ // (2 * classes)], code_ % (2 * classes)), n)
         chosen = (counts @ favour).argmax(1)
-        totals = np.bincount(chosen, weights=counts.sum(1), minlength=classes).astype(np.int64).tolist()
+        totals = np.bincount(chosen, weights=counts[:, :classes].sum(1), minlength=classes).astype(np.int64).tolist()
         data = [packed(chosen[at[end - len(x) : end]].astype(np.uint8)) for x, end in zip(hashes, ends, strict=True)]
         return pa.table({"bucket": pa.array([bucket] * len(owner), pa.int32()), "block": pa.array(owner, pa.int64()), "data": pa.array(data, pa.binary()), "totals": pa.array([totals if k == 0 else None for k in range(len(owner))], pa.list_(pa.int64()))})
 

@@ -671,3 +671,35 @@ def test_runs_of_one_byte_are_sent_once(spark):
     assert [r[:4] for r in got if r[0] == 0] == [(0, 1_000_000, 1_000_000, 1)]
     hashed = suffixes.anchors(np.full(100_000, 32, dtype=np.uint8), np.array([0, 100_000]), 200)
     assert len(hashed[0]) > 1000 and len(set(zip(hashed[0].tolist(), hashed[1].tolist(), strict=True))) < 10
+
+
+def test_long_lists_are_scanned_as_by_brute_force():
+    """More steps than one, clustered rows, queries that find nothing new in a step."""
+    rng = np.random.default_rng(9)
+    centres = rng.standard_normal((20, 40)) * 4
+    x = np.concatenate([c + 0.3 * rng.standard_normal((1000, 40)) for c in centres]).astype(np.float32)
+    q = (x[::997] + 0.01).astype(np.float32)
+    found = ann.scan_list(x, q, 20)
+    exact = ((x[None, :, :].astype(np.float64) - q[:, None, :]) ** 2).sum(2)
+    share = np.mean([len(set(np.argsort(d, kind="stable")[:20].tolist()) & set(f.tolist())) / 20 for d, f in zip(exact, found, strict=True)])
+    assert share >= 0.97
+
+
+def test_scores_keep_double_precision(spark):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((60, 8))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(df, F.col("vec_id") % 20 == 0, k=3, recall=1.0).collect()
+    assert len(got) == 9 and all(abs(r.score - float(x[r.query_id] @ x[r.vec_id])) < 1e-13 for r in got)
+
+
+def test_class_model_beats_the_base_on_held_out_texts(spark):
+    rng = random.Random(2)
+    nouns, verbs = [f"n{k}" for k in range(30)], [f"v{k}" for k in range(30)]
+    texts = [" ".join(f"{rng.choice(nouns)} {rng.choice(verbs)}" for _ in range(20)) for _ in range(120)]
+    docs, held, most = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), [k for k in range(120) if zlib.crc32(str(k).encode()) % 5 == 1], np.log10(2) * 40
+    # after a noun comes a verb, so each of 40 words may become twice as likely; fewer frequent words tell less
+    for frequent, share in ((100, 0.8), (20, 0.4)):
+        rows = {r.doc_id: r for r in brown.score(docs, classes=4, frequent=frequent).collect()}
+        assert sum(rows[k].score - rows[k].base_score for k in held) > share * most * len(held)
+    assert brown.sizes(1000) == (48, 768) and brown.sizes(10**6) == (100, 4000) and brown.sizes(10**9) == (240, 4096)
