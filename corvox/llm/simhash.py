@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, id_and_text, mix, partitions, written
+from .common import dropped, id_and_text, lean, mix, partitions, written
 from .components import components
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             done.append(majority(b"".join(held), np.array(counts, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(done).view(np.int64))], ["doc_id", "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,9 +178,9 @@ def links(distinct: DataFrame) -> DataFrame:
     pairs, but enough of them that components are the same. A key's entries share 48 bits, so at most 2**16 of them
     are table entries, however many fingerprints there are."""
     n = partitions(distinct.sparkSession)
-    entries = distinct.select("fp").mapInArrow(_entries, "segment int, key long, fp long, probe boolean")
+    entries = distinct.select("fp").mapInArrow(lean(_entries), "segment int, key long, fp long, probe boolean")
     by_key = entries.repartition(n, "segment", "key").sortWithinPartitions("segment", "key")
-    return by_key.mapInArrow(_linked, "a long, b long")
+    return by_key.mapInArrow(lean(_linked), "a long, b long")
 
 
 def thinned(found: DataFrame) -> DataFrame:
@@ -212,11 +212,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", t
 
 
 #: Five-word shingles that are put last when prefixes are taken: at most so many, from a sample of so many texts.
-COMMON, SAMPLED = 1 << 18, 20_000
+COMMON, SAMPLED = 1 << 18, 10_000
 #: Texts of which a task remembers that it has sent their entries.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 #: Rounds of stars before all pairs are compared; entries that are compared at once.
-STARS, GROUP = 2, 1 << 15
+STARS, GROUP = 1, 1 << 15
 #: Bytes of text in a block of nodes whose pairs are verified together.
 BLOCK_BYTES = 1 << 22
 #: Of 128 bits: texts of a similarity of 0.75 or more differ in 24 on average, unlike ones in 64.
@@ -254,7 +254,7 @@ def _set_prints(texts: DataFrame, shingle: int) -> DataFrame:
             both = np.concatenate(out)
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["node", "fp", "more"])
 
-    return texts.select("node", "text").mapInArrow(run, "node long, fp long, more long")
+    return texts.select("node", "text").mapInArrow(lean(run), "node long, fp long, more long")
 
 
 def _two_prints(hashes: list[np.ndarray], counts: list[int]) -> np.ndarray:
@@ -272,7 +272,7 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
     share = min(1.0, SAMPLED / max(1, texts.count()))
     some = texts.where(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1))
-    top = some.select("text").mapInArrow(run, "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(COMMON).toArrow()
+    top = some.select("text").mapInArrow(lean(run), "key long").groupBy("key").count().where("count > 3").orderBy(F.desc("count"), "key").limit(COMMON).toArrow()
     key, count = top.column("key").to_numpy(), top.column("count").to_numpy()
     return key[np.argsort(key)], count[np.argsort(key)]
 
@@ -317,7 +317,7 @@ def _prefix_entries(texts: DataFrame, shingle: int, similarity: float) -> DataFr
             if keys:
                 yield entries()
 
-    return texts.select("node", "text").mapInArrow(run, ENTRY)
+    return texts.select("node", "text").mapInArrow(lean(run), ENTRY)
 
 
 def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> DataFrame:
@@ -368,7 +368,7 @@ def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> Da
             yield from settled([np.concatenate(c) for c in zip(*rest, strict=True)], True)
 
     n = partitions(entries.sparkSession)
-    return entries.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(run, schema)
+    return entries.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(lean(run), schema)
 
 
 def _shared(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -461,7 +461,7 @@ def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int
                 seen.clear()
             yield batch.filter(pa.array(new, pa.bool_()))
 
-    sent = texts.join(wanted, "node").select("cell", "node", "text").mapInArrow(once, "cell long, node long, text string")
+    sent = texts.join(wanted, "node").select("cell", "node", "text").mapInArrow(lean(once), "cell long, node long, text string")
     every = sent.select("cell", F.lit(0).alias("kind"), F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "text").union(placed.select("cell", F.lit(1), "a", "b", F.lit(None).cast("string")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -485,7 +485,7 @@ def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     n = partitions(texts.sparkSession)
-    found = written(every.repartition(n, "cell").sortWithinPartitions("cell", "kind").mapInArrow(run, "a long, b long"), "similar")
+    found = written(every.repartition(n, "cell").sortWithinPartitions("cell", "kind").mapInArrow(lean(run), "a long, b long"), "similar")
     dropped(pairs, met, placed, wanted)
     return found
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, id_and_text
+from .common import crc_mod, id_and_text, lean
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
 #: Character codes: 0 is a word's border (anything but letters), the last all other letters.
@@ -41,7 +41,9 @@ WORD = re.compile(r"[^\W\d_]+")
 STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
 BEGINNINGS = (3, 4, 5, 6)
-CACHE = 200_000
+CACHE = 100_000
+#: Features' names that a task counts before it hands them on.
+HELD_NAMES = 1 << 17
 #: Less than any path's log-probability.
 NEVER = np.float32(-1e30)
 #: Log-odds of every text where labels of one kind or none teach nothing.
@@ -302,7 +304,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_
         some = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(counts[some], pa.int64())], ["k", "n"])
 
-    rows = own.mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()  # SIZE ** 3 at most
+    rows = own.mapInArrow(lean(count), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()  # SIZE ** 3 at most
     counts = np.zeros(SIZE**3)
     counts[[r.k for r in rows]] = [r.n for r in rows]
     model = CharacterModel(counts)
@@ -317,18 +319,27 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, tallies = Reader(sent.value, None), (Counter(), Counter())
+
+        def tally() -> pa.RecordBatch:
+            names = list(tallies[0].keys() | tallies[1].keys())
+            made = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([t[x] for x in names], pa.int64()) for t in tallies)], ["name", "clean", "toxic"])
+            for t in tallies:
+                t.clear()
+            return made
+
         for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                tallies[int(y > 0)].update(reader.features(text or ""))
-        names = list(tallies[0].keys() | tallies[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([t[x] for x in names], pa.int64()) for t in tallies)], ["name", "clean", "toxic"])
+            for text, y in zip(batch.column("text"), batch.column("toxic").to_pylist(), strict=True):
+                tallies[int(y > 0)].update(reader.features(text.as_py() or ""))
+                if len(tallies[0]) + len(tallies[1]) > HELD_NAMES:
+                    yield tally()
+        yield tally()
 
     totals = texts.agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).head()
     bad, good = totals[0], totals[1]
     if not bad or not good:
         return model, {}, np.zeros(0), UNTAUGHT
     p = bad / (bad + good)
-    tally = texts.mapInArrow(features, "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    tally = texts.mapInArrow(lean(features), "name string, clean long, toxic long").groupBy("name").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     both = F.col("clean") + F.col("toxic")
     part = lambda x, q: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / (both * q))).otherwise(0.0)
     ranked = tally.where(both >= 4).withColumn("gain", part("toxic", p) + part("clean", 1 - p)).where("gain > 8")
@@ -340,7 +351,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_
             found = [sorted(reader.features(t or "")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column("toxic")], ["found", "toxic"])
 
-    fit = texts.mapInArrow(sets, "found array<int>, toxic int").toArrow()
+    fit = texts.mapInArrow(lean(sets), "found array<int>, toxic int").toArrow()
     w, b = fit_logistic(fit.column("found").to_pylist(), (fit.column("toxic").to_numpy() > 0).astype(float), len(chosen))
     return model, chosen, w, b
 
@@ -361,7 +372,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
     own = id_and_text(docs, id_col, text_col).withColumn("held_out", crc_mod("doc_id", folds) == fold)
-    return own.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return own.mapInArrow(lean(run), "doc_id long, held_out boolean, score double, predicted int")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -373,4 +384,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id
         for batch in batches:
             yield batch.filter(pa.array(scorer.scores(batch.column(text_col)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
