@@ -77,6 +77,14 @@ def _remove() -> None:
             return
 
 
+def in_small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Lets texts go to Python and back in batches of a few MB, which are outside of the heap in the JVM and in Python at
+    once. A session that has its own setting keeps it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """run, which gives memory that it has freed back to the system when it ends: Python workers are used again."""
 

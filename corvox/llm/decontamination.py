@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BYTE_VALUES, LOWER, chunks, fixed_hash, id_and_text, mix, prefix_hash, span_hash, utf8, words, written
+from .common import BYTE_VALUES, LOWER, chunks, fixed_hash, id_and_text, in_small_batches, lean, mix, prefix_hash, span_hash, utf8, words, written
 
 #: Bytes of words: digits, letters and all beyond ASCII, which in UTF-8 are the bytes from 0x80.
 IS_WORD = np.zeros(256, dtype=bool)
@@ -107,7 +107,7 @@ def _scanned(rows: DataFrame, benchmark: DataFrame, n: int, most_bytes: int, ite
                     columns = [*(part.column(c) for c in names), pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
                     yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "hits", "items"])
 
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(lean(run), schema)
         if ahead is not None:
             out = written(out, "scanned")
             sent.destroy()
@@ -139,7 +139,8 @@ def _covered(hits: bytes) -> list[list[int]]:
 
 def contamination(scanned: DataFrame) -> DataFrame:
     """Of what scan() returns, the counts by document: doc_id, n_words, n_hit (words inside an occurrence), n_items,
-    items_sha256 (of their ids, sorted as strings and joined by commas), contaminated (n_hit > 0)."""
+    items_sha256 (of their ids, sorted as strings and joined by commas), contaminated (n_hit > 0). Repeated rows each get
+    their row; overlapping hits count a word once; no rows: no rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,6 +161,7 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes:
     that scan() finds in the texts as they are, by all of the benchmark, so they don't depend on its blocks. Rows
     without hits, null and empty texts among them, and other columns stay as they are; repeated rows and ids are cut
     each for itself; an empty table on either side changes nothing."""
+    in_small_batches(docs.sparkSession)
     names = docs.columns
     row = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*(F.col(f"`{x}`") for x in names if x != text_col), F.lit(0).alias("_")).alias("kept"))
 
@@ -177,5 +179,5 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = 10, most_bytes:
                     texts[k] = b"".join([*left, own[done:]]).decode()
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("kept")], names=["text", "kept"])
 
-    cut_rows = _scanned(row, benchmark, n, most_bytes, item_col, item_text_col).select("text", "hits", "kept").mapInArrow(cut, row.schema)
+    cut_rows = _scanned(row, benchmark, n, most_bytes, item_col, item_text_col).select("text", "hits", "kept").mapInArrow(lean(cut), row.schema)
     return cut_rows.select(*(F.col("text").cast(docs.schema[x].dataType).alias(x) if x == text_col else F.col(f"kept.`{x}`").alias(x) for x in names))

@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import dropped, id_and_text, lean, mix, partitions, written
+from .common import dropped, id_and_text, in_small_batches, lean, mix, partitions, written
 from .components import components
 
 SEED = 42
@@ -505,6 +505,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
     exceeds less than once in 10**6 times) and then the similarity itself, on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
     another text is like them. All blank texts are copies of each other, of which one row stays; of rows that repeat
     an id with its text one stays; an empty table stays empty; other columns stay as they are."""
+    in_small_batches(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col).withColumn("node", _node(F.col("text")))
     texts = rows.where("node <> 0").select("node", "text")
     ids = written(rows.groupBy("node", "doc_id").agg(F.count("*").alias("n")), "ids")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, id_and_text, lean
+from .common import crc_mod, id_and_text, in_small_batches, lean
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
 #: Character codes: 0 is a word's border (anything but letters), the last all other letters.
@@ -288,6 +288,7 @@ def train(docs: DataFrame, labels: DataFrame, most_labelled: int = 20_000, most_
     rows whose crc32(id) modulo folds isn't `fold`: about most_labelled of these at most, chosen by hash of the id. A
     feature is chosen by how unlikely its numbers of toxic and other texts are if it had nothing to do with labels."""
     spark = docs.sparkSession
+    in_small_batches(spark)
     own = id_and_text(docs, id_col, text_col)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +377,9 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, folds: int
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs, with all their columns, that score() predicts 0 for."""
+    """The rows of docs, with all their columns, that score() predicts 0 for; those at the threshold go. Null and empty
+    texts are scored as texts without features, repeated rows and ids each by their own text; an empty table stays
+    empty; without labels of both kinds all rows stay."""
     sent = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, **options))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
