@@ -126,22 +126,27 @@ def chunks(at: np.ndarray, most: int):
 
 
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+KEPT_POWERS = 1 << 20
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64 for i < n."""
-    if len(_powers[0]) < n:
-        size = max(n, 2 * len(_powers[0]))
-        for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers[0][:n], _powers[1][:n]
+    """BASE**i and its inverse modulo 2**64 for i < n. Those of usual lengths are kept."""
+    if n <= len(_powers[0]):
+        return _powers[0][:n], _powers[1][:n]
+    size, out = max(n, min(2 * n, KEPT_POWERS)), []
+    for base in (BASE, pow(BASE, -1, 1 << 64)):
+        steps = np.full(size, base, dtype=np.uint64)
+        steps[0] = 1
+        out.append(np.multiply.accumulate(steps))
+    if size <= KEPT_POWERS:
+        _powers[:] = out
+    return out[0][:n], out[1][:n]
 
 
 def prefix_hash(values: np.ndarray) -> np.ndarray:
     out = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * powers(len(values))[0], out=out[1:])
+    np.multiply(values, powers(len(values))[0], out=out[1:])
+    np.cumsum(out[1:], out=out[1:])
     return out
 
 

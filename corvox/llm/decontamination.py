@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,19 +85,22 @@ def benchmark_blocks(benchmark: DataFrame, n: int, most_bytes: int, id_col: str,
         yield NgramSet(block, n)
 
 
-def _scanned(rows: DataFrame, benchmark: DataFrame, n: int, most_bytes: int, item_col: str, item_text_col: str) -> DataFrame:
+def _scanned(rows: DataFrame, benchmark: DataFrame, n: int, most_bytes: int, item_col: str, item_text_col: str, finish: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
     """rows (text and any other columns) with n_words, hits and items: what all blocks of the benchmark find in the
-    texts as they are. One block after another is built, sent, looked for in all rows and dropped again."""
+    texts as they are. One block after another is built, sent, looked for in all rows and dropped again. finish makes
+    rows as they were of the last block's batches, by the same worker."""
     blocks = benchmark_blocks(benchmark, n, most_bytes, item_col, item_text_col)
     ahead, out, names = next(blocks, None) or NgramSet([], n), rows, rows.columns
     schema = T.StructType(rows.schema.fields + T.StructType.fromDDL(SCANNED).fields)
     while ahead is not None:
         sent, ahead = rows.sparkSession.sparkContext.broadcast(ahead), next(blocks, None)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        last = finish if ahead is None else None
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 raw, at = utf8(batch.column("text"))
-                for a, b in chunks(at, 1 << 20):
+                for a, b in chunks(at, 1 << 18):
                     part = batch.slice(a, b - a)
                     n_words, hits, items = sent.value.scan(raw[at[a] : at[b]], at[a : b + 1] - at[a])
                     hits = [np.array(x, dtype="<i4").tobytes() for x in hits]
@@ -105,9 +108,10 @@ def _scanned(rows: DataFrame, benchmark: DataFrame, n: int, most_bytes: int, ite
                         hits = [x + y for x, y in zip(part.column("hits").to_pylist(), hits, strict=True)]
                         items = [x | {*y} for x, y in zip(items, part.column("items").to_pylist(), strict=True)]
                     columns = [*(part.column(c) for c in names), pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", "hits", "items"])
+                    made = pa.RecordBatch.from_arrays(columns, [*names, "n_words", "hits", "items"])
+                    yield last(made) if last else made
 
-        out = out.mapInArrow(lean(run), schema)
+        out = out.mapInArrow(lean(run), rows.schema if last else schema)
         if ahead is not None:
             out = written(out, "scanned")
             sent.destroy()

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, utf8
+from .common import id_and_text, lean, utf8
 
 END = 1
 ENDOFTEXT, ENDOFTEXT_ID = "<|endoftext|>", 50256
@@ -170,4 +170,4 @@ def pack(
                     yield rows(stream.settle(False, with_ids))
         yield rows(stream.settle(True, with_ids))
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, PIECES + ", ids array<int>" * with_ids)
+    return id_and_text(docs, id_col, text_col).mapInArrow(lean(run), PIECES + ", ids array<int>" * with_ids)

@@ -9,12 +9,11 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text
+from .common import id_and_text, in_small_batches, lean
 
 KINDS = ("assign", "access", "hex")
 KEYWORDS = ("pass", "secret", "token", "api")
@@ -251,11 +250,14 @@ def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text") -> D
                 done = b
         return "".join([*out, text[done:]])
 
-    kind = docs.schema[text_col].dataType
+    in_small_batches(docs.sparkSession)
+    names, kind = docs.columns, docs.schema[text_col].dataType
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("text"), F.struct(*(F.col(f"`{c}`") for c in names if c != text_col), F.lit(0).alias("_")).alias("kept"))
 
-    @F.pandas_udf("string")
-    def redacted(texts: pd.Series) -> pd.Series:
-        return texts.map(cut, na_action="ignore")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if t is None else cut(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), batch.column("kept")], names=["text", "kept"])
 
-    redacted_text = redacted(F.col(text_col).cast("string")).cast(kind)
-    return docs.select(*(redacted_text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns))
+    out = rows.mapInArrow(lean(run), rows.schema)
+    return out.select(*(F.col("text").cast(kind).alias(c) if c == text_col else F.col(f"kept.`{c}`").alias(c) for c in names))
