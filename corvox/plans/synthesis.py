@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -67,22 +68,31 @@ def references(df: DataFrame, wanted: DataFrame) -> DataFrame:
     if longest <= MOST_REF - TARGET_REF - GAP:
         shuffled = shuffled.where("at_ <= 5")
     lists = shuffled.groupBy("speaker", "variant").agg(F.sort_array(F.collect_list(F.struct("at_", "ref", "duration"))).alias("list_"))
-    start = F.struct(F.array().cast("array<string>").alias("refs"), F.lit(0.0).alias("seconds"))
+    # the target's id goes along in the state: a lambda that takes it from the row lets the filter below be pushed to a side without it
+    start = F.struct(F.col("utt_id").alias("own"), F.array().cast("array<string>").alias("refs"), F.lit(0.0).alias("seconds"))
 
     def step(s: Column, x: Column) -> Column:
         more = x["duration"] + F.when(F.size(s["refs"]) > 0, GAP).otherwise(0.0)
-        skip = (s["seconds"] >= TARGET_REF) | (x["ref"] == F.col("utt_id")) | ((F.size(s["refs"]) > 0) & (s["seconds"] + more > MOST_REF))
-        return F.when(skip, s).otherwise(F.struct(F.concat(s["refs"], F.array(x["ref"])).alias("refs"), (s["seconds"] + more).alias("seconds")))
+        skip = (s["seconds"] >= TARGET_REF) | (x["ref"] == s["own"]) | ((F.size(s["refs"]) > 0) & (s["seconds"] + more > MOST_REF))
+        return F.when(skip, s).otherwise(F.struct(s["own"].alias("own"), F.concat(s["refs"], F.array(x["ref"])).alias("refs"), (s["seconds"] + more).alias("seconds")))
 
     asked = wanted.select("utt_id", "speaker").withColumn("variant", variant(F.col("utt_id")))
     chosen = asked.join(lists, ["speaker", "variant"]).select("utt_id", F.aggregate("list_", start, step).alias("s"))
     return chosen.where(F.size("s.refs") > 0).select("utt_id", "s.refs", "s.seconds")
 
 
-def plan(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40) -> DataFrame:
+def plan(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40, sentences: tuple[str, ...] = FALLBACK) -> DataFrame:
     """A row for each fake to make: utt_id, ref_utt_id, speaker, source, text, voice, generator, refs. Rows that the
-    manifest has already are left out, and, for a cloning engine, targets without a reference."""
-    own = targets(df, count, engine, least, most)
+    manifest has already are left out, and, for a cloning engine, targets without a reference.
+
+    Where no real row can be followed, the sentences take their place, each with each voice that comes to it once, as
+    more would be the same fakes again; a cloning engine has no reference for them."""
+    split = F.col("split") if "split" in df.columns else F.lit("")
+    own = targets(df, count, engine, least, most).select("utt_id", "speaker", "source", "text", split.alias("split"), "at")
+    if sentences:
+        spare = fallback_targets(df.sparkSession, min(count, math.lcm(len(sentences), max(1, len(voices)))), sentences)
+        any_own = F.broadcast(own.limit(1).select(F.lit(True).alias("own_")))  # a row at most
+        own = own.unionByName(spare.withColumn("split", F.lit("")).join(any_own, F.col("own_"), "left_anti"))
     voice = F.element_at(F.array(*(F.lit(v) for v in voices)), (F.col("at") % len(voices)).cast("int") + 1) if voices else F.lit("")
     rows = own.withColumn("voice", voice)
     key = synthesis_key(F.col("utt_id"), F.col("text"), F.col("voice"), F.lit(variant_name))
@@ -91,8 +101,7 @@ def plan(df: DataFrame, engine: str, voices: list[str], count: int, variant_name
         rows = rows.join(references(df, rows), "utt_id")
     else:
         rows = rows.withColumn("refs", F.array().cast("array<string>"))
-    split = F.col("split") if "split" in df.columns else F.lit("")
-    rows = rows.select(F.col("new_").alias("utt_id"), F.col("utt_id").alias("ref_utt_id"), "speaker", "source", "text", split.alias("split"), "voice", "generator", "refs", "at")
+    rows = rows.select(F.col("new_").alias("utt_id"), F.col("utt_id").alias("ref_utt_id"), "speaker", "source", "text", "split", "voice", "generator", "refs", "at")
     return pending(rows, df)
 
 
