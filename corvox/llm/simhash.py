@@ -219,6 +219,8 @@ REMEMBERED = 1 << 16
 STARS, GROUP = 1, 1 << 15
 #: Bytes of text in a block of nodes whose pairs are verified together.
 BLOCK_BYTES = 1 << 22
+#: Pairs that a cell has on average at most.
+CELL_PAIRS = 1 << 14
 #: Of 128 bits: texts of a similarity of 0.75 or more differ in 24 on average, unlike ones in 64.
 FAR = 50
 ENTRY = "key long, node long, size int, at int"
@@ -437,13 +439,14 @@ def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int
     """pairs (a, b) of nodes, written: those whose texts' shingle sets have that Jaccard similarity.
 
     The complete distance of the fingerprints leaves out what is further apart than FAR. Other nodes are in blocks of
-    about BLOCK_BYTES of text; a pair is verified in the cell of its two blocks, to which each text that has pairs
-    there goes once, however many they are. Sets are compared by 64-bit hashes of shingles."""
+    about BLOCK_BYTES of text at most, more of them where short texts have many pairs, so that a cell of two blocks has
+    about CELL_PAIRS at most; a pair is verified in the cell of its two blocks, to which each text that has pairs there
+    goes once, however many they are. Sets are compared by 64-bit hashes of shingles."""
     of = lambda x: prints.toDF(x, f"fp_{x}", f"more_{x}")
     apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("fp", "more")), F.lit(0))
     pairs = written(pairs.join(of("a"), "a").join(of("b"), "b").where(apart <= FAR).select("a", "b"), "near")
     met = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "met")
-    blocks = max(1, math.ceil(met.count() * mean_bytes / BLOCK_BYTES))
+    blocks = max(1, math.ceil(met.count() * mean_bytes / BLOCK_BYTES), math.ceil(math.sqrt(2 * pairs.count() / CELL_PAIRS)))
     block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(blocks))
     low, high = F.least(block("a"), block("b")), F.greatest(block("a"), block("b"))
     placed = written(pairs.select((low * blocks + high).alias("cell"), "a", "b"), "placed")

@@ -571,6 +571,27 @@ def test_near_copies_in_large_groups_are_compared_in_parts(spark, monkeypatch):
     assert 1 < len(want) < 80
 
 
+def test_verified_pairs_do_not_depend_on_the_cells(spark, monkeypatch):
+    """Short texts with many pairs are verified in many cells: the same pairs come out of one cell and of many."""
+    rng = random.Random(5)
+    texts = []
+    for k in range(40):
+        w = [f"c{j}" for j in range(50)]
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(50)] = f"{rng.randrange(1 << 24):x}"
+        texts.append((k + 1, " ".join(w)))
+    pairs = spark.createDataFrame([(a, b) for a in range(1, 41) for b in range(a + 1, 41)], "a long, b long")
+    nodes = spark.createDataFrame(texts, "node long, text string")
+    prints = simhash._set_prints(nodes, 5)
+    sets = {k: simhash.shingle_set(t, 5) for k, t in texts}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    for most in (1 << 14, 20):
+        monkeypatch.setattr(simhash, "CELL_PAIRS", most)
+        got = simhash._similar(pairs, prints, nodes, 5, 0.8, 200.0)
+        assert {(r.a, r.b) for r in got.collect()} == want
+    assert 0 < len(want) < 780
+
+
 def test_near_copies_are_found_at_every_similarity(spark):
     """Recall by band of similarity, over texts that share a common line: all links at 0.8 or more, no row below it."""
     rng = random.Random(21)
