@@ -17,7 +17,7 @@ BLOCK = 16
 EPSILON = 2.1
 #: Candidates and queries of one cell at most, on average.
 CELL_VECTORS, CELL_QUERIES = 20_000, 2_000
-SEEDS, STEP, QUERIES_AT_ONCE = 128, 4096, 256
+SEEDS, STEP, QUERIES_AT_ONCE, PAIRS_AT_ONCE = 128, 4096, 256, 1 << 16
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -89,23 +89,29 @@ def scan_list(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarr
         for b in range(first, n, STEP):
             part = own + norms[b : b + STEP] - 2 * q[:, :BLOCK] @ columns[0][b : b + STEP].T
             limit = best[:, -1] if best.shape[1] == k else np.full(len(q), np.inf)
-            added = [np.empty(0) for _ in q]
-            for i in range(len(q)):
-                alive = np.flatnonzero(part[i] <= limit[i] * factor[0])
-                far, at = part[i][alive], alive + b
+            asking, near = np.nonzero(part <= (limit * factor[0])[:, None])
+            found = []
+            for p in range(0, len(near), PAIRS_AT_ONCE):
+                of, at = asking[p : p + PAIRS_AT_ONCE], near[p : p + PAIRS_AT_ONCE] + b
+                far = part[of, at - b]
                 for c in range(1, len(columns)):
                     if not len(at):
                         break
-                    far = far + ((columns[c][at] - q[i, c * BLOCK : (c + 1) * BLOCK]) ** 2).sum(1)
-                    stay = far <= limit[i] * factor[c]
-                    far, at = far[stay], at[stay]
-                if len(at):
-                    kept[i].append(at)
-                    dist[i].append(far)
-                    added[i] = far
-            ranked = [np.sort(np.concatenate([best[i], added[i]]))[:k] for i in range(len(q))]
-            width = min(map(len, ranked))
-            best = np.array([x[:width] for x in ranked])
+                    far = far + ((columns[c][at] - q[of, c * BLOCK : (c + 1) * BLOCK]) ** 2).sum(1)
+                    stay = far <= limit[of] * factor[c]
+                    of, at, far = of[stay], at[stay], far[stay]
+                found.append((of, at, far))
+            if not found:
+                continue
+            of, at, far = (np.concatenate(x) for x in zip(*found, strict=True))
+            ends = np.searchsorted(of, np.arange(len(q) + 1))
+            for i in np.unique(of).tolist():
+                kept[i].append(at[ends[i] : ends[i + 1]])
+                dist[i].append(far[ends[i] : ends[i + 1]])
+            if b + STEP < n:
+                ranked = [np.sort(np.concatenate([best[i], far[ends[i] : ends[i + 1]]]))[:k] for i in range(len(q))]
+                width = min(map(len, ranked))
+                best = np.array([x[:width] for x in ranked])
         for i in range(len(q)):
             at, far = np.concatenate(kept[i]), np.concatenate(dist[i])
             limit = np.partition(far, k - 1)[k - 1] if len(far) > k else np.inf
@@ -113,6 +119,20 @@ def scan_list(vectors: np.ndarray, queries: np.ndarray, k: int) -> list[np.ndarr
     return out
 
 
+def ranked_ids(vectors: np.ndarray, queries: np.ndarray, names: np.ndarray, sizes: np.ndarray, found: list[np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query's place, id and inner product of the k best candidates found for each query, the best first, ties to the
+    smaller id. names: the ids of each vector one after another, sizes: how many each has."""
+    at, of = np.concatenate(found), np.repeat(np.arange(len(found)), [len(x) for x in found])
+    score, copies = (vectors[at] * queries[of]).sum(1), sizes[at]
+    start = np.cumsum(sizes) - sizes
+    within = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+    of, score, vec = np.repeat(of, copies), np.repeat(score, copies), names[np.repeat(start[at], copies) + within]
+    order = np.lexsort((vec, -score, of))
+    of, score, vec = of[order], score[order], vec[order]
+    best = np.arange(len(of)) - np.searchsorted(of, of) < k
+    return of[best], vec[best], score[best]
+
+
 def search(
     vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.96, most_lists: int = 2048, sample_per_list: int = 32,
     id_col: str = "vec_id", vector_col: str = "embedding",
@@ -178,16 +198,16 @@ def search(
     right = asked.join(cells, "list").select("list", every("nc").alias("c"), part("nq").alias("q"), "point", "embedding")
 
     def scan(key, have: pa.Table, want: pa.Table) -> pa.Table:
-        out: list[tuple] = []
+        out = [(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0))]
         if len(have) and len(want):
-            x, q, ids = _matrix(have.column("embedding")), _matrix(want.column("embedding")), have.column("ids").to_pylist()
+            x, q, ids = _matrix(have.column("embedding")), _matrix(want.column("embedding")), have.column("ids").combine_chunks()
+            names, sizes = ids.flatten().to_numpy(), ids.value_lengths().to_numpy()
+            point = want.column("point").to_numpy()
             found = scan_list(sent.value.rotated(x), sent.value.rotated(q, True), k + 1)
-            for point, vector, at in zip(want.column("point").to_pylist(), q, found, strict=True):
-                scores = (x[at] * vector).sum(1)
-                best = sorted((-s, i) for s, j in zip(scores.tolist(), at.tolist(), strict=True) for i in ids[j])[: k + 1]
-                out += [(point, i, -s) for s, i in best]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.table({"point": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
+            for a in range(0, len(q), QUERIES_AT_ONCE):
+                own, vec, score = ranked_ids(x, q[a : a + QUERIES_AT_ONCE], names, sizes, found[a : a + QUERIES_AT_ONCE], k + 1)
+                out.append((point[a + own], vec, score))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], ["point", "vec_id", "score"])
 
     near = left.groupBy("list", "c", "q").cogroup(right.groupBy("list", "c", "q")).applyInArrow(scan, "point long, vec_id long, score double")
     order = Window.partitionBy("point").orderBy(F.desc("score"), "vec_id")
