@@ -1,0 +1,243 @@
+"""Centroid clustering, fill-in-middle and personal data against plain Python on small tables."""
+
+import hashlib
+import itertools
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from corvox.llm import centroids, infilling, personal, queries
+
+from .test_operators import SCHEMA, corpus
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(corpus(), SCHEMA).repartition(5).cache()
+
+
+# ------------------------------------------------------------------ centroids
+
+
+def lloyd(vectors, k, rounds, seed=3):
+    """vectors: (id, integers)."""
+    order = sorted((hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest(), v) for i, v in vectors)
+    own = [list(v) for _, v in order[:k]]
+    for t in range(rounds + 1):
+        distances = [[sum((a - b) ** 2 for a, b in zip(v, c, strict=True)) for c in own] for _, v in vectors]
+        best = [min(range(len(own)), key=lambda j, d=d: (d[j], j)) for d in distances]
+        if t < rounds:
+            for j in range(len(own)):
+                mine = [v for (_, v), b in zip(vectors, best, strict=True) if b == j]
+                if mine:
+                    own[j] = [sum(x) // len(mine) for x in zip(*mine, strict=True)]
+    return sorted(((i, b, d[b]) for (i, _), b, d in zip(vectors, best, distances, strict=True)), key=repr), own
+
+
+VECTORS = "vec_id long, embedding array<double>, cluster int, distance string, n long"
+
+
+def clustered(n, dims, seed=0):
+    rng = np.random.default_rng(seed)
+    middles = rng.normal(0, 1, (7, dims))
+    return [(k, (middles[k % 7] + rng.normal(0, 0.3, dims)).tolist(), 1, "x", 5) for k in range(n)]
+
+
+@pytest.mark.parametrize(("k", "seed"), [(8, 0), (5, 1), (1, 2)])
+def test_clusters_are_those_of_plain_rounds(spark, k, seed):
+    rows = clustered(300, 6, seed)
+    rows += [rows[3], rows[3], (None, rows[4][1], 1, "x", 5), (900, rows[5][1], 1, "x", 5)]
+    rows += [(901, None, 1, "x", 5), (902, rows[0][1][:5], 1, "x", 5), (903, [float("nan")] + rows[0][1][1:], 1, "x", 5), (904, [None] + rows[0][1][1:], 1, "x", 5), (905, [float("inf")] + rows[0][1][1:], 1, "x", 5), (906, [], 1, "x", 5)]
+    scans: list[int] = []
+    found, own = centroids.cluster(spark.createDataFrame(rows, VECTORS).repartition(4), k=k, rounds=6, dims=6, scans=scans)
+    kept = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v, *_ in rows if v and len(v) == 6 and all(x is not None and np.isfinite(x) for x in v)]
+    want, middle = lloyd(kept, k, 6)
+    assert sorted(((r.vec_id, r.cluster, r.distance) for r in found.collect()), key=repr) == want
+    assert own.tolist() == middle
+    assert scans[0] == len(kept) and len(scans) == 7 and sum(scans[1:]) < 0.8 * 6 * len(kept)
+
+
+def test_clusters_of_few_equal_or_no_vectors(spark):
+    rows = [(k, [0.5, -0.25], 1, "x", 5) for k in range(5)] + [(9, [1e30, -1e30], 1, "x", 5)]
+    found, own = centroids.cluster(spark.createDataFrame(rows, VECTORS), dims=2, rounds=2)
+    got = {r.vec_id: (r.cluster, r.distance) for r in found.collect()}
+    assert len(own) == 6 and len({got[k] for k in range(5)}) == 1 and got[0][1] == 0 == got[9][1]
+    assert sorted(own.tolist())[-1] == [1 << 27, -(1 << 27)]
+    none, own = centroids.cluster(spark.createDataFrame([], VECTORS), dims=2)
+    assert none.collect() == [] and none.columns == ["vec_id", "cluster", "distance"] and len(own) == 0
+
+
+def test_bounds_lose_enough_and_less_than_the_drift():
+    rng = np.random.default_rng(5)
+    less = 0
+    for _ in range(400):
+        dims = int(rng.integers(2, 6))
+        centre, old, radius = rng.normal(0, 4, dims), rng.normal(0, 4, dims), float(rng.uniform(0.1, 4))
+        new = old + rng.normal(0, 1, dims)
+        step = rng.normal(0, 1, (300, dims))
+        x = centre + radius * step / np.linalg.norm(step, axis=1, keepdims=True) * rng.uniform(0, 1, (300, 1)) ** 0.2
+        gain = (np.linalg.norm(x - old, axis=1) - np.linalg.norm(x - new, axis=1)).max()
+        lost = centroids.loss(centre, radius, old, new)
+        assert gain <= lost <= np.linalg.norm(new - old) + 1e-8
+        less += lost < 0.9 * np.linalg.norm(new - old)
+    assert less > 100
+    assert centroids.loss(np.array([0.0, 0.0]), 1.0, np.array([5.0, 0.0]), np.array([9.0, 0.0])) == pytest.approx(0, abs=1e-8)
+
+
+# ------------------------------------------------------------------ infilling
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=" \t\nab漢😀é\xa0", max_size=80))
+def test_units_and_places(text):
+    want = UNIT.findall(text)
+    got = infilling.units(np.frombuffer(text.encode(), dtype=np.uint8))
+    assert got.tolist() == [len(u) for u in want]
+    found = infilling.SkipList(got)
+    assert [found.locate(k) for k in range(len(want) + 1)] == np.cumsum([0, *map(len, want)]).tolist()
+
+
+def test_lanes_of_a_long_text_are_short_to_walk():
+    widths = np.random.default_rng(1).integers(1, 9, 50_000)
+    found = infilling.SkipList(widths)
+    assert 5 <= len(found.lanes) <= 14 and sum(len(x[0]) for x in found.lanes) < 1.5 * len(widths)
+    ends = np.cumsum([0, *widths])
+    assert all(found.locate(k) == ends[k] for k in [0, 1, 49_999, 50_000, *range(7, 50_000, 997)])
+
+
+def test_texts_are_cut_where_their_ids_say(spark, docs):
+    rows = [*corpus(), (7001, "a<P> b c", 1, "b", 0.5, "s"), (7002, "<" * 50 + " S> <M", 1, "b", 0.5, "s"), (7003, " lead  and trail \n", 1, "b", 0.5, "s")]
+    made = infilling.transform(spark.createDataFrame(rows, SCHEMA).repartition(3), percent=90).withColumn("back", infilling.restored(F.col("output"), F.col("form")))
+    want = []
+    for i, text, *_ in rows:
+        text, h = text or "", hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()
+        h1, h2, h3, h4 = (int(h[8 * k : 8 * k + 8], 16) for k in range(4))
+        units = UNIT.findall(text)
+        a, b = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+        p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+        if not text or re.search("<[PSM]>", text) or h3 % 100 >= 90:
+            want.append((i, len(units), "plain", None, None, text, text))
+        elif h4 % 100 < 80:
+            want.append((i, len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}", text))
+        else:
+            want.append((i, len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}", text))
+    got = sorted((tuple(r) for r in made.collect()), key=repr)
+    assert got == sorted(want, key=repr)
+    assert {r[2] for r in got} == {"plain", "spm", "psm"}
+    assert infilling.transform(docs.limit(0)).collect() == []
+
+
+# ------------------------------------------------------------------ personal data
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_spans(text):
+    digits = lambda m: re.sub(r"\D", "", m[0])
+    doubled = lambda d: sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(d)))
+    out = [(m.start(), 0, m.end()) for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end()) for m in IP.finditer(text) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 14 <= len(digits(m)) <= 19 and doubled(digits(m)) % 10 == 0]
+    return sorted(out + [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m)) <= 15])
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a.@-_%+1290 ()\né", max_size=60))
+def test_base_spans_of_any_text(text):
+    assert personal.base_spans(text) == plain_spans(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["a.b@c.de", "x@y", "1.2.3.4", "256.1.1.1", "4111 1111 1111 1111", "4111111111111112", "+49 (30) 123-4567", "+1", ".", " ", "_", "000255.1.1.1.9", "@c.d-e.f"]), max_size=12))
+def test_base_spans_of_joined_parts(parts):
+    assert personal.base_spans("".join(parts)) == plain_spans("".join(parts))
+
+
+def test_base_spans_of_long_runs_take_linear_time():
+    for text in ("a" * 300_000, "9" * 300_000, "256." * 100_000, "+1" + " " * 300_000, "a@" * 100_000, "." * 300_000 + "@"):
+        assert personal.base_spans(text) == []
+
+
+def test_messages_are_exact_on_trees_and_near_on_loops():
+    rng = np.random.default_rng(3)
+    for links in ([(0, 1, 0), (1, 2, 1), (1, 3, 0), (3, 4, 2)], [(0, 1, 0), (1, 2, 0), (0, 2, 1), (2, 3, 0)], []):
+        nodes, pairs = rng.normal(0, 1, (5, 3)), rng.normal(0, 0.5, (3, 3, 3))
+        if len(links) == 4 and (0, 2, 1) in links:
+            pairs *= 0.5
+        every = {y: sum(nodes[k, y[k]] for k in range(5)) + sum(pairs[t][y[a], y[b]] for a, b, t in links) for y in itertools.product(range(3), repeat=5)}
+        weight = np.exp(np.array(list(every.values())))
+        want = np.array([[sum(w for y, w in zip(every, weight, strict=True) if y[k] == x) for x in range(3)] for k in range(5)]) / weight.sum()
+        got = personal.propagated(nodes, links, pairs, 80)
+        assert np.abs(got - want).max() < (0.03 if (0, 2, 1) in links else 2e-4)
+
+
+def people(n=240):
+    rng, rows = random.Random(4), []
+    word = lambda: "".join(rng.choice(["ba", "ké", "lo", "mi", "the"]) for _ in range(rng.randint(1, 3)))
+    text = lambda: " ".join(word() for _ in range(rng.randint(3, 30)))
+    for k in range(n):
+        made = [
+            f"+1 ({rng.randint(100, 999)}) 555-{rng.randint(1000, 9999)}", f"{word()}.{rng.randint(10, 99)}@mail{k % 9}.example.com",
+            ".".join(str(rng.randint(0, 255)) for _ in range(4)), f"{rng.randint(10**6, 10**7)}", f"{rng.randint(10**15, 10**16)}", f"v{k}.{k}", f"{rng.randint(1, 99)}%",
+        ]
+        rows.append((k, text() + "".join(f" {x} {text()}" for x in rng.sample(made, 4))))
+    return rows
+
+
+def test_repeated_and_similar_tokens_get_one_label(spark):
+    odd = [
+        (1000, "call +1 (222) 555-7713 or later 222.555.7713 and then 5557713 at home"),
+        (1001, "write to the.55@mail4.example.com ; the.55 (at) mail4 dot example dot com"),
+        (1002, "paid with 4111 1111 1111 1111 then 4111.1111.1111.1111 again"),
+        (1003, "release 222.555.7713 of 5557713 with 4111.1111.1111.1111 and the.55 alone"),
+    ]
+    rows = [(i, t, 1, "b", 0.5, "s") for i, t in people() + odd]
+    df = spark.createDataFrame([*rows, (None, None, 1, "b", 0.5, "s"), (5, "", 1, "b", 0.5, "s"), rows[0]], SCHEMA).repartition(3)
+    got = {r.doc_id: r for r in personal.scan(df).collect() if r.doc_id is not None and r.doc_id >= 1000}
+    texts = dict(odd)
+
+    def added(k):
+        spans = [x.split(":") for x in got[k].spans.split(",") if x]
+        base = {(a, y, b) for a, y, b in plain_spans(texts[k])}
+        return [(y, texts[k][int(a) : int(b)]) for y, a, b in spans if (int(a), personal.KINDS.index(y), int(b)) not in base]
+
+    assert added(1000) == [("phone", "222.555.7713"), ("phone", "5557713")]
+    assert added(1001) == [("email", "the.55")]
+    assert added(1002) == [("card", "4111.1111.1111.1111")]
+    assert added(1003) == []
+
+
+def test_scan_keeps_base_spans_and_rows(spark, docs):
+    rows = [(i, t, 1, "b", 0.5, "s") for i, t in people(60)] + corpus()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = sorted((tuple(r) for r in personal.scan(df).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256").collect()), key=repr)
+    want = []
+    for i, t, *_ in rows:
+        base = plain_spans(t or "")
+        joined = ",".join(f"{personal.KINDS[k]}:{a}:{b}" for a, k, b in base)
+        want.append((i, *(sum(x[1] == k for x in base) for k in range(4)), hashlib.sha256(joined.encode()).hexdigest()))
+    assert got == sorted(want, key=repr)
+    assert personal.scan(df.limit(0)).collect() == []
+    cut = {r.doc_id: r for r in personal.redact(spark.createDataFrame([(1, "mail a.b@c.de now", 1, "b", 0.5, "s"), (2, None, 1, "b", 0.5, "s"), (3, "plain", 1, "b", 0.5, "s")], SCHEMA)).collect()}
+    assert cut[1].text == "mail [personal] now" and cut[2].text is None and cut[3].text == "plain" and cut[1].source == "s"
+
+
+def test_a_token_that_comes_often_has_as_many_links(spark):
+    text = "call +1 (222) 555-7713 " + "5557713 x " * 20_000
+    raw, at = np.frombuffer(text.encode(), dtype=np.uint8), np.array([0, len(text)])
+    f = personal.Reader().field([text], raw, at, [personal.base_spans(text)])
+    assert len(f.doc) == 20_003 and len(f.links) < 2 * len(f.doc)
+
+
+def test_new_queries_are_registered():
+    assert {"op11_centroids", "op12_infilling", "op13_personal"} <= set(queries.queries())
