@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -66,8 +66,6 @@ class CharacterModel:
     def _take(self, table: np.ndarray) -> None:
         self.table = table
         self.log = self.table.reshape(SIZE * SIZE, SIZE).tolist()
-        self.wild = np.ascontiguousarray(self.table[:, :, 1 : len(WILDCARD) + 1])
-        self.ends = np.where(np.arange(SIZE) > 0, self.table[:, :, 0], np.float32(0))
 
     def __getstate__(self) -> np.ndarray:
         return self.table
@@ -85,112 +83,177 @@ def trigrams(text: str, counts: np.ndarray) -> None:
     counts += np.bincount(((a * SIZE + b) * SIZE + c)[(b > 0) | (c > 0)], minlength=len(counts))
 
 
-class States:
-    """The best path to each state (the last two letters) at one place: few as a dict from a * SIZE + b to (value, way),
-    many, as stars make them, as tables of values with a function that gives the way to a state."""
+def runs(text: str) -> list[int]:
+    """For each place, where the run of its character ends."""
+    out = list(range(1, len(text) + 1))
+    for i in range(len(text) - 2, -1, -1):
+        if text[i] == text[i + 1]:
+            out[i] = out[i + 1]
+    return out
+
+
+def _code(c: str) -> int:
+    return CODE.get(c) or (OTHER if c.isalpha() else 0)
+
 
-    def __init__(self) -> None:
-        self.few: dict[int, tuple[float, tuple | None]] = {}
-        self.many: list[tuple[np.ndarray, Callable[[int, int], tuple | None]]] = []
+class Sparse:
+    """The best path to each state (the last two letters) at every place of a token without stars: a few states a
+    place, from a * SIZE + b to (value, way)."""
 
-    def reach(self, key: int, value: float, way: tuple | None) -> None:
-        old = self.few.get(key)
+    def __init__(self, model: CharacterModel, places: int) -> None:
+        self.log, self.states = model.log, [{} for _ in range(places)]
+        self.states[0][0] = (0.0, None)
+
+    def _reach(self, to: int, key: int, value: float, way: tuple | None) -> None:
+        old = self.states[to].get(key)
         if old is None or old[0] < value:
-            self.few[key] = (value, way)
+            self.states[to][key] = (value, way)
 
-    def letters(self, to: States, text: str, codes: tuple[int, ...], cost: float, model: CharacterModel) -> None:
-        """Goes from all states by the letters of text."""
-        log, after = model.log, to.few
-        for key, (value, way) in self.few.items():
+    def letters(self, at: int, to: int, text: str, codes: tuple[int, ...], cost: float) -> None:
+        for key, (value, way) in self.states[at].items():
             value += cost
             for k in codes:
-                value += log[key][k]
+                value += self.log[key][k]
                 key = key % SIZE * SIZE + k
-            old = after.get(key)
-            if old is None or old[0] < value:
-                after[key] = (value, (way, text))
-        for values, way in self.many:
-            every = values + model.table[:, :, codes[0]]
-            best, value = every.argmax(0).tolist(), every.max(0).tolist()
-            for b, a in enumerate(best):
-                if value[b] > NEVER:
-                    x, key = value[b] + cost, b * SIZE + codes[0]
-                    for k in codes[1:]:
-                        x += log[key][k]
-                        key = key % SIZE * SIZE + k
-                    to.reach(key, x, (way(a, b), text))
-
-    def star(self, to: States, model: CharacterModel) -> None:
-        """Goes from all states by any letter of WILDCARD; from many, only the best of those with the same last one."""
-        if len(self.few) < 12:
-            for key, (value, way) in self.few.items():
-                row, after = model.log[key], key % SIZE * SIZE
-                for k, x in enumerate(WILDCARD, 1):
-                    to.reach(after + k, value + row[k] + WILD, (way, x))
-            layers = self.many
+            self._reach(to, key, value, (way, text))
+
+    def skip(self, at: int, to: int, cost: float) -> None:
+        for key, (value, way) in self.states[at].items():
+            self._reach(to, key, value + cost, way)
+
+    def _ended(self, at: int) -> tuple[float, tuple | None]:
+        return max(((v + (self.log[key][0] if key % SIZE else 0.0), w) for key, (v, w) in self.states[at].items()), key=lambda s: s[0])
+
+    def border(self, at: int, to: int, cost: float) -> None:
+        value, way = self._ended(at)
+        self._reach(to, 0, value + cost, (way, " "))
+
+    def leave(self, at: int) -> None:
+        """Nothing begins at this place any more."""
+        self.states[at] = {}
+
+    def reached(self, at: int) -> bool:
+        return bool(self.states[at])
+
+    def read(self) -> str:
+        way, out = self._ended(len(self.states) - 1)[1], []
+        while way:
+            way, text = way
+            out.append(text)
+        return "".join(reversed(out))
+
+
+class Dense:
+    """The same where stars make every pair of letters a state: one table of values a place, into which each arc that
+    ends there is merged at once, and for each state the arc it came by and the state before. So work is a table an
+    arc and memory a table a place, whatever the order of stars and separators. Only letters that the token may hold
+    are in the tables."""
+
+    def __init__(self, model: CharacterModel, places: int, text: str) -> None:
+        meant = {CODE[x] for c in set(text) for x in SIGNS.get(c, "")}
+        self.codes = sorted({0, *range(1, len(WILDCARD) + 1), *map(_code, text), *meant})
+        self.place = {k: i for i, k in enumerate(self.codes)}
+        m = len(self.codes)
+        self.table = model.table[np.ix_(self.codes, self.codes, self.codes)].astype(np.float64)
+        self.ends = np.where(np.arange(m) > 0, self.table[:, :, 0], 0.0)
+        self.wild = np.ascontiguousarray(self.table[:, :, 1 : len(WILDCARD) + 1])
+        self.rows = np.arange(m)
+        self.values: list[np.ndarray | None] = [None] * places
+        self.before: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = [None] * places
+        #: of each place, the arcs that end there: where they begin, and their text (None: the letter of the state)
+        self.arcs: list[list[tuple[int, str | None]]] = [[] for _ in range(places)]
+        self._open(0)[0, 0] = 0.0
+
+    def _open(self, to: int) -> np.ndarray:
+        if self.values[to] is None:
+            m = len(self.codes)
+            self.values[to] = np.full((m, m), float(NEVER))
+            self.before[to] = (np.zeros((m, m), dtype=np.uint8), np.zeros((m, m), dtype=np.uint8), np.zeros((m, m), dtype=np.int32))
+        return self.values[to]
+
+    def _merge(self, at: int, to: int, text: str | None, part: tuple, value, a, b) -> None:
+        """part: which states of the place get value, if it is more than theirs, from the states (a, b)."""
+        own = self._open(to)[part]
+        better = value > own
+        if np.any(better):
+            for table, new in zip((self.values[to], *self.before[to]), (value, a, b, len(self.arcs[to])), strict=True):
+                table[part] = np.where(better, new, table[part])
+            self.arcs[to].append((at, text))
+
+    def letters(self, at: int, to: int, text: str, codes: tuple[int, ...], cost: float) -> None:
+        k = self.place[codes[0]]
+        every = self.values[at] + self.table[:, :, k]
+        best = every.argmax(0)
+        value = every[best, self.rows] + cost
+        if len(codes) == 1:
+            self._merge(at, to, text, (slice(None), k), value, best, self.rows)
         else:
-            have, own = np.full((SIZE, SIZE), NEVER, dtype=np.float32), self.few
-            keys = np.fromiter(own, dtype=np.int64, count=len(own))
-            have[keys // SIZE, keys % SIZE] = [v for v, _ in own.values()]
-            layers = [(have, lambda a, b: own[a * SIZE + b][1]), *self.many]
-        for have, way in layers:
-            ends, starts = np.flatnonzero(have.max(0) > NEVER), np.flatnonzero(have.max(1) > NEVER)
-            every = have[starts[:, None], ends, None] + model.wild[starts[:, None], ends]
-            values, best = np.full((SIZE, SIZE), NEVER, dtype=np.float32), np.zeros((SIZE, SIZE), dtype=np.int64)
-            values[ends, 1 : len(WILDCARD) + 1], best[ends, 1 : len(WILDCARD) + 1] = every.max(0) + WILD, starts[every.argmax(0)]
-            to.many.append((values, lambda b, k, best=best, way=way: (way(int(best[b, k]), b), WILDCARD[k - 1])))
-
-    def skip(self, to: States, cost: float) -> None:
-        """Goes from all states by no letter."""
-        for key, (value, way) in self.few.items():
-            to.reach(key, value + cost, way)
-        to.many += [(values + np.float32(cost), way) for values, way in self.many]
-
-    def ended(self, model: CharacterModel) -> tuple[float, tuple | None]:
-        """The best of all states when their word ends here."""
-        log = model.log
-        out = [(v + (log[key][0] if key % SIZE else 0.0), w) for key, (v, w) in self.few.items()]
-        for values, way in self.many:
-            every = values + model.ends
-            a, b = divmod(int(every.argmax()), SIZE)
-            out.append((float(every[a, b]), way(a, b)))
-        return max(out, key=lambda s: s[0])
+            value = value + self.table[:, k, self.place[codes[1]]]
+            b = int(value.argmax())
+            self._merge(at, to, text, (k, self.place[codes[1]]), value[b], best[b], b)
+
+    def star(self, at: int, to: int) -> None:
+        every = self.values[at][:, :, None] + self.wild
+        best = every.argmax(0)
+        value = np.take_along_axis(every, best[None], 0)[0] + WILD
+        self._merge(at, to, None, (slice(None), slice(1, len(WILDCARD) + 1)), value, best, np.broadcast_to(self.rows[:, None], best.shape))
+
+    def skip(self, at: int, to: int, cost: float) -> None:
+        m = len(self.codes)
+        self._merge(at, to, "", (slice(None), slice(None)), self.values[at] + cost, np.broadcast_to(self.rows[:, None], (m, m)), np.broadcast_to(self.rows, (m, m)))
+
+    def _ended(self, at: int) -> tuple[int, int, float]:
+        every = self.values[at] + self.ends
+        a, b = divmod(int(every.argmax()), len(self.codes))
+        return a, b, float(every[a, b])
+
+    def border(self, at: int, to: int, cost: float) -> None:
+        a, b, value = self._ended(at)
+        self._merge(at, to, " ", (0, 0), value + cost, a, b)
+
+    def leave(self, at: int) -> None:
+        """Nothing begins at this place any more."""
+        self.values[at] = None
+
+    def reached(self, at: int) -> bool:
+        return self.values[at] is not None
+
+    def read(self) -> str:
+        at, out = len(self.values) - 1, []
+        a, b, _ = self._ended(at)
+        while at:
+            rows, columns, arc = self.before[at]
+            start, text = self.arcs[at][arc[a, b]]
+            out.append(WILDCARD[b - 1] if text is None else text)
+            at, a, b = start, int(rows[a, b]), int(columns[a, b])
+        return "".join(reversed(out))
 
 
 def decode(observed: str, model: CharacterModel) -> str:
     """Viterbi over the lattice of what the characters may stand for: the likeliest text by channel and model. States
     are the last two letters; none is left out, so the path is the best there is."""
-    n = len(observed)
     # between letters that all stand alone, separators are likelier to be noise
     split, keep = (-0.1, -2.0) if SPACED.fullmatch(observed) else (SPLIT, -0.5)
-    states = [States() for _ in range(n + 1)]
-    states[0].few[0] = (0.0, None)
-    for i, c in enumerate(observed):
-        own, after, run = states[i], states[i + 1], i + 1
-        if not own.few and not own.many:
+    paths = Dense(model, len(observed) + 1, observed) if "*" in observed else Sparse(model, len(observed) + 1)
+    for i, (c, run) in enumerate(zip(observed, runs(observed), strict=True)):
+        if not paths.reached(i):
             continue
-        while run < n and observed[run] == c:
-            run += 1
-        k = CODE.get(c) or (OTHER if c.isalpha() else 0)
+        k = _code(c)
         if k:
-            own.letters(after, c, (k,), 0.0, model)
+            paths.letters(i, i + 1, c, (k,), 0.0)
             if run - i >= 3:
-                own.letters(states[run], c, (k,), STRETCH, model)
-                own.letters(states[run], c + c, (k, k), STRETCH - 1.0, model)
-            continue
-        if c == "*":
-            own.star(after, model)
-        for x in SIGNS.get(c, ""):
-            own.letters(after, x, (CODE[x],), SIGN, model)
-        if c in SEPARATORS and i:
-            own.skip(states[run], split)
-        value, way = own.ended(model)
-        after.reach(0, value + (keep if c in SEPARATORS else KEEP), (way, " "))
-    way, out = states[n].ended(model)[1], []
-    while way:
-        way, text = way
-        out.append(text)
-    return "".join(reversed(out))
+                paths.letters(i, run, c, (k,), STRETCH)
+                paths.letters(i, run, c + c, (k, k), STRETCH - 1.0)
+        else:
+            if c == "*":
+                paths.star(i, i + 1)
+            for x in SIGNS.get(c, ""):
+                paths.letters(i, i + 1, x, (CODE[x],), SIGN)
+            if c in SEPARATORS and i:
+                paths.skip(i, run, split)
+            paths.border(i, i + 1, keep if c in SEPARATORS else KEEP)
+        paths.leave(i)
+    return paths.read()
 
 
 def parts(word: str) -> list[str]:
