@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import heapq
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import written
 
-BASE_COLUMNS = "doc_id long, size long, text_crc32 long, old_shard int, block int"
+#: The plan of a rewrite that is being published, in the layout's folder.
+PUBLISHING = "_publishing"
 
 
 def min_cost_flow(supply: list[int], capacity: list[int], cost: list[list[int]]) -> list[list[int]]:
@@ -130,15 +132,50 @@ def reshard(docs: DataFrame, shards: int, old_shard: Column, old_shards: int, bl
     )
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's file system of path and a function that makes its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def finish_rewrite(spark: SparkSession, path: str) -> bool:
+    """Ends a rewrite() that was broken off while it published: shards that lie ready replace the old ones, and those
+    that hold nothing any more go. Any number of times, with the same result. False if there was nothing to end."""
+    files, make = _files(spark, path)
+    plan = make(f"{path}/{PUBLISHING}")
+    if not files.exists(plan):
+        return False
+    steps = [(r.shard, r.ready) for r in spark.read.schema("shard int, ready string").json(str(plan.toString())).collect()]  # a row a shard
+    for shard, ready in steps:
+        source = make(f"{ready}/shard={shard}") if ready else None
+        if source is None or files.exists(source):  # else it is in its place already
+            files.delete(make(f"{path}/shard={shard}"), True)
+        if source is not None and files.exists(source) and not files.rename(source, make(f"{path}/shard={shard}")):
+            raise OSError(f"shard {shard} of {path} can't be put in its place")
+    files.delete(plan, True)
+    for ready in {r for _, r in steps if r}:
+        files.delete(make(ready), True)
+    return True
+
+
 def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id", files_per_shard: int = 8, text_col: str = "text") -> list[int]:
     """Writes the rows of docs to path/shard=K; only shards that a moved row leaves or enters are written again, and
     those of rows of one id, size and checksum that lay in several shards, as nothing tells which is which. Returns
-    these. placed is what reshard() returned: each of its rows is written once, null and repeated ids too."""
+    these. placed is what reshard() returned: each of its rows is written once, null and repeated ids too; a shard that
+    all rows leave is gone afterwards. No moved row, or an empty table: nothing is changed.
+
+    The new shards are written beside the old ones, where readers of path don't look, and counted; docs may be read
+    from path itself. Then a plan of what replaces what is written, and carried out. A driver that is lost before that
+    leaves the old layout, after it the new one as soon as finish_rewrite(), or the next rewrite(), has been called."""
+    spark = docs.sparkSession
+    finish_rewrite(spark, path)
     key = ["doc_id", "size", "text_crc32"]
     ends = F.explode(F.array("old_shard", "shard")).alias("s")
     apart = placed.groupBy(*key).agg(F.min("old_shard").alias("a"), F.max("old_shard").alias("b"), F.collect_set("shard").alias("to"), F.collect_set("old_shard").alias("of"))
     found = placed.where("moved").select(ends).union(apart.where("a <> b").select(F.explode(F.array_union("to", "of"))))
     affected = sorted(r.s for r in found.distinct().collect())
+    if not affected:
+        return []
     nth = lambda order: F.row_number().over(Window.partitionBy(*key).orderBy(*order))
     where = placed.withColumn("nth", nth(["shard", "slot"])).where(F.col("shard").isin(affected)).select(*(F.col(c).alias(f"{c}_") for c in key), F.col("nth").alias("nth_"), "shard")
     text = docs[text_col].cast("string")
@@ -153,5 +190,16 @@ def rewrite(docs: DataFrame, placed: DataFrame, path: str, id_col: str = "doc_id
     same = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("size") == F.col("size_")) & (F.col("text_crc32") == F.col("text_crc32_")) & (F.col("nth") == F.col("nth_"))
     out = rows.join(where, same).select("row.*", "shard", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(files_per_shard)).alias("part_"))
     out = out.repartition("shard", "part_").drop("part_")
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(path)
+    ready = f"{path}/_resharded-{uuid.uuid4().hex}"
+    out.write.partitionBy("shard").parquet(ready)
+    count = lambda df: {r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
+    want, got = count(placed.where(F.col("shard").isin(affected))), count(spark.read.schema(out.schema).parquet(ready).select("shard"))
+    if want != got:
+        _files(spark, ready)[0].delete(_files(spark, ready)[1](ready), True)
+        raise ValueError(f"docs aren't the rows that were placed: shards should have {want} rows, and have {got}")
+    steps = spark.createDataFrame([(k, ready if k in got else None) for k in affected], "shard int, ready string")
+    steps.coalesce(1).write.json(f"{path}/{PUBLISHING}-")
+    files, make = _files(spark, path)
+    files.rename(make(f"{path}/{PUBLISHING}-"), make(f"{path}/{PUBLISHING}"))  # from here on the new layout holds
+    finish_rewrite(spark, path)
     return affected
