@@ -6,6 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +34,8 @@ UNREADABLE = re.compile(r"[\x00-\x08\x0e-\x1f\x7f-\x9f\ud800-\udfff]")
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 #: Inflated layers are scanned in pieces of so many bytes, each with the last bytes of the one before it.
 PIECE, OVERLAP = 1 << 20, 1 << 16
+#: Bytes of a stream that are read at once, so that what only looks like a stream costs no more.
+FEED = 1 << 14
 
 #: A part of a code: its start and end there, the text that it stands for, and where each character comes from.
 Part = tuple[int, int, str, list[int], list[int]]
@@ -47,15 +50,21 @@ def spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _inflated(data: bytes) -> Iterator[str]:
+def _inflated(data: bytes | memoryview) -> Iterator[str]:
     """What the gzip or zlib streams at the start of data hold, one after another, as texts of bounded size. A stream
     that breaks off gives what comes before."""
-    kept, some = b"", False
-    while data:
-        worker, got = zlib.decompressobj(wbits=47), False
-        while True:
+    kept, some, view, at = b"", False, memoryview(data), 0
+    while at < len(view):
+        worker, got, rest = zlib.decompressobj(wbits=47), False, b""
+        while worker is not None and not worker.eof:
+            if not rest:
+                rest = bytes(view[at : at + FEED])
+                at += len(rest)
+            if not rest:
+                break
             try:
-                new = worker.decompress(data, PIECE)
+                new = worker.decompress(rest, PIECE)
+                rest = worker.unconsumed_tail
             except zlib.error:
                 new, worker = b"", None
             if new:
@@ -64,12 +73,11 @@ def _inflated(data: bytes) -> Iterator[str]:
                 if len(kept) >= PIECE:
                     yield UNREADABLE.sub("\ufffd", kept.decode(errors="replace"))
                     kept, some = kept[-OVERLAP:], False
-            if worker is None or worker.eof or not new:
-                break
-            data = worker.unconsumed_tail
         if worker is None or not worker.eof or not got:
             break
-        data = worker.unused_data.lstrip(b"\0")  # gzip pads with zeros
+        at -= len(worker.unused_data)
+        while at < len(view) and not view[at]:  # gzip pads with zeros
+            at += 1
     if some:
         yield UNREADABLE.sub("\ufffd", kept.decode(errors="replace"))
 
@@ -112,7 +120,7 @@ def _from_base64(code: str) -> tuple[list[Part], list[tuple[int, int, Iterator[s
         for m in PACKED.finditer(data):
             if m.start() < end:
                 continue
-            pieces = _inflated(data[m.start() :])
+            pieces = _inflated(memoryview(data)[m.start() :])
             first = next(pieces, None)
             if first is not None and PARTS.search(first):
                 start = k + m.start() * 4 // 3
@@ -202,11 +210,14 @@ def find(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     """The base spans of text, and all spans: those and what its layers add, mapped to text."""
     base = spans(text)
     found = set(base)
+    # base spans of a kind are disjoint, so the last one that begins early enough is the only one that may hold a find
+    starts, ends = ([[x[i] for x in base if x[1] == k] for k in range(len(KINDS))] for i in (0, 2))
     for own, low, high in layers(text):
         for start, kind, end in spans(own):
             a, b = int(low[start]), int(high[end - 1]) + 1
             # the undecoded surroundings give the same finds again; a find within a base span of its kind is no news
-            if not any(k == kind and x <= a and b <= y for x, k, y in base):
+            i = bisect_right(starts[kind], a)
+            if not i or ends[kind][i - 1] < b:
                 found.add((a, kind, b))
     return base, sorted(found)
 
@@ -220,7 +231,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     kind:start:end in code points, by start and kind, joined by commas), spans (all spans, written likewise).
 
     Base spans are what the patterns find in the text itself; further ones come from nested layers: URL escapes,
-    Unicode escapes, base64 and, within it, gzip or zlib. Null and empty texts have none. Repeated rows each get their row; an empty table gives none; nothing is shuffled."""
+    Unicode escapes, base64 and, within it, gzip or zlib. Null and empty texts have none; texts of any length are read
+    whole; of spans at one place, the kinds' order decides. Repeated rows each get their row; an empty table gives
+    none; other columns are ignored; nothing is shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +252,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
 def redact(docs: DataFrame, mark: str = "[secret]", text_col: str = "text") -> DataFrame:
     """docs with each maximal run of span characters, base or from a layer, replaced by mark. Nulls, texts without
-    spans and other columns stay as they are."""
+    spans and other columns stay as they are; texts of any length are read whole; spans that overlap are one run.
+    Repeated rows each stay; an empty table stays empty."""
 
     def cut(text: str) -> str:
         out, done = [], 0
