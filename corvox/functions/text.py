@@ -84,15 +84,23 @@ def words(text: Column) -> Column:
 
 
 def word_error_rate(reference: Column, hypothesis: Column) -> Column:
-    """Word-level edit distance over reference words; null for an empty reference. Each distinct word of a pair is one
-    symbol, so that the built-in levenshtein counts words: of ALPHABET first, then the code points from 2**16 on. Null
-    too if a pair has more distinct words than these are (1,052,671)."""
-    own = F.array_distinct(F.concat(reference, hypothesis))
+    """Word-level edit distance over reference words; null for an empty reference. Each distinct word that both have is
+    one symbol, so that the built-in levenshtein counts words: of ALPHABET first, then the code points from 2**16 on.
+    Words that only one side has match nothing and share one symbol a side. Null too if a pair has more than 1,052,671
+    distinct words in common, for which an edit distance is out of reach.
+
+    The words and what they share are bound once a row, as the variables of transform() over a single element: written
+    out within the inner functions they would be split and sorted anew for every word."""
     further = lambda at: F.decode(F.unhex(F.lpad(F.hex(at + (0x10000 - len(ALPHABET) - 1)), 8, "0")), "UTF-32")
-    symbol = lambda at: F.when(at <= len(ALPHABET), F.substring(F.lit(ALPHABET), at.cast("int"), F.lit(1))).otherwise(further(at))
-    coded = lambda ws: F.array_join(F.transform(ws, lambda w: symbol(F.array_position(own, w))), "")
-    enough = (F.size(reference) > 0) & (F.size(own) <= len(ALPHABET) + 0xFFFFF)
-    return F.when(enough, F.levenshtein(coded(reference), coded(hypothesis)) / F.size(reference))
+    symbol = lambda at, alone: F.when(at == 0, alone).when(at <= len(ALPHABET), F.substring(F.lit(ALPHABET), at.cast("int"), F.lit(1))).otherwise(further(at))
+    coded = lambda ws, own, alone: F.array_join(F.transform(ws, lambda w: symbol(F.array_position(own, w), alone)), "")
+    bound = lambda value, then: F.transform(F.array(value), then)[0]
+
+    def rate(pair: Column, own: Column) -> Column:
+        apart = F.levenshtein(coded(pair["r"], own, F.lit("r")), coded(pair["h"], own, F.lit("h")))
+        return F.when((F.size(pair["r"]) > 0) & (F.size(own) <= len(ALPHABET) + 0xFFFFF), apart / F.size(pair["r"]))
+
+    return bound(F.struct(reference.alias("r"), hypothesis.alias("h")), lambda pair: bound(F.array_intersect(pair["r"], pair["h"]), lambda own: rate(pair, own)))
 
 
 def predicted(score: Column, threshold: float | Column) -> Column:

@@ -211,6 +211,8 @@ def encode_wav(x: np.ndarray, rate: int) -> bytes:
     return out.getvalue()
 
 
+#: The error of an item without contents.
+NO_AUDIO = "no audio"
 CLIPS = "key string, chunk int, signal array<float>, raw_seconds double, error string"
 
 
@@ -222,8 +224,11 @@ def normalise(items: DataFrame, spec: AudioSpec = SPEC) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
+                if r.content is None:
+                    yield pd.DataFrame([(r.key, 0, None, None, NO_AUDIO)], columns=["key", "chunk", "signal", "raw_seconds", "error"])
+                    continue
                 try:
-                    x, rate = decode_wav(r.content or b"")
+                    x, rate = decode_wav(r.content)
                     clips, seconds = normalized_clips(x, rate, spec), len(x) / rate
                     out = [(r.key, k, c.tolist(), seconds, None) for k, c in enumerate(clips)] or [(r.key, 0, None, seconds, "no usable clip")]
                 except (ValueError, ZeroDivisionError) as e:

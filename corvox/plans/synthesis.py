@@ -24,8 +24,13 @@ FALLBACK = (
 )
 
 
-def quota(n_real: int, ratio: float, engines: int, count: int | None = None) -> int:
-    return count if count is not None else max(1, int(n_real * ratio / engines))
+def quota(n_real: int | Column, ratio: float, engines: int, count: int | None = None) -> int | Column:
+    """Rows that each engine is to make, of a number or a column of numbers."""
+    if count is not None:
+        return count
+    if isinstance(n_real, Column):
+        return F.greatest(F.lit(1).cast("long"), F.floor(n_real * ratio / engines))
+    return max(1, int(n_real * ratio / engines))
 
 
 def targets(df: DataFrame, count: int, engine: str, least: int = 6, most: int = 40) -> DataFrame:

@@ -472,7 +472,7 @@ def seeded_sample(spark, d):
 @query(f"{U}, q AS (SELECT count(*) FILTER (label = 'real') AS n FROM utterances) SELECT n, greatest(1, CAST(floor(n * CAST(0.5 AS DOUBLE) / 3) AS BIGINT)) AS quota FROM q")
 def engine_quota(spark, d):
     n = views.utterances(spark, d).agg(F.count_if(F.col("label") == "real").alias("n"))
-    return n.select("n", F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") * 0.5 / 3)).alias("quota"))
+    return n.select("n", synthesis.quota(F.col("n"), 0.5, 3).alias("quota"))
 
 
 # ------------------------------------------------------------------ splits

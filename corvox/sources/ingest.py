@@ -2,54 +2,110 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import audio_path, utterance_id
-from ..operators.corpus import per_speaker_cap, running_limit
-from ..operators.signal import SPEC, AudioSpec, encode_wav, normalise
+from ..operators.metrics import prefix_sums
+from ..operators.signal import NO_AUDIO, SPEC, AudioSpec, encode_wav, normalise
 from ..schema import conformed
+from ..tables import held
 
 COUNTERS = ("kept", "drop_invalid", "skip_exists", "skip_no_audio", "skip_speaker_full")
+#: Fewer speakers can't be split three ways; so many times more files over the cap than clips kept: the cap is too tight.
+FEW_SPEAKERS, TIGHT_CAP = 3, 10
+
+
+def _judged(seen: DataFrame, limit: int | None, per_speaker: int | None) -> DataFrame:
+    """seen: key, speaker, at (place in the source's order), exists_, no_audio_, n_clips (null: not decoded). With the
+    status of each file as if they had come one after another: null from where the limit was reached."""
+    there = F.col("exists_") | (F.coalesce("n_clips", F.lit(0)) > 0)
+    rows = seen.withColumn("counts_", there.cast("long"))
+    if per_speaker is None:
+        rows = rows.withColumn("full_", F.lit(False))
+    else:
+        rows = prefix_sums(rows, "at", ["counts_"], descending=False, by=["speaker"])
+        rows = rows.withColumn("full_", F.col("cum_counts_") - F.col("counts_") >= per_speaker).drop("cum_counts_")
+    status = F.when(F.col("full_"), "skip_speaker_full").when(F.col("exists_"), "skip_exists").when(F.coalesce("n_clips", F.lit(0)) > 0, "kept").when(F.col("no_audio_"), "skip_no_audio").otherwise("drop_invalid")
+    rows = rows.withColumn("status", status)
+    if limit is None:
+        return rows.drop("counts_", "full_")
+    rows = prefix_sums(rows.withColumn("new_", F.when(F.col("status") == "kept", F.col("n_clips")).otherwise(F.lit(0))), "at", ["new_"], descending=False)
+    return rows.withColumn("status", F.when(F.col("cum_new_") - F.col("new_") < limit, F.col("status"))).drop("counts_", "full_", "new_", "cum_new_")
 
 
 def ingest(items: DataFrame, manifest: DataFrame, source: str, limit: int | None = None, per_speaker: int | None = None, overwrite: bool = False, language: str = "vi", spec: AudioSpec = SPEC) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, clips, counters). Items whose row exists are left out before anything is decoded. per_speaker counts
-    usable files of a speaker, existing ones first; limit counts clips, tested before each file.
-
-    What is decoded is needed for rows, clips and counters: write the clips and read them again before using more than
-    one of them on a large corpus."""
+    """(rows, clips, counters) as if files came one after another in the order of their keys: one is taken if fewer than
+    `limit` clips have been kept before it and fewer than per_speaker files of its speaker are there already or have
+    been kept. Counters: clips kept, and files for each reason to leave one out, up to where the limit was reached.
+
+    Decoding stops early. Files are placed by a prefix sum over the keys, without their contents; then, wave by wave,
+    those that may still be taken are decoded: as many as the limit lacks clips (a usable file has one at least), or
+    as the clips so far say it takes; of each speaker as many as the cap lacks. What is decoded is held, so no file is
+    decoded twice, and a lost executor costs no wave. Keys are distinct within a source; existing files aren't decoded."""
     ids = items.withColumn("utt_id", utterance_id(F.lit(source), F.col("speaker"), F.col("key")))
     known = manifest.select("utt_id").withColumn("exists_", F.lit(True))
-    marked = ids.join(known, "utt_id", "left").withColumn("exists_", F.coalesce("exists_", F.lit(False)))
-    todo = marked if overwrite else marked.where(~F.col("exists_"))
-    done = normalise(todo.where("content is not null"), spec)
-    files = done.groupBy("key").agg(F.count_if(F.col("error").isNull()).cast("long").alias("n_clips"))
-    usable = todo.drop("content").join(files.where("n_clips > 0"), "key")
-    chosen = usable
+    marked = ids.select("key", F.coalesce("speaker", F.lit("")).alias("speaker"), "utt_id").join(known, "utt_id", "left").select("key", "speaker", (F.coalesce("exists_", F.lit(False)) & F.lit(not overwrite)).alias("exists_"))
+    order = held(prefix_sums(marked.withColumn("one_", F.lit(1).cast("long")), "key", ["one_"], descending=False).withColumn("at", F.col("cum_one_") - 1).drop("one_", "cum_one_"))
     if per_speaker is not None:
-        have = manifest.where((F.col("source") == source) & (F.col("augment") == "")).groupBy("speaker").agg(F.count("*").alias("have_"))
-        most = chosen.join(have, "speaker", "left").withColumn("have_", F.coalesce("have_", F.lit(0)))
-        ranked = per_speaker_cap(most.withColumn("room_", F.greatest(F.lit(0), per_speaker - F.col("have_"))), per_speaker, "key")
-        from pyspark.sql import Window
-
-        at = F.row_number().over(Window.partitionBy("speaker").orderBy("key"))
-        chosen = ranked.withColumn("at_", at).where("at_ <= room_").drop("at_", "room_", "have_")
-    if limit is not None:
-        # the order of keys as a number; ids of equal hash are one place
-        place = F.conv(F.substring(F.sha1("key"), 1, 13), 16, 10).cast("double")
-        chosen = running_limit(chosen.withColumn("place_", place), "n_clips", limit, "place_").drop("place_")
-    clips = done.where("error is null").join(chosen.drop("path"), "key")
-    clips = clips.withColumn("utt_id", utterance_id(F.lit(source), F.col("speaker"), F.col("key"), F.col("chunk")))
+        nth = prefix_sums(order.withColumn("one_", F.lit(1).cast("long")), "at", ["one_"], descending=False, by=["speaker"])
+        order = held(nth.withColumn("nth_", F.col("cum_one_") - 1).drop("one_", "cum_one_"))
+    total, end, wave, clips, facts, front = order.count(), 0, 0, [], None, None
+    while True:
+        known = order.where(F.col("at") < end)
+        known = known.join(facts, "key", "left") if facts is not None else known.withColumns({"n_clips": F.lit(None).cast("long"), "no_audio_": F.lit(False)})
+        if per_speaker is not None and end:
+            # of each speaker the files up to its front are decoded; it moves on by what they lack
+            there = F.col("exists_") | (F.coalesce("n_clips", F.lit(0)) > 0)
+            if front is None:
+                front = held(order.select("speaker").distinct().withColumn("upto_", F.lit(per_speaker - 1).cast("long")))
+            elif wave:
+                lacks = known.join(front, "speaker").groupBy("speaker", "upto_").agg((per_speaker - F.count_if(there & (F.col("nth_") <= F.col("upto_")))).alias("short_"), F.max("nth_").alias("last_"))
+                moved = F.when((F.col("last_") > F.col("upto_")) & (F.col("short_") > 0), F.col("upto_") + F.col("short_") * (1 << min(wave, 20))).otherwise(F.col("upto_"))
+                front = held(front.join(lacks.select("speaker", moved.alias("moved_")), "speaker", "left").select("speaker", F.coalesce("moved_", "upto_").alias("upto_")))
+            known = known.join(front, "speaker").where("nth_ <= upto_")
+        todo = known.where(~F.col("exists_") & F.col("n_clips").isNull())
+        todo = todo.select("key") if end else todo.select("key").limit(0)
+        part = held(normalise(items.join(todo, "key"), spec)) if end and not todo.isEmpty() else None
+        if part is not None:
+            clips.append(part.where("error is null"))
+            usable = part.groupBy("key").agg(F.count_if(F.col("error").isNull()).cast("long").alias("n_clips"), F.bool_and(F.coalesce(F.col("error") == NO_AUDIO, F.lit(False))).alias("no_audio_"))
+            facts = held(usable) if facts is None else held(facts.union(usable))
+            wave += 1
+            if per_speaker is not None:
+                continue  # a speaker may still lack files within the same places
+        seen = order.where(F.col("at") < end)
+        seen = seen.join(facts, "key", "left") if facts is not None else seen.withColumns({"n_clips": F.lit(None).cast("long"), "no_audio_": F.lit(False)})
+        judged = held(_judged(seen, limit, per_speaker))
+        kept, looked = judged.agg(F.coalesce(F.sum(F.when(F.col("status") == "kept", F.col("n_clips"))), F.lit(0)), F.count("*")).head()
+        if end >= total or (limit is not None and kept >= limit):
+            break
+        # as many further files as the limit lacks clips, by what the files so far have given
+        more = total if limit is None else math.ceil((limit - kept) * max(1.0, looked / kept)) if kept else max(limit, 4 * looked)
+        end, wave = min(total, end + max(1, more)), 0
+    chosen = judged.where("status = 'kept'").select("key")
+    made = reduce(DataFrame.union, clips) if clips else normalise(items.limit(0), spec)
+    made = made.join(chosen, "key").join(items.drop("content", "path"), "key")
+    made = made.withColumn("utt_id", utterance_id(F.lit(source), F.col("speaker"), F.col("key"), F.col("chunk")))
     label = F.col("label") if "label" in items.columns else F.lit("real")
     generator = F.col("generator") if "generator" in items.columns else F.lit("")
     split = F.col("split_hint") if "split_hint" in items.columns else F.lit("")
-    rows = clips.select("utt_id", label.alias("label"), F.lit(source).alias("source"), "speaker", "text", generator.alias("generator"), F.lit(language).alias("language"), F.round(F.size("signal") / spec.sample_rate, 3).alias("duration"), F.lit(spec.sample_rate).alias("sample_rate"), split.alias("split"))
+    rows = made.select("utt_id", label.alias("label"), F.lit(source).alias("source"), "speaker", "text", generator.alias("generator"), F.lit(language).alias("language"), F.round(F.size("signal") / spec.sample_rate, 3).alias("duration"), F.lit(spec.sample_rate).alias("sample_rate"), split.alias("split"))
     rows = conformed(rows.withColumn("path", audio_path(F.col("utt_id"), F.col("label"), F.col("source"), F.col("speaker"), F.col("generator"), F.lit(""))))
-    status = F.when(F.col("exists_") & F.lit(not overwrite), "skip_exists").when(F.col("content").isNull(), "skip_no_audio").when(F.coalesce("n_clips", F.lit(0)) == 0, "drop_invalid").when(F.col("chosen_").isNull(), "skip_speaker_full").otherwise("kept")
-    counted = marked.join(files, "key", "left").join(chosen.select("key", F.lit(True).alias("chosen_")), "key", "left")
-    counters = counted.select(status.alias("s")).agg(*(F.count_if(F.col("s") == c).alias(c) for c in COUNTERS))
-    return rows, clips.select("utt_id", "signal"), counters
+    n = F.when(F.col("status") == "kept", F.col("n_clips")).otherwise(1)
+    counters = judged.agg(*(F.coalesce(F.sum(F.when(F.col("status") == c, n)), F.lit(0)).alias(c) for c in COUNTERS))
+    return rows, made.select("utt_id", "signal"), counters
+
+
+def ingest_report(rows: DataFrame, counters: DataFrame) -> DataFrame:
+    """One row: the counters, n_speakers among the rows, few_speakers (some rows, but fewer than three speakers: no
+    split without leaks) and tight_cap (more than ten times as many files over the cap as clips kept)."""
+    n = rows.agg(F.count_distinct("speaker").alias("n_speakers"))
+    few = (F.col("kept") > 0) & (F.col("n_speakers") < FEW_SPEAKERS)
+    return counters.crossJoin(n).withColumns({"few_speakers": few, "tight_cap": F.col("skip_speaker_full") > TIGHT_CAP * F.greatest("kept", F.lit(1))})  # one row each
 
 
 def write_clips(clips: DataFrame, path: str) -> None:

@@ -54,3 +54,34 @@ def test_prefix_sums_equal_a_window_over_everything(spark):
     for y, s in sorted(pairs, key=lambda q: -q[1]):
         f, r = f + y, r + (not y)
         assert got[s] == (f, r)
+
+
+@pytest.mark.parametrize("range_rows", [1, 3, 7, 1000])
+def test_scans_do_not_depend_on_where_ranges_end(spark, range_rows):
+    """Borders fall within ties of rows, within groups and between them."""
+    rng = random.Random(9)
+    made = [(g, int(rng.random() < 0.5), rng.randint(0, 9) / 10) for g in (None, "a", "b", "c") for _ in range(40)] + [("one", 1, 0.5)] * 3 + [("reals", 0, x / 10) for x in range(5)]
+    df = spark.createDataFrame([(g, "fake" if y else "real", s) for g, y, s in made], "g string, label string, score double").repartition(5)
+    hist = metrics.histogram(df, "g")
+    got = {(r.g, r.score): (r.tp, r.fp, r.p, r.n) for r in metrics.cumulated(hist, ["g"], range_rows).collect()}
+    for g in {x[0] for x in made}:
+        own = [(y, s) for h, y, s in made if h == g]
+        for s in {s for _, s in own}:
+            assert got[g, s] == (sum(y for y, x in own if x >= s), sum(1 - y for y, x in own if x >= s), sum(y for y, _ in own), sum(1 - y for y, _ in own))
+    rates = {r.g: (r.eer, r.eer_threshold) for r in metrics.equal_error_rate(hist, ["g"], range_rows).collect()}
+    assert set(rates) == {None, "a", "b", "c"}
+    for g, (eer, threshold) in rates.items():
+        want = brute_eer([(y, s) for h, y, s in made if h == g])
+        assert eer == pytest.approx(want[0]) and threshold == pytest.approx(want[1])
+    points = metrics.roc_points(hist, ["g"], range_rows)
+    assert sorted((tuple(r) for r in points.collect()), key=repr) == sorted((tuple(r) for r in metrics.roc_points(hist, ["g"]).collect()), key=repr)
+
+
+def test_ranges_follow_the_rows_and_no_window_has_a_whole_group(spark):
+    hist = metrics.histogram(rows(spark, [(k % 2, k / 5000) for k in range(5000)]))
+    got = metrics.scanned(hist, [], "score", ["f", "r"], range_rows=500)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    sums = [line for line in plan.splitlines() if "Window" in line and "row_number" in line and "sum(f" in line]
+    assert sums and all("range_" in line for line in sums)
+    assert [r.cum_f for r in got.orderBy("score").collect()][0] == 2500
+    assert metrics.scanned(hist.limit(0), [], "score", ["f", "r"]).collect() == []

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from corvox.operators import detect, model
 from corvox.operators.features import embed
@@ -113,3 +114,77 @@ def test_files_that_arrive_are_taken_once(spark, tmp_path, speech):
     wav(tmp_path / "src" / "more" / "a.wav", speech(3.5))
     jobs.ingest_files(spark, src, out, cp, make).awaitTermination(60)
     assert sorted(r.utt_id for r in spark.read.parquet(out).collect()) == ["a.wav", "b.wav"]
+
+
+def plain_ingest(files, existing, limit, per_speaker):
+    """files: (key, speaker, clips or None) in order."""
+    counts, speakers, kept = dict.fromkeys(ingest.COUNTERS, 0), {}, []
+    for key, speaker, n in files:
+        if limit is not None and counts["kept"] >= limit:
+            break
+        if per_speaker is not None and speakers.get(speaker, 0) >= per_speaker:
+            counts["skip_speaker_full"] += 1
+        elif key in existing:
+            counts["skip_exists"] += 1
+            speakers[speaker] = speakers.get(speaker, 0) + 1
+        elif n is None:
+            counts["skip_no_audio"] += 1
+        elif n == 0:
+            counts["drop_invalid"] += 1
+        else:
+            counts["kept"] += n
+            speakers[speaker] = speakers.get(speaker, 0) + 1
+            kept.append(key)
+    return counts, kept
+
+
+@pytest.mark.parametrize(("limit", "per_speaker"), [(None, None), (5, None), (12, None), (None, 2), (6, 2), (1000, 3), (0, None)])
+def test_files_are_taken_in_order_and_decoded_once_and_no_further(spark, monkeypatch, limit, per_speaker):
+    """Clips are made up: a file's content says how many it has."""
+    import random
+
+    rng = random.Random(3)
+    files = [(f"d/{k:03d}.wav", f"s{rng.randint(0, 4)}", rng.choice([None, 0, 1, 1, 1, 2, 3])) for k in range(60)]
+    decoded = spark.sparkContext.accumulator(0)
+
+    def normalise(items, spec):
+        def run(batches):
+            for b in batches:
+                for r in b.itertuples():
+                    decoded.add(1)
+                    n = None if r.content is None else r.content[0]
+                    out = [(r.key, k, [0.1] * 16_000, 1.0, None) for k in range(n or 0)] or [(r.key, 0, None, None, "no audio" if n is None else "no usable clip")]
+                    yield pd.DataFrame(out, columns=["key", "chunk", "signal", "raw_seconds", "error"])
+
+        return items.select("key", "content").mapInPandas(run, "key string, chunk int, signal array<float>, raw_seconds double, error string")
+
+    import pandas as pd
+
+    monkeypatch.setattr(ingest, "normalise", normalise)
+    items = spark.createDataFrame([(k, s, None if n is None else bytearray([n]), "t") for k, s, n in files], "key string, speaker string, content binary, text string").repartition(3)
+    with_ids = items.select("key", ingest.utterance_id(F.lit("src"), F.col("speaker"), F.col("key")).alias("utt_id")).collect()
+    existing = {r.key: r.utt_id for r in with_ids if int(r.key[2:5]) % 9 == 4}
+    manifest = spark.createDataFrame([(u,) for u in existing.values()], "utt_id string")
+    rows, clips, counters = ingest.ingest(items, manifest, "src", limit=limit, per_speaker=per_speaker)
+    want, kept = plain_ingest(files, existing, limit, per_speaker)
+    of = {r.utt_id: r.key for r in with_ids}
+    assert counters.head().asDict() == want
+    assert sorted({of["-".join(r.utt_id.split("-")[:2])] for r in rows.collect()}) == kept and rows.count() == clips.count() == want["kept"]
+    n, todo = decoded.value, [f for f in files if f[0] not in existing]
+    assert n <= len(todo)
+    if (limit, per_speaker) == (5, None):
+        assert n <= 12
+    if (limit, per_speaker) == (0, None):
+        assert n == 0
+    if (limit, per_speaker) == (None, 2):
+        assert n < len(todo) * 0.8
+    report = ingest.ingest_report(rows, counters).head()
+    assert report.n_speakers == len({s for k, s, _ in files if k in kept}) and report.few_speakers == (0 < report.n_speakers < 3)
+
+
+def test_a_limit_keeps_the_first_files(spark):
+    items = spark.createDataFrame([(f"f{k:02d}", "s", None, "t") for k in range(40)], "key string, speaker string, content binary, text string")
+    rows, clips, counters = ingest.ingest(items, empty_manifest(spark), "src", limit=10)
+    assert counters.head().skip_no_audio == 40 and rows.count() == clips.count() == 0
+    none, _, zero = ingest.ingest(items.limit(0), empty_manifest(spark), "src", limit=10)
+    assert none.count() == 0 and sum(zero.head()) == 0
