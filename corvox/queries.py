@@ -12,6 +12,7 @@ from .functions import text as X
 from .operators import augment, corpus, features, metrics, signal, splits
 from .plans import synthesis
 from .schema import engine, label_code, problems
+from .tables import held
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -23,6 +24,7 @@ HY = f"WITH hypotheses AS ({views.in_duckdb(views.HYPOTHESES)})"
 SI = f"WITH source_items AS ({views.in_duckdb(views.SOURCE_ITEMS)})"
 SG = f"WITH signals AS ({views.SIGNALS.strip()})"
 CH = "chr(31)"
+SPEC10 = signal.AudioSpec(sample_rate=10)
 
 
 def query(sql: str) -> Callable[[Query], Query]:
@@ -464,6 +466,49 @@ def synthesis_plan(spark, d):
     return got.select("utt_id", "ref_utt_id", "voice", "generator", F.array_join("refs", ",").alias("refs"))
 
 
+# the same with clips of up to 25 s, of which one that doesn't fit is passed over: a target's candidates are gone through in order
+LONG = f"""WITH RECURSIVE every_length AS ({views.in_duckdb(views.UTTERANCES)}), utterances AS (SELECT * REPLACE (duration * CAST(2.5 AS DOUBLE) AS duration) FROM every_length),
+{REFS.removeprefix(U + ', ').split('run AS', 1)[0]}
+ranked AS (SELECT utt_id, ref, duration, row_number() OVER (PARTITION BY utt_id ORDER BY h, ref) AS i FROM pairs),
+walk AS (SELECT utt_id, 0 AS i, CAST(0 AS DOUBLE) AS seconds, CAST([] AS VARCHAR[]) AS refs FROM (SELECT DISTINCT utt_id FROM ranked) UNION ALL
+  SELECT w.utt_id, w.i + 1, CASE WHEN skip THEN seconds ELSE seconds + more END, CASE WHEN skip THEN refs ELSE list_append(refs, ref) END
+  FROM (SELECT w.*, r.ref, r.duration + CASE WHEN len(refs) > 0 THEN CAST(0.3 AS DOUBLE) ELSE 0 END AS more, len(refs) > 0 AND seconds + (r.duration + CASE WHEN len(refs) > 0 THEN CAST(0.3 AS DOUBLE) ELSE 0 END) > 25 AS skip
+        FROM walk w JOIN ranked r ON r.utt_id = w.utt_id AND r.i = w.i + 1 WHERE w.seconds < 12) w)
+SELECT utt_id, array_to_string(arg_max(refs, i), ',') AS refs, round(arg_max(seconds, i), 6) AS seconds FROM walk GROUP BY utt_id HAVING len(arg_max(refs, i)) > 0"""
+
+
+@query(LONG)
+def long_references(spark, d):
+    rows = views.utterances(spark, d).withColumn("duration", F.col("duration") * 2.5)
+    got = synthesis.references(rows, synthesis.targets(rows, 2000, "eng_x", 6, 60))
+    return got.select("utt_id", F.array_join("refs", ",").alias("refs"), F.round("seconds", 6).alias("seconds"))
+
+
+@query(f"""{REFS}, one AS (SELECT r.utt_id, r.h, r.ref, u.text, CAST(floor(u.duration * 10) AS BIGINT) AS samples FROM run r JOIN utterances u ON u.utt_id = r.ref WHERE before < 12 - 1e-9)
+SELECT utt_id, CASE WHEN count(*) = 1 THEN min(text) ELSE string_agg(CASE WHEN regexp_matches(trim(text, ' '), '[.!?…,;:]$') THEN trim(text, ' ') ELSE trim(text, ' ') || '.' END, ' ' ORDER BY h, ref) END AS ref_text,
+CAST(sum(samples) + 3 * (count(*) - 1) AS INTEGER) AS n_samples FROM one GROUP BY utt_id""")
+def reference_texts(spark, d):
+    """A clip has ten samples a second here, so a gap has three."""
+    rows = views.utterances(spark, d)
+    clips = rows.select("utt_id", F.array_repeat("score", F.floor(F.col("duration") * 10).cast("int")).alias("signal"))
+    chosen = synthesis.references(rows, synthesis.targets(rows, 2000, "eng_x", 6, 60))
+    got = synthesis.reference_audio(chosen, clips, rows, SPEC10)
+    return got.select("utt_id", "ref_text", F.size("ref_signal").alias("n_samples"))
+
+
+@query(f"""{REFS}, p AS (SELECT asked.*, refs, seconds FROM asked LEFT JOIN refs USING (utt_id))
+SELECT count(*) FILTER ("at" < 300) AS skip_exists, count(*) FILTER ("at" >= 300 AND refs IS NULL) AS skip_no_reference, count(*) FILTER ("at" >= 300 AND refs IS NOT NULL) AS todo, round(avg(seconds) FILTER ("at" >= 300), 6) AS mean_reference FROM p""")
+def generation_counters(spark, d):
+    """What becomes of the targets of a cloning engine that has made the first 300 already."""
+    rows = views.utterances(spark, d)
+    options = dict(clone=True, least=6, most=60)
+    made = synthesis.plan_all(rows, "eng_x", ["v0", "v1"], 2000, **options).where("at < 300").select("utt_id")
+    made = held(made)  # the manifest is read in many places, and this plan would be made in each
+    got = synthesis.plan_all(rows.unionByName(made, allowMissingColumns=True), "eng_x", ["v0", "v1"], 2000, **options)
+    mean = F.round(F.avg(F.when(F.col("status") == "todo", F.col("seconds"))), 6).alias("mean_reference")
+    return got.agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("skip_exists", "skip_no_reference", "todo")), mean)
+
+
 @query(f"{U} SELECT utt_id, generator FROM utterances WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY generator ORDER BY sha1(concat_ws({CH}, '7', utt_id)), utt_id) <= 15")
 def seeded_sample(spark, d):
     return corpus.seeded_sample(views.utterances(spark, d).where("text <> ''"), "generator", 15, 7).select("utt_id", "generator")
@@ -504,7 +549,6 @@ def split_leaks(spark, d):
 # ------------------------------------------------------------------ signals
 
 FINITE = "list_transform(signal, lambda x: CASE WHEN x IS NULL OR isnan(x) OR isinf(x) THEN CAST(0 AS DOUBLE) ELSE x END)"
-SPEC10 = signal.AudioSpec(sample_rate=10)
 
 
 @query(f"""{SG}, r AS (SELECT utt_id, signal, sqrt(list_sum(list_transform(signal, lambda x: x * x)) / len(signal)) AS loud, list_max(list_transform(signal, lambda x: abs(x))) AS top FROM signals),

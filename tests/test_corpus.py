@@ -171,3 +171,90 @@ def test_stages_stop_at_the_first_failure():
 
 def test_columns_are_resolved_by_name():
     assert layouts.resolve(["ID", "Sentence", "Audio"], layouts.TEXT_COLUMNS) == "Sentence" and layouts.resolve(["x"], layouts.AUDIO_COLUMNS) is None
+
+
+def plain_references(rows, own, speaker):
+    """rows: utt_id to (speaker, duration)."""
+    import hashlib
+
+    sha = lambda *parts: hashlib.sha1("\x1f".join(map(str, parts)).encode()).hexdigest()
+    variant = int(sha("ref-variant", own)[:8], 16) % 4
+    refs, seconds = [], 0.0
+    for _, u in sorted((sha("ref", speaker, variant, u), u) for u, (s, d) in rows.items() if s == speaker and 3 <= d <= 25 and u != own):
+        more = rows[u][1] + (0.3 if refs else 0.0)
+        if seconds < 12 and not (refs and seconds + more > 25):
+            refs, seconds = [*refs, u], seconds + more
+    return refs, seconds
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_references_with_long_clips_are_those_of_a_plain_loop(spark, seed):
+    rng = random.Random(seed)
+    of = {f"u{k}x": (f"s{k % 5}", round(rng.choice([rng.uniform(3, 25), rng.uniform(12, 16), rng.uniform(3, 6)]), 2)) for k in range(150)}
+    of |= {f"h{k}x": ("hot", 21.0 if k % 50 else 5.0) for k in range(400)} | {f"l{k}x": ("longs", 14.0 + k % 3) for k in range(9)} | {"a0x": ("alone", 7.0), "p0x": ("two", 11.0), "p1x": ("two", 24.0)}
+    df = make(spark, [row(u, speaker=s, duration=d) for u, (s, d) in of.items()])
+    got = {r.utt_id: (r.refs, r.seconds) for r in synthesis.references(df, df.select("utt_id", "speaker")).collect()}
+    for u, (s, _) in of.items():
+        refs, seconds = plain_references(of, u, s)
+        assert (got[u][0] == refs and got[u][1] == pytest.approx(seconds)) if refs else u not in got
+    few = synthesis._candidates(df.select("speaker", F.col("utt_id").alias("ref"), "duration")).groupBy("speaker", "variant").count()
+    assert few.agg(F.max("count")).head()[0] <= 60
+
+
+def test_generation_is_counted_in_the_pass_that_appends(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+    rate = 16_000
+
+    def odd(text, voice, reference):
+        calls.add(1)
+        k = int(text.split()[0][1:])
+        if k % 5 == 0:
+            raise OSError("no device")
+        return synthesis.tone(text, voice, [])[0][: rate if k % 5 == 1 else None], 24_000
+
+    synthesis.register("odd", odd)
+    try:
+        df = make(spark, [row(f"u{k}", speaker=f"s{k % 3}", text=f"n{k} two three four five six seven") for k in range(20)])
+        path = str(tmp_path / "made")
+        first = synthesis.plan(df, "odd", ["v"], 20).where("at < 4").select("utt_id").collect()
+        have = df.unionByName(make(spark, [row(r.utt_id, "fake") for r in first]))
+        got = synthesis.generate(have, "odd", ["v"], 20, lambda rows: rows.write.parquet(path))
+        made = spark.read.parquet(path)
+        assert calls.value == 16 and got["skip_exists"] == 4 and got["skip_no_reference"] == 0 and got["mean_reference"] is None
+        assert got["kept"] == made.count() == 16 - got["error"] - got["drop_invalid"] and got["many_dropped"] == (got["drop_invalid"] > 4)
+        texts = [int(r.text[1:].split()[0]) for r in synthesis.plan(have, "odd", ["v"], 20).collect()]
+        assert got["error"] == sum(k % 5 == 0 for k in texts) and got["drop_invalid"] == sum(k % 5 == 1 for k in texts)
+        assert {r.label for r in made.collect()} == {"fake"} and made.where("size(signal) > 0 and ref_utt_id like 'u%'").count() == made.count()
+        synthesis.register("absent", odd, lambda: "no graphics card")
+        with pytest.raises(RuntimeError, match="graphics"):
+            synthesis.synthesise(df, "absent")
+    finally:
+        for name in ("odd", "absent"):
+            synthesis.SYNTHESISERS.pop(name, None)
+            synthesis.AVAILABLE.pop(name, None)
+
+
+def test_references_go_to_the_engine_with_their_texts(spark, tmp_path):
+    seen = []
+
+    def clone(text, voice, reference):
+        signal, said = reference
+        return [0.2] * int(4 * 16_000) if len(signal) == 8 * 3 + 4 * 2 and said == "A b c d e f. G h i j k l, M n o p q r." else [], 16_000
+
+    synthesis.register("clone", clone)
+    try:
+        spec = synthesis.AudioSpec(sample_rate=16_000)
+        chosen = spark.createDataFrame([("t", ["c", "a", "b"]), ("one", ["a"]), ("none", ["gone"])], "utt_id string, refs array<string>")
+        texts = {"c": "A b c d e f", "a": " G h i j k l, ", "b": "M n o p q r."}
+        manifest = spark.createDataFrame(list(texts.items()), "utt_id string, text string")
+        clips = spark.createDataFrame([("a", [1.0] * 8), ("b", [2.0] * 8), ("c", [3.0] * 8), ("a2", None)], "utt_id string, signal array<float>")
+        got = {r.utt_id: r for r in synthesis.reference_audio(chosen, clips, manifest, synthesis.AudioSpec(sample_rate=15)).collect()}
+        assert got["t"].ref_signal == [3.0] * 8 + [0.0] * 4 + [1.0] * 8 + [0.0] * 4 + [2.0] * 8 and got["t"].ref_text == "A b c d e f. G h i j k l, M n o p q r."
+        assert got["one"].ref_signal == [1.0] * 8 and got["one"].ref_text == " G h i j k l, " and "none" not in got
+        df = make(spark, [row(f"u{k}", speaker="s0" if k < 6 else "s1", duration=5.0) for k in range(7)])
+        sounds = df.select("utt_id", F.array_repeat(F.lit(0.5), 20).alias("signal"))
+        out = synthesis.generate(df, "clone", ["v"], 7, lambda rows: seen.append(rows.count()), clips=sounds, clone=True, spec=spec)
+        assert (out["skip_no_reference"], out["drop_invalid"], out["kept"], out["error"]) == (1, 6, 0, 0) and out["mean_reference"] > 12 and not out["short_references"] and out["many_dropped"]
+    finally:
+        synthesis.SYNTHESISERS.pop("clone", None)
+        synthesis.AVAILABLE.pop("clone", None)

@@ -84,3 +84,41 @@ def test_pooling_and_embedding(spark, speech):
     out = features.embed(clips)
     assert [(r.utt_id, len(r.embedding)) for r in out.collect()] == [("a", 16)]
     assert features.embed(clips, existing=out).count() == 0
+
+
+def test_drawn_clips_do_not_depend_on_partitions(spark, speech):
+    noises = spark.createDataFrame([(f"n{k:02d}", [float(k + 1)] * 50) for k in range(23)], "id string, signal array<float>")
+    rows = spark.createDataFrame([(f"u{k}", 0, ["background_noise"] if k % 3 else ["gain"], [0.1] * 20) for k in range(200)], "utt_id string, copy int, ops array<string>, signal array<float>")
+    a = {r.utt_id: (r.noise_, r.noise and r.noise[0]) for r in augment.with_drawn(rows.repartition(1), noises.repartition(5), "background_noise", 7).collect()}
+    b = {r.utt_id: (r.noise_, r.noise and r.noise[0]) for r in augment.with_drawn(rows.repartition(6), noises.repartition(1), "background_noise", 7).collect()}
+    assert a == b and len({n for n, _ in a.values() if n}) > 18
+    assert all((n is None) == (int(u[1:]) % 3 == 0) and (n is None or x == int(n[1:]) + 1) for u, (n, x) in a.items())
+    plan = augment.with_drawn(rows, noises, "background_noise", 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in "".join(line for line in plan.splitlines() if "nr_" in line and "Join" in line)
+
+
+def test_outcomes_add_up_to_the_drawn_copies(spark, speech):
+    def broken(x, sr, rng, **_):
+        raise ValueError("broken")
+
+    def loud(x, sr, rng, **_):
+        return np.zeros(10), "short"
+
+    clips = spark.createDataFrame([(f"u{k}", speech(4.0, seed=k).tolist()) for k in range(11)], "utt_id string, signal array<float>")
+    rows = [(f"u{k}", "real" if k < 8 else "fake", "s", "", "", "train", 4.0) for k in range(12)]
+    rows.append(("u0-aug1", "real", "s", "gain", "u0", "train", 4.0))
+    df = spark.createDataFrame(rows, "utt_id string, label string, speaker string, augment string, parent_utt_id string, split string, duration double")
+    noises = spark.createDataFrame([("n1", speech(6.0, seed=90).tolist()), ("n2", speech(1.0, seed=91).tolist())], "id string, signal array<float>")
+    rooms = spark.createDataFrame([("cathedral-of-light", [1.0, 0.5, 0.25])], "id string, signal array<float>")
+    augment.register("broken", broken)
+    augment.register("loud", loud)
+    try:
+        made, counters = augment.augment_counted(df, clips, {"broken": 0.5, "background_noise": 0.4, "reverb": 0.3, "loud": 0.2}, copies=3, noises=noises, rooms=rooms)
+        got, n = made.collect(), counters.head()
+        assert sum(n[c] for c in augment.COUNTERS) == 12 * 3 and n.skip_exists == 1 and n.created == len(got) > 0 and n.read_error > 0 and n.drop_invalid > 0 and n.failed_operations > 0 and n.skip_no_op > 0
+        assert n.created_real == sum(r.label == "real" for r in got) and n.created_fake == n.created - n.created_real
+        assert n.skewed == (n.created_fake > 0 and max(n.created_real, n.created_fake) > 1.25 * min(n.created_real, n.created_fake))
+        tags = "+".join(r.augment for r in got)
+        assert "rir:cathedral-of" in tags and "bg" in tags and "broken" not in tags
+    finally:
+        del augment.OPERATIONS["broken"], augment.OPERATIONS["loud"]
