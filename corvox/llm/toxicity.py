@@ -42,6 +42,11 @@ STRETCHED = re.compile(r"(.)\1\1")
 PUNCTUATION = ".,;:!?\"'()[]{}«»„“”…"
 BEGINNINGS = (3, 4, 5, 6)
 CACHE = 100_000
+#: Tables of a few letters (some 0.4 MB each) that a model keeps.
+PARTS = 64
+#: Ends of tokens, from the first star on, that a model keeps what follows a state for: how long, after how many states
+#: at most, and how many of them.
+SHORT_TAIL, FEW_STATES, TAILS = 16, 8, 50_000
 #: Features' names that a task counts before it hands them on.
 HELD_NAMES = 1 << 17
 #: Less than any path's log-probability.
@@ -66,6 +71,19 @@ class CharacterModel:
     def _take(self, table: np.ndarray) -> None:
         self.table = table
         self.log = self.table.reshape(SIZE * SIZE, SIZE).tolist()
+        self.tails: dict[tuple, tuple[float, list[str]]] = {}
+        self._parts: dict[tuple[int, ...], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+
+    def part(self, codes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-probabilities among these codes (0 and the stars' letters first), of words that end, and of stars."""
+        found = self._parts.get(codes)
+        if found is None:
+            if len(self._parts) >= PARTS:
+                self._parts.clear()
+            table = self.table[np.ix_(codes, codes, codes)].astype(np.float64)
+            ends = np.where(np.arange(len(codes)) > 0, table[:, :, 0], 0.0)
+            found = self._parts[codes] = table, ends, np.ascontiguousarray(table[:, :, 1 : len(WILDCARD) + 1].transpose(1, 2, 0))
+        return found
 
     def __getstate__(self) -> np.ndarray:
         return self.table
@@ -136,11 +154,16 @@ class Sparse:
         return bool(self.states[at])
 
     def read(self) -> str:
-        way, out = self._ended(len(self.states) - 1)[1], []
-        while way:
-            way, text = way
-            out.append(text)
-        return "".join(reversed(out))
+        return "".join(_said(self._ended(len(self.states) - 1)[1]))
+
+
+def _said(way: tuple | None) -> list[str]:
+    """The texts of a way, first to last."""
+    out = []
+    while way:
+        way, text = way
+        out.append(text)
+    return out[::-1]
 
 
 class Dense:
@@ -149,20 +172,23 @@ class Dense:
     arc and memory a table a place, whatever the order of stars and separators. Only letters that the token may hold
     are in the tables."""
 
-    def __init__(self, model: CharacterModel, places: int, text: str) -> None:
+    def __init__(self, model: CharacterModel, text: str, prefix: dict[int, tuple[float, tuple | None]]) -> None:
+        """text: from the first star on. prefix: the states that what comes ahead of it reaches."""
+        self.prefix = prefix
         meant = {CODE[x] for c in set(text) for x in SIGNS.get(c, "")}
-        self.codes = sorted({0, *range(1, len(WILDCARD) + 1), *map(_code, text), *meant})
+        reached = {k for key in self.prefix for k in divmod(key, SIZE)}
+        self.codes = tuple(sorted({0, *range(1, len(WILDCARD) + 1), *map(_code, text), *meant, *reached}))
         self.place = {k: i for i, k in enumerate(self.codes)}
-        m = len(self.codes)
-        self.table = model.table[np.ix_(self.codes, self.codes, self.codes)].astype(np.float64)
-        self.ends = np.where(np.arange(m) > 0, self.table[:, :, 0], 0.0)
-        self.wild = np.ascontiguousarray(self.table[:, :, 1 : len(WILDCARD) + 1])
-        self.rows = np.arange(m)
+        self.table, self.ends, self.wild = model.part(self.codes)
+        m, places = len(self.codes), len(text) + 1
+        self.rows, self.stars = np.arange(m), np.arange(len(WILDCARD))
         self.values: list[np.ndarray | None] = [None] * places
         self.before: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = [None] * places
         #: of each place, the arcs that end there: where they begin, and their text (None: the letter of the state)
         self.arcs: list[list[tuple[int, str | None]]] = [[] for _ in range(places)]
-        self._open(0)[0, 0] = 0.0
+        start = self._open(0)
+        for key, (value, _) in self.prefix.items():
+            start[self.place[key // SIZE], self.place[key % SIZE]] = value
 
     def _open(self, to: int) -> np.ndarray:
         if self.values[to] is None:
@@ -173,12 +199,19 @@ class Dense:
 
     def _merge(self, at: int, to: int, text: str | None, part: tuple, value, a, b) -> None:
         """part: which states of the place get value, if it is more than theirs, from the states (a, b)."""
-        own = self._open(to)[part]
-        better = value > own
-        if np.any(better):
+        if self.values[to] is None:
+            # the first arc to a place needs no comparison
+            self._open(to)[part] = value
+            rows, columns, arc = self.before[to]
+            rows[part], columns[part] = a, b
+        else:
+            own = self.values[to][part]
+            better = value > own
+            if not np.any(better):
+                return
             for table, new in zip((self.values[to], *self.before[to]), (value, a, b, len(self.arcs[to])), strict=True):
                 table[part] = np.where(better, new, table[part])
-            self.arcs[to].append((at, text))
+        self.arcs[to].append((at, text))
 
     def letters(self, at: int, to: int, text: str, codes: tuple[int, ...], cost: float) -> None:
         k = self.place[codes[0]]
@@ -193,14 +226,16 @@ class Dense:
             self._merge(at, to, text, (k, self.place[codes[1]]), value[b], best[b], b)
 
     def star(self, at: int, to: int) -> None:
-        every = self.values[at][:, :, None] + self.wild
-        best = every.argmax(0)
-        value = np.take_along_axis(every, best[None], 0)[0] + WILD
-        self._merge(at, to, None, (slice(None), slice(1, len(WILDCARD) + 1)), value, best, np.broadcast_to(self.rows[:, None], best.shape))
+        own = self.values[at]
+        # behind the first stars only few letters stand two places back
+        live = np.flatnonzero(own.max(1) > NEVER / 2)
+        ends = np.flatnonzero(own[live].max(0) > NEVER / 2)
+        every = own[np.ix_(live, ends)].T[:, None, :] + self.wild[np.ix_(ends, self.stars, live)]
+        best = every.argmax(2)
+        self._merge(at, to, None, np.ix_(ends, self.stars + 1), every.max(2) + WILD, live[best], ends[:, None])
 
     def skip(self, at: int, to: int, cost: float) -> None:
-        m = len(self.codes)
-        self._merge(at, to, "", (slice(None), slice(None)), self.values[at] + cost, np.broadcast_to(self.rows[:, None], (m, m)), np.broadcast_to(self.rows, (m, m)))
+        self._merge(at, to, "", (slice(None), slice(None)), self.values[at] + cost, self.rows[:, None], self.rows)
 
     def _ended(self, at: int) -> tuple[int, int, float]:
         every = self.values[at] + self.ends
@@ -218,15 +253,16 @@ class Dense:
     def reached(self, at: int) -> bool:
         return self.values[at] is not None
 
-    def read(self) -> str:
+    def read(self) -> tuple[float, list[str]]:
+        """The best value at the end and the texts of its path, those of its prefix included."""
         at, out = len(self.values) - 1, []
-        a, b, _ = self._ended(at)
+        a, b, value = self._ended(at)
         while at:
             rows, columns, arc = self.before[at]
             start, text = self.arcs[at][arc[a, b]]
             out.append(WILDCARD[b - 1] if text is None else text)
             at, a, b = start, int(rows[a, b]), int(columns[a, b])
-        return "".join(reversed(out))
+        return value, [*_said(self.prefix[self.codes[a] * SIZE + self.codes[b]][1]), *reversed(out)]
 
 
 def decode(observed: str, model: CharacterModel) -> str:
@@ -234,26 +270,55 @@ def decode(observed: str, model: CharacterModel) -> str:
     are the last two letters; none is left out, so the path is the best there is."""
     # between letters that all stand alone, separators are likelier to be noise
     split, keep = (-0.1, -2.0) if SPACED.fullmatch(observed) else (SPLIT, -0.5)
-    paths = Dense(model, len(observed) + 1, observed) if "*" in observed else Sparse(model, len(observed) + 1)
-    for i, (c, run) in enumerate(zip(observed, runs(observed), strict=True)):
-        if not paths.reached(i):
+    star = observed.find("*")
+    few = Sparse(model, (star if star >= 0 else len(observed)) + 1)
+    _walked(few, observed if star < 0 else observed[:star], True, split, keep)
+    if star < 0:
+        return few.read()
+    tail, reached = observed[star:], few.states[-1]
+    if len(tail) > SHORT_TAIL or len(reached) > FEW_STATES:
+        return "".join(_starred(model, tail, not star, split, keep, reached)[1])
+    # what follows depends on the state alone, and the same ends are met again and again
+    ways = []
+    for key, (value, way) in reached.items():
+        at = (key, tail, not star, split)
+        if at not in model.tails:
+            if len(model.tails) >= TAILS:
+                model.tails.clear()
+            model.tails[at] = _starred(model, tail, not star, split, keep, {key: (0.0, None)})
+        more, texts = model.tails[at]
+        ways.append((value + more, way, texts))
+    _, way, texts = max(ways, key=lambda x: x[0])
+    return "".join([*_said(way), *texts])
+
+
+def _starred(model: CharacterModel, tail: str, begins: bool, split: float, keep: float, reached: dict) -> tuple[float, list[str]]:
+    paths = Dense(model, tail, reached)
+    _walked(paths, tail, begins, split, keep)
+    return paths.read()
+
+
+def _walked(paths: Sparse | Dense, text: str, begins: bool, split: float, keep: float) -> None:
+    """All arcs of a text, which is a token or begins at its first star; begins: nothing comes before it. No run of one
+    character goes beyond the text."""
+    for at, (c, run) in enumerate(zip(text, runs(text), strict=True)):
+        if not paths.reached(at):
             continue
         k = _code(c)
         if k:
-            paths.letters(i, i + 1, c, (k,), 0.0)
-            if run - i >= 3:
-                paths.letters(i, run, c, (k,), STRETCH)
-                paths.letters(i, run, c + c, (k, k), STRETCH - 1.0)
+            paths.letters(at, at + 1, c, (k,), 0.0)
+            if run - at >= 3:
+                paths.letters(at, run, c, (k,), STRETCH)
+                paths.letters(at, run, c + c, (k, k), STRETCH - 1.0)
         else:
             if c == "*":
-                paths.star(i, i + 1)
+                paths.star(at, at + 1)
             for x in SIGNS.get(c, ""):
-                paths.letters(i, i + 1, x, (CODE[x],), SIGN)
-            if c in SEPARATORS and i:
-                paths.skip(i, run, split)
-            paths.border(i, i + 1, keep if c in SEPARATORS else KEEP)
-        paths.leave(i)
-    return paths.read()
+                paths.letters(at, at + 1, x, (CODE[x],), SIGN)
+            if c in SEPARATORS and (at or not begins):
+                paths.skip(at, run, split)
+            paths.border(at, at + 1, keep if c in SEPARATORS else KEEP)
+        paths.leave(at)
 
 
 def parts(word: str) -> list[str]:
