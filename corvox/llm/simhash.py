@@ -217,6 +217,8 @@ COMMON, SAMPLED = 1 << 18, 10_000
 REMEMBERED = 1 << 16
 #: Rounds of stars before all pairs are compared; entries that are compared at once.
 STARS, GROUP = 1, 1 << 15
+#: Texts of a key from which on a star's middle is looked for.
+MANY = 8
 #: Bytes of text in a block of nodes whose pairs are verified together.
 BLOCK_BYTES = 1 << 22
 #: Pairs that a cell has on average at most.
@@ -377,6 +379,12 @@ def _shared(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
     yield group
 
 
+def _middle(group: list[np.ndarray], rows: np.ndarray) -> int:
+    """Which of these rows of a group has the fingerprint (columns 5 and 6) nearest to the majority of each bit."""
+    bits = np.unpackbits(np.column_stack([group[5][rows], group[6][rows]]).astype(np.int64).view(np.uint8).reshape(len(rows), 16), axis=1)
+    return int((bits != (2 * bits.sum(0, dtype=np.int64) > len(rows))).sum(1).argmin())
+
+
 def _paired(similarity: float, star: int | None = None):
     """Of one group's entries, the pairs (a, b) of nodes of different roots that can be similar by sizes and by what
     can follow the key in both. star: not all pairs, but each node with one of those that its size allows; which one
@@ -394,7 +402,7 @@ def _paired(similarity: float, star: int | None = None):
             if star is None:
                 one, among = k, slice(k + 1, end)
             else:
-                one, among = k + star * 7919 % (end - k), slice(k, end)
+                one, among = k + (star * 7919 % (end - k) if end - k < MANY else _middle(group, order[k:end])), slice(k, end)
             most = np.minimum(size[one] - at[one], size[among] - at[among])
             due = similarity / (1 + similarity) * (size[one] + size[among]) - 1e-6
             to = node[among][(most >= due) & (root[among] != root[one])]
@@ -407,7 +415,7 @@ def _paired(similarity: float, star: int | None = None):
 
 def _mixed(shared: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries with their nodes' roots, of keys whose nodes have different ones; n: how many entries the key has."""
-    live = shared.join(roots.select("node", "root"), "node").select("key", "node", "size", "at", "root")
+    live = shared.join(roots, "node").select("key", "node", "size", "at", *roots.columns[1:])
     keys = live.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
     return live.join(keys.select("key", "n"), "key")
 
@@ -416,7 +424,7 @@ def _star_groups(mixed: DataFrame, number: int) -> DataFrame:
     """Groups of about GROUP entries at most: those of a key with more are dealt out anew in each round."""
     part = F.pmod(F.xxhash64(F.lit(number), "node"), F.ceil(F.col("n") / GROUP))
     key = F.when(F.col("n") > GROUP, F.xxhash64("key", part)).otherwise(F.col("key"))
-    return mixed.select(key.alias("key"), "node", "size", "at", "root")
+    return mixed.select(key.alias("key"), "node", "size", "at", "root", "fp", "more")
 
 
 def _all_groups(mixed: DataFrame) -> DataFrame:
@@ -524,7 +532,8 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
     for number in range(STARS + 2):
         if number:
             # keys all of whose nodes are connected stay so
-            mixed = written(_mixed(shared.select("key", "node", "size", "at"), roots), "mixed")
+            facts = roots.join(prints, "node").select("node", "root", "fp", "more") if number <= STARS else roots.select("node", "root")
+            mixed = written(_mixed(shared.select("key", "node", "size", "at"), facts), "mixed")
             dropped(shared, roots)
             shared = mixed
             groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(mixed), None)
