@@ -130,12 +130,24 @@ def identity_audit(features: DataFrame, fake_pairs: DataFrame, margin: float = 0
     return got.crossJoin(F.broadcast(ends)).select("grp", "n", "similarity", verdict.alias("verdict"))  # one row
 
 
+def rated_sample(pairs: DataFrame, per_real: int = 20, per_engine: int = 15, seed: int = 42) -> DataFrame:
+    """A seeded sample of each group's rows with their word error rates, wer. pairs: utt_id, grp ('(real)' or an engine),
+    ref_text, hyp_text."""
+    rows = pairs.where("trim(ref_text) <> ''")
+    few = seeded_sample(rows.where("grp = '(real)'"), "grp", per_real, seed).union(seeded_sample(rows.where("grp <> '(real)'"), "grp", per_engine, seed))
+    return few.withColumn("wer", word_error_rate(words(F.col("ref_text")), words(F.col("hyp_text"))))
+
+
+def worst_sample(rated: DataFrame) -> DataFrame:
+    """grp, utt_id, wer of the worst rated row of all engines, the greatest id of several; no row without rated ones."""
+    worst = F.max_by(F.struct("grp", "utt_id", "wer"), F.struct("wer", "utt_id")).alias("w")
+    return rated.where("grp <> '(real)' and wer is not null").agg(worst).where("w is not null").select("w.*")
+
+
 def pronunciation_audit(pairs: DataFrame, per_real: int = 20, per_engine: int = 15, seed: int = 42) -> DataFrame:
     """grp, n, wer (median), worst (id of the greatest), verdict against the real rows. pairs: utt_id, grp ('(real)' or an
     engine), ref_text, hyp_text."""
-    rows = pairs.where("trim(ref_text) <> ''")
-    few = seeded_sample(rows.where("grp = '(real)'"), "grp", per_real, seed).union(seeded_sample(rows.where("grp <> '(real)'"), "grp", per_engine, seed))
-    rated = few.withColumn("wer", word_error_rate(words(F.col("ref_text")), words(F.col("hyp_text"))))
+    rated = rated_sample(pairs, per_real, per_engine, seed)
     got = rated.groupBy("grp").agg(F.count("wer").alias("n"), F.percentile("wer", F.lit(0.5)).alias("wer"), F.max_by("utt_id", F.struct("wer", "utt_id")).alias("worst"))
     floor = got.where("grp = '(real)'").agg(F.max("wer").alias("floor_"))
     over = F.col("wer") - F.col("floor_")

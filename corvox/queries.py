@@ -641,9 +641,19 @@ f AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY grp ORDER BY sha1(
 m AS (SELECT grp, count(*) AS n, median(wer) AS w FROM f GROUP BY grp), worst AS (SELECT grp, utt_id AS worst FROM f QUALIFY row_number() OVER (PARTITION BY grp ORDER BY wer DESC, utt_id DESC) = 1), e AS (SELECT max(w) FILTER (grp = '(real)') AS fl FROM m)
 SELECT grp, n, round(w, 6) AS wer, worst, CASE WHEN grp = '(real)' OR fl IS NULL THEN CASE WHEN grp = '(real)' THEN '' ELSE 'poor' END WHEN w - fl <= 0.1 THEN 'good' WHEN w - fl <= 0.3 THEN 'fair' ELSE 'poor' END AS verdict FROM m JOIN worst USING (grp), e""")
 def pronunciation_audit(spark, d):
+    return _rounded(features.pronunciation_audit(_spoken(spark, d)), "wer")
+
+
+def _spoken(spark, d):
     grp = F.when(F.col("turn") % 4 == 0, "(real)").otherwise(F.concat(F.lit("eng_"), (F.col("conv_id") % 3).cast("string")))
-    rows = views.hypotheses(spark, d).select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("utt_id"), grp.alias("grp"), "ref_text", "hyp_text")
-    return _rounded(features.pronunciation_audit(rows), "wer")
+    return views.hypotheses(spark, d).select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("utt_id"), grp.alias("grp"), "ref_text", "hyp_text")
+
+
+@query(f"""{WER}, p AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS utt_id, CASE WHEN turn % 4 = 0 THEN '(real)' ELSE 'eng_' || CAST(conv_id % 3 AS VARCHAR) END AS grp, CAST(d AS DOUBLE) / n AS wer FROM s WHERE n > 0),
+f AS (SELECT * FROM p WHERE grp <> '(real)' QUALIFY row_number() OVER (PARTITION BY grp ORDER BY sha1(concat_ws({CH}, '42', utt_id)), utt_id) <= 15)
+SELECT grp, utt_id, round(wer, 6) AS wer FROM f ORDER BY f.wer DESC, utt_id DESC LIMIT 1""")
+def worst_pronunciation(spark, d):
+    return _rounded(features.worst_sample(features.rated_sample(_spoken(spark, d))), "wer")
 
 
 # the names under which whole texts were rated while the two above rated their first words
