@@ -113,9 +113,9 @@ def labelled_folder(spark: SparkSession, root: str) -> DataFrame:
 
 
 def resolve(columns: list[str], candidates: tuple[str, ...]) -> str | None:
-    """The first candidate that is a column, in any case of letters."""
-    lower = {c.lower(): c for c in columns}
-    return next((lower[c] for c in candidates if c in lower), None)
+    """Of the columns that are candidates, in any case of letters, the one that stands first among the candidates."""
+    rank = {c: k for k, c in enumerate(candidates)}
+    return min((c for c in columns if c.lower() in rank), key=lambda c: rank[c.lower()], default=None)
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
