@@ -9,8 +9,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import once
 from ..functions.text import slugify, word_error_rate, words
+from ..tables import held
 from .corpus import pending, seeded_sample
+from .metrics import prefix_sums
 
 POOLING = ("mean", "mean_std", "max", "first")
 
@@ -42,8 +45,8 @@ def pooled(frames: Column, how: str = "mean") -> Column:
     mean = F.transform(F.aggregate(frames, zero, lambda s, v: F.zip_with(s, v, lambda a, b: a + b.cast("double"))), lambda x: x / n)
     if how == "mean":
         return mean
-    squares = F.aggregate(frames, zero, lambda s, v: F.zip_with(s, F.zip_with(v, mean, lambda b, m: (b - m) * (b - m)), lambda a, b: a + b))
-    return F.concat(mean, F.transform(squares, lambda x: F.sqrt(F.greatest(x / n, F.lit(1e-8)))))
+    squares = lambda own: F.aggregate(frames, zero, lambda s, v: F.zip_with(s, F.zip_with(v, own, lambda b, m: (b - m) * (b - m)), lambda a, b: a + b))
+    return once(mean, lambda own: F.concat(own, F.transform(squares(own), lambda x: F.sqrt(F.greatest(x / n, F.lit(1e-8))))))
 
 
 Backbone = Callable[[list[np.ndarray], int], np.ndarray]
@@ -110,13 +113,40 @@ def same_speaker_pairs(features: DataFrame, most: int = 4) -> DataFrame:
     return a.join(b, "speaker").where("a < b").select("a", "b", cosine(F.col("v_a"), F.col("v_b")).alias("similarity"))
 
 
-def cross_speaker_pairs(features: DataFrame, most: int = 200) -> DataFrame:
-    """a, b, similarity for pairs of different speakers, one real row each, of `most` speakers chosen by hash."""
+#: Speakers of one stretch of the circle in cross_speaker_pairs().
+STRETCH = 256
+
+
+def cross_speaker_pairs(features: DataFrame, partners: int | None = 100) -> DataFrame:
+    """a, b, similarity for pairs of different speakers, the first real row of each; a is of the smaller speaker.
+
+    All speakers take part: they stand in a circle in the order of a hash, and each is paired with as many next ones as
+    `partners` says, so with twice as many in all. Up to 2 * partners + 1 speakers these are all pairs; with None they
+    are all pairs of any number. Every speaker counts alike, and the pairs are the same in any partitioning.
+
+    Work is linear in the speakers: the circle is cut in stretches, a row goes to its own and to those whose last places
+    reach it, and pairs are found within a stretch. No speaker and no row: no pairs."""
     real = features.where("label = 'real' and speaker <> ''")
     one = real.groupBy("speaker").agg(F.min_by(F.struct("utt_id", "embedding"), "utt_id").alias("r"))
-    few = one.orderBy(F.sha1("speaker")).limit(most)
-    a, b = (few.select(F.col("speaker").alias(f"s_{k}"), F.col("r.utt_id").alias(k), F.col("r.embedding").alias(f"v_{k}")) for k in "ab")
-    return a.join(F.broadcast(b), F.col("s_a") < F.col("s_b")).select("a", "b", cosine(F.col("v_a"), F.col("v_b")).alias("similarity"))  # `most` rows
+    one = one.select("speaker", "r", F.sha1("speaker").alias("h_"), F.lit(1).cast("long").alias("one_"))
+    placed = held(prefix_sums(one, "h_", ["one_"], descending=False).select("speaker", "r", (F.col("cum_one_") - 1).alias("at_")))
+    half = F.floor(F.col("n_") / 2)
+    size = placed.agg(F.count("*").alias("n_"))
+    rows = placed.crossJoin(F.broadcast(size)).withColumn("reach_", F.least(F.lit(partners).cast("long"), half) if partners is not None else half)  # one row
+    # places whose stretches hold all those that reach a row: every STRETCH-th backwards, the farthest, and, across the
+    # circle's seam, the last place, as the last stretch may be a short one
+    back = F.transform(F.sequence(F.lit(0).cast("long"), F.col("reach_"), F.lit(STRETCH).cast("long")), lambda k: F.pmod(F.col("at_") - k, F.col("n_")))
+    seam = F.when(F.col("at_") < F.col("reach_"), F.array(F.col("n_") - 1)).otherwise(F.array().cast("array<bigint>"))
+    places = F.concat(back, F.array(F.pmod(F.col("at_") - F.col("reach_"), F.col("n_"))), seam)
+    stretches = F.array_distinct(F.transform(places, lambda p: F.floor(p / STRETCH)))
+    a = rows.select(F.floor(F.col("at_") / STRETCH).alias("stretch_"), F.col("at_").alias("at_a"), "n_", "reach_", F.col("speaker").alias("s_a"), F.col("r").alias("r_a"))
+    b = rows.select(F.explode(stretches).alias("stretch_"), F.col("at_").alias("at_b"), F.col("speaker").alias("s_b"), F.col("r").alias("r_b"))
+    apart = F.pmod(F.col("at_b") - F.col("at_a"), F.col("n_"))
+    once = (apart * 2 != F.col("n_")) | (F.col("at_a") < F.col("at_b"))  # opposite places meet from both sides
+    near = a.join(b, "stretch_").where(apart.between(F.lit(1), F.col("reach_")) & once)
+    first = F.col("s_a") < F.col("s_b")
+    ends = [F.when(first, F.col(x)).otherwise(F.col(y)) for x, y in (("r_a", "r_b"), ("r_b", "r_a"))]
+    return near.select(ends[0]["utt_id"].alias("a"), ends[1]["utt_id"].alias("b"), cosine(F.col("r_a.embedding"), F.col("r_b.embedding")).alias("similarity"))
 
 
 def identity_audit(features: DataFrame, fake_pairs: DataFrame, margin: float = 0.05) -> DataFrame:

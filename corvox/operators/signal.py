@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import once
+
 
 @dataclass(frozen=True)
 class AudioSpec:
@@ -64,7 +66,7 @@ def levelled(signal: Column, spec: AudioSpec = SPEC) -> Column:
     ceiling = 10 ** (spec.peak_ceiling_dbfs / 20)
     top = peak(signal) * gain
     scale = F.when(top > ceiling, gain * ceiling / top).otherwise(gain)
-    return F.transform(signal, lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x * scale)))
+    return once(scale, lambda c: F.transform(signal, lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x * c))))
 
 
 def chunks(signal: Column, spec: AudioSpec = SPEC) -> Column:

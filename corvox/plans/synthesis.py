@@ -12,18 +12,11 @@ from pyspark.sql import functions as F
 from ..functions.text import as_sentence, generator_tag, stable_hash, synthesis_key, utterance_id
 from ..operators.corpus import chunk_members, synthesis_pool
 from ..operators.signal import SPEC, AudioSpec, joined, normalized_clips
+from ..sources.layouts import SENTENCES
 
 VARIANTS, GAP, LEAST_REF, TARGET_REF, MOST_REF = 4, 0.3, 3.0, 12.0, 25.0
 #: Short clips of a speaker that references() looks at: four of 3 s and the target itself, and one to spare.
 FEW_SHORT = 6
-#: Sentences for a corpus without transcripts.
-FALLBACK = (
-    "Sáng nay trời trong và gió nhẹ thổi qua dòng sông.",
-    "Chuyến tàu cuối cùng rời ga lúc mười giờ tối hôm qua.",
-    "Mẹ tôi thường nấu canh chua vào những ngày cuối tuần.",
-    "Cuốn sách trên bàn kể về một ngôi làng ven biển.",
-    "Chúng tôi hẹn gặp nhau trước cổng trường vào chiều thứ sáu.",
-)
 
 
 def quota(n_real: int | Column, ratio: float, engines: int, count: int | None = None) -> int | Column:
@@ -47,7 +40,7 @@ def targets(df: DataFrame, count: int, engine: str, least: int = 6, most: int =
     return few.withColumn("at", F.row_number().over(order) - 1).drop("round_", "h_")
 
 
-def fallback_targets(spark: SparkSession, count: int, sentences: tuple[str, ...] = FALLBACK) -> DataFrame:
+def fallback_targets(spark: SparkSession, count: int, sentences: tuple[str, ...] = SENTENCES) -> DataFrame:
     """Sentences over and over, without speaker and real row."""
     texts = F.array(*(F.lit(s) for s in sentences))
     return spark.range(count).select(F.col("id").cast("int").alias("at"), F.element_at(texts, (F.col("id") % len(sentences)).cast("int") + 1).alias("text"), F.lit("").alias("utt_id"), F.lit("").alias("speaker"), F.lit("fallback").alias("source"))
@@ -124,7 +117,7 @@ def reference_audio(chosen: DataFrame, clips: DataFrame, manifest: DataFrame, sp
     return parts.select("utt_id", signal.alias("ref_signal"), F.when(F.size("p_") == 1, F.col("p_")[0]["text_"]).otherwise(said).alias("ref_text"))
 
 
-def plan_all(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40, sentences: tuple[str, ...] = FALLBACK, overwrite: bool = False) -> DataFrame:
+def plan_all(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40, sentences: tuple[str, ...] = SENTENCES, overwrite: bool = False) -> DataFrame:
     """A row for each target: utt_id, ref_utt_id, speaker, source, text, split, voice, generator, refs, at, seconds (of
     the references), status: skip_exists (the manifest has it), skip_no_reference (a cloning engine has nothing to go
     by) or todo."""
@@ -149,7 +142,7 @@ def plan_all(df: DataFrame, engine: str, voices: list[str], count: int, variant_
     return rows.select(F.col("new_").alias("utt_id"), F.col("utt_id").alias("ref_utt_id"), "speaker", "source", "text", "split", "voice", "generator", "refs", "at", "seconds", status.alias("status"))
 
 
-def plan(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40, sentences: tuple[str, ...] = FALLBACK) -> DataFrame:
+def plan(df: DataFrame, engine: str, voices: list[str], count: int, variant_name: str = "", clone: bool = False, least: int = 6, most: int = 40, sentences: tuple[str, ...] = SENTENCES) -> DataFrame:
     """A row for each fake to make: utt_id, ref_utt_id, speaker, source, text, voice, generator, refs. Rows that the
     manifest has already are left out, and, for a cloning engine, targets without a reference.
 

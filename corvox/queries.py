@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from . import views
 from .functions import text as X
-from .operators import augment, corpus, features, metrics, signal, splits
+from .operators import augment, corpus, features, metrics, model, signal, splits
 from .plans import synthesis
 from .schema import engine, label_code, problems
+from .sources import ingest
 from .tables import held
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -328,7 +329,14 @@ def speaker_leaks(spark, d):
 
 @query(f"{FE} SELECT split, label, count(*) AS n, count(*) FILTER (embedding IS NULL) AS dropped FROM features GROUP BY ALL")
 def features_by_split(spark, d):
-    return views.features(spark, d).groupBy("split", "label").agg(F.count("*").alias("n"), F.count_if(F.col("embedding").isNull()).alias("dropped"))
+    rows = views.features(spark, d)
+    return model.feature_gaps(rows, rows)
+
+
+@query(f"{FE} SELECT split, label, count(*) AS n, count(*) FILTER (embedding IS NULL OR speaker IN ('spk-3', 'spk-7')) AS dropped FROM features GROUP BY ALL")
+def feature_gaps(spark, d):
+    rows = views.features(spark, d)
+    return model.feature_gaps(rows, rows.where("speaker not in ('spk-3', 'spk-7')"))
 
 
 @query(f"{US} SELECT speaker FROM split_rows WHERE split = 'train' INTERSECT SELECT speaker FROM split_rows WHERE split = 'test'")
@@ -662,6 +670,75 @@ for _name in ("word_error_rates", "pronunciation_audit"):
     QUERIES[f"{_name}_whole"], ORACLE[f"{_name}_whole"] = QUERIES[_name], ORACLE[_name]
 
 
+# one speaker for each of 97 sets of vectors: more than twice as many as the partners asked for
+@query(f"""{FE}, set_ AS (SELECT 'v' || CAST(CAST(substr(utt_id, 5) AS BIGINT) % 97 AS VARCHAR) AS speaker, utt_id, embedding FROM features),
+one AS (SELECT * FROM set_ QUALIFY row_number() OVER (PARTITION BY speaker ORDER BY utt_id) = 1),
+p AS (SELECT *, row_number() OVER (ORDER BY sha1(speaker)) - 1 AS at, count(*) OVER () AS n FROM one),
+d AS (SELECT a.speaker < b.speaker AS f, a.utt_id AS ua, b.utt_id AS ub, {_cos('a.embedding', 'b.embedding')} AS s FROM p a JOIN p b ON (b.at - a.at + a.n) % a.n BETWEEN 1 AND least(20, a.n // 2) AND (((b.at - a.at + a.n) % a.n) * 2 <> a.n OR a.at < b.at))
+SELECT CASE WHEN f THEN ua ELSE ub END AS a, CASE WHEN f THEN ub ELSE ua END AS b, round(s, 6) AS similarity FROM d""")
+def speaker_circle(spark, d):
+    set_ = F.concat(F.lit("v"), (F.substring("utt_id", 5, 20).cast("long") % 97).cast("string"))
+    rows = views.features(spark, d).withColumns({"speaker": set_, "label": F.lit("real")})
+    return _rounded(features.cross_speaker_pairs(rows, partners=20), "similarity")
+
+
+# ------------------------------------------------------------------ rows that a head is fitted on
+
+TR = "t AS (SELECT utt_id, CAST(CASE WHEN label = 'fake' THEN 1 ELSE 0 END AS DOUBLE) AS y, embedding FROM features WHERE split = 'train' AND embedding IS NOT NULL), c AS (SELECT count(*) FILTER (y = 0) AS n0, count(*) FILTER (y = 1) AS n1 FROM t)"
+
+
+@query(f"{FE}, {TR} SELECT utt_id, y, round(CASE WHEN y = 1 THEN CAST(n0 AS DOUBLE) / n1 ELSE 1 END, 6) AS weight FROM t, c")
+def training_weights(spark, d):
+    rows = views.features(spark, d)
+    return _rounded(model.balanced(model.training_rows(rows, rows, "train"), "linear", 42).select("utt_id", "y", "weight"), "weight")
+
+
+@query(f"""{FE}, {TR}, r AS (SELECT *, CASE WHEN n0 < n1 OR n0 = n1 AND y = 0 THEN 0 ELSE 1 END AS few, CAST(greatest(n0, n1) AS DOUBLE) / least(n0, n1) AS ratio FROM t, c)
+SELECT utt_id, y, CASE WHEN n0 <> n1 AND y = few THEN CAST(floor(ratio) AS BIGINT) + CASE WHEN CAST('0x' || substr(sha1(concat_ws({CH}, '42', utt_id)), 1, 8) AS BIGINT) / 4294967296.0 < ratio - floor(ratio) THEN 1 ELSE 0 END ELSE 1 END AS n FROM r""")
+def oversampled_rows(spark, d):
+    rows = views.features(spark, d)
+    return model.balanced(model.training_rows(rows, rows, "train"), "mlp", 42).groupBy("utt_id", "y").agg(F.count("*").alias("n"))
+
+
+@query(f"""{FE}, v AS (SELECT utt_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM features), m AS (SELECT utt_id, e, list_avg(e) AS a, list_var_pop(e) AS q FROM v)
+SELECT utt_id, round(e[1], 5) AS x, round((e[1] - a) / sqrt(q + 1e-5), 5) AS first, round((e[len(e)] - a) / sqrt(q + 1e-5), 5) AS last, round(list_max(list_transform(e, lambda x: (x - a) / sqrt(q + 1e-5))), 5) AS top FROM m""")
+def layer_normalised(spark, d):
+    got = views.features(spark, d).select("utt_id", F.col("embedding")[0].cast("double").alias("x"), model.layer_norm(F.transform("embedding", lambda x: x.cast("double"))).alias("e"))
+    return got.select("utt_id", F.round("x", 5).alias("x"), F.round(F.col("e")[0], 5).alias("first"), F.round(F.element_at("e", -1), 5).alias("last"), F.round(F.array_max("e"), 5).alias("top"))
+
+
+# ------------------------------------------------------------------ ingest's decisions, with clips counted from the texts' lengths
+
+FILES = """seen AS (SELECT key, speaker, row_number() OVER (ORDER BY key) - 1 AS "at", label = 'fake' AS exists_, n_chars < 60 AS no_audio_, CASE WHEN n_chars < 60 THEN 0 ELSE n_chars // 300 END AS n_clips FROM source_items),
+f AS (SELECT *, coalesce(sum(CASE WHEN exists_ OR n_clips > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY speaker ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) >= 3 AS full_ FROM seen),
+s AS (SELECT *, CASE WHEN full_ THEN 'skip_speaker_full' WHEN exists_ THEN 'skip_exists' WHEN n_clips > 0 THEN 'kept' WHEN no_audio_ THEN 'skip_no_audio' ELSE 'drop_invalid' END AS status FROM f),
+k AS (SELECT *, coalesce(sum(CASE WHEN status = 'kept' THEN n_clips ELSE 0 END) OVER (ORDER BY "at" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s)"""
+
+
+@query(f"{SI}, {FILES} SELECT key, speaker, \"at\", CAST(n_clips AS BIGINT) AS n_clips, CASE WHEN before < 500 THEN status END AS status FROM k")
+def ingest_decisions(spark, d):
+    return ingest.statuses_in_order(_seen(spark, d), 500, 3).select("key", "speaker", "at", "n_clips", "status")
+
+
+@query(f"""{SI}, {FILES} SELECT {', '.join(f"CAST(coalesce(sum(CASE WHEN status = 'kept' THEN n_clips ELSE 1 END) FILTER (status = '{c}'), 0) AS BIGINT) AS {c}" for c in ingest.COUNTERS)}, count(DISTINCT speaker) FILTER (status = 'kept') AS n_speakers,
+count(*) FILTER (status = 'kept') > 0 AND count(DISTINCT speaker) FILTER (status = 'kept') < 3 AS few_speakers, count(*) FILTER (status = 'skip_speaker_full') > 10 * greatest(coalesce(sum(n_clips) FILTER (status = 'kept'), 0), 1) AS tight_cap FROM k""")
+def ingest_counters(spark, d):
+    judged = held(ingest.statuses_in_order(_seen(spark, d), None, 3))
+    return ingest.ingest_report(judged.where("status = 'kept'"), ingest.counted(judged))
+
+
+def _seen(spark, d):
+    rows = views.source_items(spark, d).select("key", "speaker", (F.col("label") == "fake").alias("exists_"), (F.col("n_chars") < 60).alias("no_audio_"), F.when(F.col("n_chars") < 60, 0).otherwise(F.floor(F.col("n_chars") / 300)).cast("long").alias("n_clips"))
+    return metrics.prefix_sums(rows.withColumn("one_", F.lit(1).cast("long")), "key", ["one_"], descending=False).withColumn("at", F.col("cum_one_") - 1).drop("one_", "cum_one_")
+
+
+@query(f"{U} SELECT utt_id, CASE WHEN duration <= 4 THEN 'missing' WHEN duration > 9 THEN 'unreadable' ELSE 'ok' END AS status FROM utterances")
+def file_statuses(spark, d):
+    rows = views.utterances(spark, d).withColumn("path", F.concat("utt_id", F.lit(".wav")))
+    decoded = rows.select(F.col("path").alias("key"), F.when(F.col("duration") > 9, "no audio").alias("error"))
+    return ingest.file_status(rows, rows.where("duration > 4").select(F.col("path").alias("rel")), decoded)
+
+
 # ------------------------------------------------------------------ kernels: no SQL; tests hold them against plain code
 
 

@@ -19,7 +19,7 @@ COUNTERS = ("kept", "drop_invalid", "skip_exists", "skip_no_audio", "skip_speake
 FEW_SPEAKERS, TIGHT_CAP = 3, 10
 
 
-def _judged(seen: DataFrame, limit: int | None, per_speaker: int | None) -> DataFrame:
+def statuses_in_order(seen: DataFrame, limit: int | None, per_speaker: int | None) -> DataFrame:
     """seen: key, speaker, at (place in the source's order), exists_, no_audio_, n_clips (null: not decoded). With the
     status of each file as if they had come one after another: null from where the limit was reached."""
     there = F.col("exists_") | (F.coalesce("n_clips", F.lit(0)) > 0)
@@ -79,7 +79,7 @@ def ingest(items: DataFrame, manifest: DataFrame, source: str, limit: int | None
                 continue  # a speaker may still lack files within the same places
         seen = order.where(F.col("at") < end)
         seen = seen.join(facts, "key", "left") if facts is not None else seen.withColumns({"n_clips": F.lit(None).cast("long"), "no_audio_": F.lit(False)})
-        judged = held(_judged(seen, limit, per_speaker))
+        judged = held(statuses_in_order(seen, limit, per_speaker))
         kept, looked = judged.agg(F.coalesce(F.sum(F.when(F.col("status") == "kept", F.col("n_clips"))), F.lit(0)), F.count("*")).head()
         if end >= total or (limit is not None and kept >= limit):
             break
@@ -95,9 +95,13 @@ def ingest(items: DataFrame, manifest: DataFrame, source: str, limit: int | None
     split = F.col("split_hint") if "split_hint" in items.columns else F.lit("")
     rows = made.select("utt_id", label.alias("label"), F.lit(source).alias("source"), "speaker", "text", generator.alias("generator"), F.lit(language).alias("language"), F.round(F.size("signal") / spec.sample_rate, 3).alias("duration"), F.lit(spec.sample_rate).alias("sample_rate"), split.alias("split"))
     rows = conformed(rows.withColumn("path", audio_path(F.col("utt_id"), F.col("label"), F.col("source"), F.col("speaker"), F.col("generator"), F.lit(""))))
+    return rows, made.select("utt_id", "signal"), counted(judged)
+
+
+def counted(judged: DataFrame) -> DataFrame:
+    """One row, the counters of statuses_in_order(): clips kept, and files of each other status."""
     n = F.when(F.col("status") == "kept", F.col("n_clips")).otherwise(1)
-    counters = judged.agg(*(F.coalesce(F.sum(F.when(F.col("status") == c, n)), F.lit(0)).alias(c) for c in COUNTERS))
-    return rows, made.select("utt_id", "signal"), counters
+    return judged.agg(*(F.coalesce(F.sum(F.when(F.col("status") == c, n)), F.lit(0)).alias(c) for c in COUNTERS))
 
 
 def ingest_report(rows: DataFrame, counters: DataFrame) -> DataFrame:

@@ -143,8 +143,8 @@ def test_sentences_take_the_place_of_missing_targets(spark):
     got = synthesis.plan(df, "tone", ["a", "b"], 7).collect()
     assert {(r.speaker, r.source, r.ref_utt_id) for r in got} == {("", "fallback", "")}
     assert len({r.utt_id for r in got}) == len({(r.text, r.voice) for r in got}) == len(got) == 7
-    assert {r.text for r in got} == set(synthesis.FALLBACK)
-    assert synthesis.plan(df, "tone", ["a", "b"], 100).count() == 10 and synthesis.plan(df, "tone", ["a"], 3, sentences=()).count() == 0
+    assert {r.text for r in got} == set(layouts.SENTENCES[:7]) and len(set(layouts.SENTENCES)) == 20
+    assert synthesis.plan(df, "tone", ["a", "b"], 100).count() == 20 and synthesis.plan(df, "tone", ["a"], 3, sentences=()).count() == 0
     assert synthesis.plan(df, "tone", ["a"], 3, clone=True).count() == 0
     some = make(spark, [row("u0", speaker="s0")])
     assert [r.ref_utt_id for r in synthesis.plan(some, "tone", ["a"], 4).collect()] == ["u0"]
