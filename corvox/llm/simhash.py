@@ -284,18 +284,18 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 def _prefix_entries(texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """texts: node, text. The first shingles of each text, as many as two texts of that similarity must share one of,
     with the size of its set and their places. Any order that is the same for all texts will do: with the shingles
-    that are common in a sample last, few texts meet that aren't alike."""
+    that are common in a sample last, few texts meet that aren't alike. often: the shingle is among these."""
     sent = texts.sparkSession.sparkContext.broadcast(_common(texts, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (common, count), seen = sent.value, set()
         for batch in batches:
-            keys, nodes, sizes, held = [], [], [], 0
+            keys, often, nodes, sizes, held = [], [], [], [], 0
 
             def entries() -> pa.RecordBatch:
                 n = np.array([len(k) for k in keys])
                 at = [np.arange(len(k), dtype=np.int32) for k in keys]
-                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), n)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), n)), pa.array(np.concatenate(at))], ["key", "node", "size", "at"])
+                return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), n)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), n)), pa.array(np.concatenate(at)), pa.array(np.concatenate(often))], ["key", "node", "size", "at", "often"])
 
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
                 if node in seen:
@@ -311,21 +311,26 @@ def _prefix_entries(texts: DataFrame, shingle: int, similarity: float) -> DataFr
                 known = where < len(common)
                 known[known] = common[where[known]] == own[known]
                 rank[known] = count[where[known]]
-                keys.append(own[np.lexsort((own, rank))][: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1])
+                first = np.lexsort((own, rank))[: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]
+                keys.append(own[first])
+                often.append(known[first])
                 nodes.append(node)
                 sizes.append(len(own))
                 held += len(keys[-1])
                 if held >= 1 << 17:
                     yield entries()
-                    keys, nodes, sizes, held = [], [], [], 0
+                    keys, often, nodes, sizes, held = [], [], [], [], 0
             if keys:
                 yield entries()
 
-    return texts.select("node", "text").mapInArrow(lean(run), ENTRY)
+    return texts.select("node", "text").mapInArrow(lean(run), f"{ENTRY}, often boolean")
 
 
 def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> DataFrame:
-    """What of_group yields for the columns (numpy) of each key's entries, one a node, where it has two or more."""
+    """What of_group yields for the columns (numpy) of each key's entries, one a node, where it has two or more.
+
+    Entries with a column often are dealt out by key and node where it is true: so many texts have that key that they
+    aren't brought to one task. of_group gets them in parts, also in parts of one."""
     names = entries.columns
 
     def groups(own: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
@@ -333,7 +338,10 @@ def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> Da
         own = [c[new] for c in own]
         first = np.flatnonzero(np.r_[True, own[0][1:] != own[0][:-1]])
         last = np.r_[first[1:], len(own[0])]
-        for a, b in zip(first[last - first > 1].tolist(), last[last - first > 1].tolist(), strict=True):
+        due = last - first > 1
+        if "often" in names:
+            due |= own[names.index("often")][first]
+        for a, b in zip(first[due].tolist(), last[due].tolist(), strict=True):
             yield from of_group([c[a:b] for c in own])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,11 +380,12 @@ def _by_key(entries: DataFrame, of_group, columns: list[str], schema: str) -> Da
             yield from settled([np.concatenate(c) for c in zip(*rest, strict=True)], True)
 
     n = partitions(entries.sparkSession)
-    return entries.repartition(n, "key").sortWithinPartitions("key", "node").mapInArrow(lean(run), schema)
+    dealt = F.when(F.col("often"), F.xxhash64("key", "node")).otherwise(F.col("key")) if "often" in names else F.col("key")
+    return entries.repartition(n, dealt).sortWithinPartitions("key", "node").mapInArrow(lean(run), schema)
 
 
 def _shared(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
-    yield group
+    yield group[:4]
 
 
 def _middle(group: list[np.ndarray], rows: np.ndarray) -> int:
@@ -443,16 +452,16 @@ def _all_groups(mixed: DataFrame) -> DataFrame:
     return rows.select(F.explode(key).alias("key"), "node", "size", "at", "root")
 
 
-def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, mean_bytes: float) -> DataFrame:
+def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, mean_bytes: float, far: int = FAR) -> DataFrame:
     """pairs (a, b) of nodes, written: those whose texts' shingle sets have that Jaccard similarity.
 
-    The complete distance of the fingerprints leaves out what is further apart than FAR. Other nodes are in blocks of
+    The complete distance of the fingerprints leaves out what is further apart than far. Other nodes are in blocks of
     about BLOCK_BYTES of text at most, more of them where short texts have many pairs, so that a cell of two blocks has
     about CELL_PAIRS at most; a pair is verified in the cell of its two blocks, to which each text that has pairs there
     goes once, however many they are. Sets are compared by 64-bit hashes of shingles."""
     of = lambda x: prints.toDF(x, f"fp_{x}", f"more_{x}")
     apart = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in ("fp", "more")), F.lit(0))
-    pairs = written(pairs.join(of("a"), "a").join(of("b"), "b").where(apart <= FAR).select("a", "b"), "near")
+    pairs = written(pairs.join(of("a"), "a").join(of("b"), "b").where(apart <= far).select("a", "b"), "near")
     met = written(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "met")
     blocks = max(1, math.ceil(met.count() * mean_bytes / BLOCK_BYTES), math.ceil(math.sqrt(2 * pairs.count() / CELL_PAIRS)))
     block = lambda c: F.pmod(F.xxhash64(F.lit(5), c), F.lit(blocks))
@@ -501,25 +510,42 @@ def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int
     return found
 
 
-def _node(text: Column) -> Column:
-    """What stands for a text: 0 for blank ones, else a hash."""
-    return F.when(text.isNull() | text.rlike(r"^[ \t\n\x0B\f\r]*$"), F.lit(0).cast("long")).otherwise(F.xxhash64(text))
+def _node(text: Column, unlike: list[int] | None = None) -> Column:
+    """What stands for a text: 0 for blank ones, else a hash; another one if the first is among unlike."""
+    own = F.xxhash64(text)
+    if unlike:
+        own = F.when(own.isin(unlike), F.xxhash64(F.lit(7), text)).otherwise(own)
+    return F.when(text.isNull() | text.rlike(r"^[ \t\n\x0B\f\r]*$"), F.lit(0).cast("long")).otherwise(own)
+
+
+def _ids(rows: DataFrame) -> tuple[DataFrame, list[int]]:
+    """node, doc_id, n of rows (node, doc_id, text), written, and the nodes that stand for texts whose second hashes
+    differ. Of 10**10 texts three such nodes are to be expected, of 10**9 hardly one."""
+    second = F.when(F.col("node") == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(F.lit(11), "text"))
+    found = written(rows.groupBy("node", "doc_id", second.alias("second")).agg(F.count("*").alias("n")), "ids")
+    unlike = found.groupBy("node").agg(F.min("second").alias("x"), F.max("second").alias("y")).where("x <> y").select("node")
+    return found, [r.node for r in unlike.toLocalIterator()]
 
 
-def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0.75, id_col: str = "doc_id", text_col: str = "text", far: int = FAR) -> DataFrame:
     """docs with one row of each group of near copies: the one with the least id (null last).
 
     Texts link if their sets of five-word shingles have a Jaccard similarity of at least `similarity`, groups are what
     links connect. Candidates are first the links of SimHash fingerprints by multi-index hashing; then, in rounds,
     stars among texts that share a shingle of their prefixes and aren't connected yet; at last all such pairs, which
-    leaves out none. Of these the complete distance of 128-bit fingerprints is verified (FAR or less, which a link
-    exceeds less than once in 10**6 times) and then the similarity itself, on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
-    another text is like them. All blank texts are copies of each other, of which one row stays; of rows that repeat
+    leaves out none. Of these the complete distance of 128-bit fingerprints is verified (`far` or less, which a link
+    exceeds less than once in 10**6 times at 50; with 128 all candidates go on, and the search is exact) and then the
+    similarity itself, on the texts. Texts, not ids, are grouped: rows of one id or none whose texts differ stay unless
+    another text is like them; texts are told apart by two 64-bit hashes. All blank texts are copies of each other, of which one row stays; of rows that repeat
     an id with its text one stays; an empty table stays empty; other columns stay as they are."""
     in_small_batches(docs.sparkSession)
-    rows = id_and_text(docs, id_col, text_col).withColumn("node", _node(F.col("text")))
+    rows = id_and_text(docs, id_col, text_col)
+    ids, unlike = _ids(rows.withColumn("node", _node(F.col("text"))))
+    rows = rows.withColumn("node", _node(F.col("text"), unlike))
+    if unlike:
+        dropped(ids)
+        ids, _ = _ids(rows)
     texts = rows.where("node <> 0").select("node", "text")
-    ids = written(rows.groupBy("node", "doc_id").agg(F.count("*").alias("n")), "ids")
     nodes = ids.select("node").distinct()
     # equal fingerprints and links between fingerprints, each by its least node
     prints = written(_set_prints(texts, shingle).dropDuplicates(["node"]), "prints")
@@ -539,13 +565,13 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
             groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(mixed), None)
             pairs = _by_key(groups, _paired(similarity, star), ["a", "b"], "a long, b long").distinct()
             pairs = written(pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti"), "pairs")
-        similar.append(_similar(pairs, prints, texts, shingle, similarity, n_bytes / max(1, n_rows)))
+        similar.append(_similar(pairs, prints, texts, shingle, similarity, n_bytes / max(1, n_rows), far))
         tested.append(pairs)
         roots = written(nodes.join(components(reduce(DataFrame.union, similar)), "node", "left").select("node", F.coalesce("root", "node").alias("root")), "roots")
     dropped(shared, prints, least, *tested, *similar)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("kept")
     kept = roots.join(ids, "node").groupBy("root").agg(first).select(F.col("kept.doc_id").alias("kept_id"), F.col("kept.node").alias("kept_node"))
-    kept, key = written(kept, "kept"), (docs[id_col].cast("long"), _node(docs[text_col].cast("string")))
+    kept, key = written(kept, "kept"), (docs[id_col].cast("long"), _node(docs[text_col].cast("string"), unlike))
     own = docs.join(kept, key[0].eqNullSafe(kept["kept_id"]) & (key[1] == kept["kept_node"]), "left_semi")
     if ids.where("n > 1").isEmpty():
         return own

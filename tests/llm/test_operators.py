@@ -568,9 +568,37 @@ def test_near_copies_in_large_groups_are_compared_in_parts(spark, monkeypatch):
     for most in (1 << 15, 8):
         monkeypatch.setattr(simhash, "GROUP", most)
         assert sorted(r.doc_id for r in simhash.without_near_copies(docs, similarity=0.8).collect()) == want
+    assert sorted(r.doc_id for r in simhash.without_near_copies(docs, similarity=0.8, far=128).collect()) == want
     assert 1 < len(want) < 80
 
 
+def test_texts_of_one_hash_are_told_apart(spark, monkeypatch):
+    """With a first hash that is the same for all texts of a length, unlike texts stay and equal ones go."""
+    own = simhash._node
+
+    def weak(text, unlike=None):
+        hashed = F.length(text).cast("long")
+        if unlike:
+            hashed = F.when(hashed.isin(unlike), F.xxhash64(F.lit(7), text)).otherwise(hashed)
+        return F.when(own(text) == 0, own(text)).otherwise(hashed)
+
+    monkeypatch.setattr(simhash, "_node", weak)
+    rows = [(k, " ".join(f"{c}{j}" for j in range(20))) for k, c in enumerate("abca")] + [(9, "a single one"), (10, ""), (11, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in simhash.without_near_copies(docs, similarity=0.8).collect()) == [0, 1, 2, 9, 10]
+
+
+def test_keys_that_many_texts_share_are_dealt_out(spark):
+    """Each (key, node) once: of frequent keys all, wherever they are, of others those that two nodes have."""
+    rows = [(1, n % 50, 7, n % 3) for n in range(200)] + [(2, 5, 7, 0), (3, 5, 7, 0), (3, 6, 7, 0), (3, 6, 7, 0), (4, 8, 7, 0)]
+    rows = [(k, n, s, n % 3, k in (1, 4)) for k, n, s, _ in rows]
+    entries = spark.createDataFrame(rows, f"{simhash.ENTRY}, often boolean").repartition(4)
+    got = simhash._by_key(entries, simhash._shared, ["key", "node", "size", "at"], simhash.ENTRY)
+    want = [(1, n, 7, n % 3) for n in range(50)] + [(3, 5, 7, 2), (3, 6, 7, 0), (4, 8, 7, 2)]
+    assert sorted(map(tuple, got.collect())) == want
+    assert got.where("key = 1").select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_verified_pairs_do_not_depend_on_the_cells(spark, monkeypatch):
     """Short texts with many pairs are verified in many cells: the same pairs come out of one cell and of many."""
     rng = random.Random(5)
