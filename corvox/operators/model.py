@@ -14,7 +14,6 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.arrays import once
 from ..functions.text import stable_hash
 from ..schema import label_code
 from .features import dimension_stats, standardised
@@ -40,8 +39,9 @@ def layer_norm(vector: Column) -> Column:
     """Each row's own mean and deviation taken out."""
     n = F.size(vector)
     mean = F.aggregate(vector, F.lit(0.0), lambda s, x: s + x) / n
-    squares = lambda m: F.aggregate(vector, F.lit(0.0), lambda s, x: s + (x - m) * (x - m))
-    return once(mean, lambda m: once(F.sqrt(squares(m) / n + 1e-5), lambda d: F.transform(vector, lambda x: (x - m) / d)))
+    centred = F.zip_with(vector, F.array_repeat(mean, n), lambda x, m: x - m)
+    deviation = F.sqrt(F.aggregate(centred, F.lit(0.0), lambda s, x: s + x * x) / n + 1e-5)
+    return F.zip_with(centred, F.array_repeat(deviation, n), lambda x, d: x / d)
 
 
 def with_features(manifest: DataFrame, features: DataFrame) -> DataFrame:
