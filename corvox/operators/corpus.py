@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.text import is_usable, stable_hash
 from ..schema import problems
 
+#: A number at the very end of an id, and ids with one base that are brought together at most.
+PIECE, PIECES = r"-[0-9]+\z", 1 << 15
+
 
 def where_equal(df: DataFrame, **criteria) -> DataFrame:
     """Rows that have all of these values; a column that doesn't exist is an error at once."""
@@ -69,12 +72,23 @@ def unpaired(df: DataFrame) -> DataFrame:
 
 
 def chunk_members(df: DataFrame) -> DataFrame:
-    """utt_ids that are pieces of a split file: the piece -1 exists, or the id is another's with a number."""
-    ids = df.select("utt_id")
-    first = ids.join(df.select(F.regexp_extract("utt_id", r"^(.*)-1$", 1).alias("utt_id")).where("utt_id <> ''"), "utt_id", "left_semi")
-    base = ids.where(F.col("utt_id").rlike(r"-\d+$")).withColumn("base", F.regexp_replace("utt_id", r"-\d+$", ""))
-    later = base.join(df.select(F.col("utt_id").alias("base")), "base", "left_semi").select("utt_id")
-    return first.union(later).distinct()
+    """utt_ids that are pieces of a split file: the piece -1 exists, or the id is another's with a number.
+
+    What stands before the number may be the same for most ids ("utt" of utt-7), whether it is an id or not: ids are
+    counted by it in each task first, and those of one with more than PIECES are dealt out in parts, or left out where
+    it is no id."""
+    own = F.col("utt_id")
+    base = F.when(own.rlike(PIECE), F.regexp_replace(own, PIECE, ""))
+    said = df.select(F.explode(F.array(F.struct(own.alias("base"), F.lit(True).alias("is_"), F.lit(0).alias("n_")), F.struct(base.alias("base"), F.lit(False).alias("is_"), F.lit(1).alias("n_")))).alias("x"))
+    counts = said.select("x.*").where("base is not null").groupBy("base").agg(F.bool_or("is_").alias("is_"), F.sum("n_").alias("n_"))
+    parts = F.ceil(F.col("n_") / PIECES)
+    many = F.broadcast(counts.where(F.col("n_") > PIECES).select("base", "is_", parts.alias("parts_")))  # a row for each PIECES ids at most
+    found = counts.where("is_ and n_ > 0").select("base", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part_"))
+    rows = df.select(own, base.alias("base")).where("base is not null").join(many, "base", "left").where(F.coalesce("is_", F.lit(True)))
+    part = F.coalesce(F.pmod(F.xxhash64("utt_id"), F.col("parts_")), F.lit(0).cast("long"))
+    later = rows.select("utt_id", "base", part.alias("part_")).join(found, ["base", "part_"], "left_semi")
+    # a first piece that has been found says that of its base too
+    return later.select(F.explode(F.array_compact(F.array("utt_id", F.when(own.endswith("-1"), F.col("base"))))).alias("utt_id")).distinct()
 
 
 def speaker_leaks(df: DataFrame) -> DataFrame:

@@ -118,6 +118,16 @@ def test_splits_are_disjoint_and_do_not_depend_on_partitions(spark):
     assert got["s1"] == got["s2"] == "test" and sum(s == "val" for s in got.values()) == 5
 
 
+def test_chunk_members_with_many_pieces_of_one_base(spark, monkeypatch):
+    monkeypatch.setattr(corpus, "PIECES", 3, raising=False)
+    names = [f"utt-{k}" for k in range(2, 30)] + ["a", *(f"a-{k}" for k in range(20)), "b", "b-2", "c-1", "d-1-1", "d-1", "", "-1", "e\n", "e\n-1", "f-1\n", "f"]
+    known = set(names)
+    base = {n: n.rpartition("-")[0] for n in names if "-" in n and n.rpartition("-")[2].isdecimal() and n[-1] != "\n"}
+    want = {n for n in names if n + "-1" in known or base.get(n) in known}
+    got = corpus.chunk_members(spark.createDataFrame([(n,) for n in names], "utt_id string").union(spark.createDataFrame([(None,), ("b-2",)], "utt_id string"))).collect()
+    assert {r.utt_id for r in got} == want and len(got) == len(want) and {"", "-1", "e\n", "a", "a-19"} <= want and not {"utt-2", "c-1", "f-1\n"} & want
+
+
 def test_round_robin_and_references_against_loops(spark):
     rows = [row(f"u{k:03d}", speaker=f"s{k % 7 % 4}", duration=3.0 + k % 6) for k in range(60)] + [row("long", speaker="s0", duration=20.0), row("long-1", speaker="s0")]
     df = make(spark, rows)
