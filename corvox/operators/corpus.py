@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.text import is_usable, stable_hash
 from ..schema import problems
 
+#: Parts in which rows that have no parent are dealt out.
+SPREAD = 1 << 13
 #: A number at the very end of an id, and ids with one base that are brought together at most.
 PIECE, PIECES = r"-[0-9]+\z", 1 << 15
 
@@ -54,9 +56,14 @@ def pending(batch: DataFrame, existing: DataFrame, key: str = "utt_id") -> DataF
 
 
 def with_parent(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df, with these columns taken from the parent where a row has one: children follow their parent."""
-    parent = df.where("augment = ''").select(F.col("utt_id").alias("parent_utt_id"), *(F.col(c).alias(f"parent_{c}") for c in columns))
-    joined = df.join(parent, "parent_utt_id", "left")
+    """df, with these columns taken from the parent where a row has one: children follow their parent.
+
+    Most rows name no parent. They are dealt out by their own ids in SPREAD parts, so that they don't meet in one task;
+    a parent whose id is empty goes to each part."""
+    every = F.when(F.col("utt_id") == "", F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    parent = df.where("augment = ''").select(F.col("utt_id").alias("parent_utt_id"), *(F.col(c).alias(f"parent_{c}") for c in columns), F.explode(every).alias("part_"))
+    rows = df.withColumn("part_", F.when(F.coalesce("parent_utt_id", F.lit("")) == "", F.pmod(F.xxhash64("utt_id"), F.lit(SPREAD).cast("long"))).otherwise(F.lit(0).cast("long")))
+    joined = rows.join(parent, ["parent_utt_id", "part_"], "left")
     return joined.select(*(F.coalesce(f"parent_{c}", c).alias(c) if c in columns else c for c in df.columns))
 
 

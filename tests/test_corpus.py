@@ -128,6 +128,24 @@ def test_chunk_members_with_many_pieces_of_one_base(spark, monkeypatch):
     assert {r.utt_id for r in got} == want and len(got) == len(want) and {"", "-1", "e\n", "a", "a-19"} <= want and not {"utt-2", "c-1", "f-1\n"} & want
 
 
+def test_rows_without_a_parent_are_dealt_out(spark):
+    df = make(spark, [row(f"u{k:03d}", split="train" if k % 2 else "test") for k in range(400)] + [row("c", augment="x", parent_utt_id="u001"), row("d", augment="x", parent_utt_id="none", split="val"), row("e", augment="x", parent_utt_id=None, split="val")])
+    own = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(own, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        got = corpus.with_parent(df, ["split"]).select("utt_id", "split", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+    assert max(sum(r.task == t for r in got) for t in {r.task for r in got}) < 200
+    split = {r.utt_id: r.split for r in got}
+    assert len(got) == len(split) == 403 and (split["c"], split["d"], split["e"], split["u001"], split["u002"]) == ("train", "val", "val", "train", "test")
+    # an empty id is a parent like any other
+    odd = make(spark, [row("", split="val"), *(row(f"u{k}", split="test") for k in range(20))])
+    assert {r.split for r in corpus.with_parent(odd, ["split"]).collect()} == {"val"}
+
+
 def test_round_robin_and_references_against_loops(spark):
     rows = [row(f"u{k:03d}", speaker=f"s{k % 7 % 4}", duration=3.0 + k % 6) for k in range(60)] + [row("long", speaker="s0", duration=20.0), row("long-1", speaker="s0")]
     df = make(spark, rows)
