@@ -13,6 +13,7 @@ from ..functions.text import as_sentence, generator_tag, stable_hash, synthesis_
 from ..operators.corpus import chunk_members, synthesis_pool
 from ..operators.signal import SPEC, AudioSpec, joined, normalized_clips
 from ..sources.layouts import SENTENCES
+from ..tables import held
 
 VARIANTS, GAP, LEAST_REF, TARGET_REF, MOST_REF = 4, 0.3, 3.0, 12.0, 25.0
 #: Short clips of a speaker that references() looks at: four of 3 s and the target itself, and one to spare.
@@ -86,6 +87,8 @@ def references(df: DataFrame, wanted: DataFrame) -> DataFrame:
     over. No row where there is none. A speaker with many rows, long clips among them or not, costs no more than the
     candidates that can be taken."""
     usable = df.where((F.col("label") == "real") & (F.col("augment") == "") & (F.trim("text") != "") & F.col("duration").between(LEAST_REF, MOST_REF))
+    asked = held(wanted.select("utt_id", "speaker", variant(F.col("utt_id")).alias("variant")))  # read twice, and targets are made of all rows
+    usable = usable.join(asked.select("speaker").distinct(), "speaker", "left_semi")  # other speakers' clips are no candidates
     usable = usable.join(chunk_members(df), "utt_id", "left_anti").select("speaker", F.col("utt_id").alias("ref"), "duration")
     lists = _candidates(usable).groupBy("speaker", "variant").agg(F.sort_array(F.collect_list(F.struct("h_", "ref", "duration"))).alias("list_"))
     # the target's id goes along in the state: a lambda that takes it from the row lets the filter below be pushed to a side without it
@@ -96,7 +99,6 @@ def references(df: DataFrame, wanted: DataFrame) -> DataFrame:
         skip = (s["seconds"] >= TARGET_REF) | (x["ref"] == s["own"]) | ((F.size(s["refs"]) > 0) & (s["seconds"] + more > MOST_REF))
         return F.when(skip, s).otherwise(F.struct(s["own"].alias("own"), F.concat(s["refs"], F.array(x["ref"])).alias("refs"), (s["seconds"] + more).alias("seconds")))
 
-    asked = wanted.select("utt_id", "speaker").withColumn("variant", variant(F.col("utt_id")))
     chosen = asked.join(lists, ["speaker", "variant"]).select("utt_id", F.aggregate("list_", start, step).alias("s"))
     return chosen.where(F.size("s.refs") > 0).select("utt_id", "s.refs", "s.seconds")
 

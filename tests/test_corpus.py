@@ -146,6 +146,13 @@ def test_rows_without_a_parent_are_dealt_out(spark):
     assert {r.split for r in corpus.with_parent(odd, ["split"]).collect()} == {"val"}
 
 
+def test_only_wanted_speakers_have_candidates(spark, monkeypatch):
+    df, seen, real = make(spark, [row(f"u{k}", speaker=f"s{k % 5}") for k in range(40)]), [], synthesis._candidates
+    monkeypatch.setattr(synthesis, "_candidates", lambda usable: seen.append({r.speaker for r in usable.collect()}) or real(usable))
+    got = synthesis.references(df, df.where("speaker = 's1'").select("utt_id", "speaker")).collect()
+    assert len(got) == 8 and seen == [{"s1"}]
+
+
 def test_round_robin_and_references_against_loops(spark):
     rows = [row(f"u{k:03d}", speaker=f"s{k % 7 % 4}", duration=3.0 + k % 6) for k in range(60)] + [row("long", speaker="s0", duration=20.0), row("long-1", speaker="s0")]
     df = make(spark, rows)
