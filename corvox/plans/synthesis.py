@@ -124,7 +124,7 @@ def plan_all(df: DataFrame, engine: str, voices: list[str], count: int, variant_
     the references), status: skip_exists (the manifest has it), skip_no_reference (a cloning engine has nothing to go
     by) or todo."""
     split = F.col("split") if "split" in df.columns else F.lit("")
-    own = targets(df, count, engine, least, most).select("utt_id", "speaker", "source", "text", split.alias("split"), "at")
+    own = held(targets(df, count, engine, least, most).select("utt_id", "speaker", "source", "text", split.alias("split"), "at"))  # read in several places
     if sentences:
         spare = fallback_targets(df.sparkSession, min(count, math.lcm(len(sentences), max(1, len(voices)))), sentences)
         any_own = F.broadcast(own.limit(1).select(F.lit(True).alias("own_")))  # a row at most

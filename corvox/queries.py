@@ -509,10 +509,10 @@ SELECT count(*) FILTER ("at" < 300) AS skip_exists, count(*) FILTER ("at" >= 300
 def generation_counters(spark, d):
     """What becomes of the targets of a cloning engine that has made the first 300 already."""
     rows = views.utterances(spark, d)
-    options = dict(clone=True, least=6, most=60)
-    made = synthesis.plan_all(rows, "eng_x", ["v0", "v1"], 2000, **options).where("at < 300").select("utt_id")
+    options = dict(least=6, most=60)
+    made = synthesis.plan_all(rows, "eng_x", ["v0", "v1"], 2000, **options).where("at < 300").select("utt_id")  # ids don't depend on references
     made = held(made)  # the manifest is read in many places, and this plan would be made in each
-    got = synthesis.plan_all(rows.unionByName(made, allowMissingColumns=True), "eng_x", ["v0", "v1"], 2000, **options)
+    got = synthesis.plan_all(rows.unionByName(made, allowMissingColumns=True), "eng_x", ["v0", "v1"], 2000, clone=True, **options)
     mean = F.round(F.avg(F.when(F.col("status") == "todo", F.col("seconds"))), 6).alias("mean_reference")
     return got.agg(*(F.count_if(F.col("status") == s).alias(s) for s in ("skip_exists", "skip_no_reference", "todo")), mean)
 

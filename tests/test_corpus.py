@@ -153,6 +153,13 @@ def test_only_wanted_speakers_have_candidates(spark, monkeypatch):
     assert len(got) == 8 and seen == [{"s1"}]
 
 
+def test_counters_look_for_references_once(spark, monkeypatch):
+    calls, real = [], synthesis.references
+    monkeypatch.setattr(synthesis, "references", lambda *a: calls.append(1) or real(*a))
+    (got,) = queries.QUERIES["generation_counters"](spark, "/root/testdata/sf0.001").collect()
+    assert len(calls) == 1 and got.skip_exists > 0 and got.todo > 0
+
+
 def test_round_robin_and_references_against_loops(spark):
     rows = [row(f"u{k:03d}", speaker=f"s{k % 7 % 4}", duration=3.0 + k % 6) for k in range(60)] + [row("long", speaker="s0", duration=20.0), row("long-1", speaker="s0")]
     df = make(spark, rows)
