@@ -226,6 +226,8 @@ CELL_PAIRS = 1 << 14
 #: Of 128 bits: texts of a similarity of 0.75 or more differ in 24 on average, unlike ones in 64.
 FAR = 50
 ENTRY = "key long, node long, size int, at int"
+#: First keys of a node by which a pair that another key has already is known.
+LEADS = 8
 
 
 def shingle_set(text: str | None, shingle: int) -> set[bytes]:
@@ -397,13 +399,17 @@ def _middle(group: list[np.ndarray], rows: np.ndarray) -> int:
 def _paired(similarity: float, star: int | None = None):
     """Of one group's entries, the pairs (a, b) of nodes of different roots that can be similar by sizes and by what
     can follow the key in both. star: not all pairs, but each node with one of those that its size allows; which one
-    depends on the number, so that rounds differ."""
+    depends on the number, so that rounds differ. Without it, entries have their key (column 5) and their nodes' leads
+    (columns 6 on): two texts share many keys, and a key at which the leads of both have an earlier one yields no pair,
+    as that one does; of two shared keys the earlier is earlier in both, and passes if the later does."""
 
     def pairs(group: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
         order = np.argsort(group[2], kind="stable")
         node, size, at, root = group[1][order], group[2][order].astype(np.int64), group[3][order].astype(np.int64), group[4][order]
         if (root == root[0]).all():
             return
+        if star is None:
+            of, leads = group[5][order], np.column_stack([c[order] for c in group[6:]])
         ends = np.searchsorted(size, size / similarity + 1e-6, side="right")
         k = 0
         while k < len(node):
@@ -414,7 +420,12 @@ def _paired(similarity: float, star: int | None = None):
                 one, among = k + (star * 7919 % (end - k) if end - k < MANY else _middle(group, order[k:end])), slice(k, end)
             most = np.minimum(size[one] - at[one], size[among] - at[among])
             due = similarity / (1 + similarity) * (size[one] + size[among]) - 1e-6
-            to = node[among][(most >= due) & (root[among] != root[one])]
+            able = (most >= due) & (root[among] != root[one])
+            if star is None and able.any():
+                own = leads[one]
+                before = own[: int((own == of[one]).argmax()) if (own == of[one]).any() else len(own)]
+                able &= ~(leads[among][:, :, None] == before).any((1, 2))
+            to = node[among][able]
             if len(to):
                 yield [np.minimum(to, node[one]), np.maximum(to, node[one])]
             k = k + 1 if star is None else end
@@ -449,7 +460,14 @@ def _all_groups(mixed: DataFrame) -> DataFrame:
     with_each = F.transform(F.filter(every, lambda p: p != own), lambda p: F.xxhash64(F.col("key"), F.least(own, p), F.greatest(own, p)))
     with_main = F.transform(F.when(F.col("root") == F.col("main"), F.array(own)).otherwise(every), lambda p: F.xxhash64("key", p))
     key = F.when(F.col("main").isNull(), F.array("key")).when(F.col("n") - F.col("most") <= GROUP, with_main).otherwise(with_each)
-    return rows.select(F.explode(key).alias("key"), "node", "size", "at", "root")
+    return rows.select(F.explode(key).alias("key"), "node", "size", "at", "root", F.col("key").alias("of"), *(f"lead_{k}" for k in range(LEADS)))
+
+
+def _with_leads(mixed: DataFrame) -> DataFrame:
+    """Entries with the first LEADS keys of their nodes, in the order of all prefixes; the first again where there are fewer."""
+    first = F.slice(F.sort_array(F.collect_list(F.struct("at", "key"))), 1, LEADS)["key"]
+    leads = mixed.groupBy("node").agg(first.alias("own")).select("node", *(F.coalesce(F.get("own", F.lit(k)), F.col("own")[0]).alias(f"lead_{k}") for k in range(LEADS)))
+    return mixed.join(leads, "node")
 
 
 def _similar(pairs: DataFrame, prints: DataFrame, texts: DataFrame, shingle: int, similarity: float, mean_bytes: float, far: int = FAR) -> DataFrame:
@@ -562,7 +580,7 @@ def without_near_copies(docs: DataFrame, shingle: int = 5, similarity: float = 0
             mixed = written(_mixed(shared.select("key", "node", "size", "at"), facts), "mixed")
             dropped(shared, roots)
             shared = mixed
-            groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(mixed), None)
+            groups, star = (_star_groups(mixed, number), number) if number <= STARS else (_all_groups(_with_leads(mixed)), None)
             pairs = _by_key(groups, _paired(similarity, star), ["a", "b"], "a long, b long").distinct()
             pairs = written(pairs.join(reduce(DataFrame.union, tested), ["a", "b"], "left_anti"), "pairs")
         similar.append(_similar(pairs, prints, texts, shingle, similarity, n_bytes / max(1, n_rows), far))

@@ -547,6 +547,20 @@ def test_unlike_rows_without_ids_or_with_one_stay(spark):
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(None, word(1, 30)), (9, word(2, 30) + " tail"), (None, word(3, 30)), (7, word(4, 30)), (7, word(5, 30))], key=repr)
 
 
+def test_pairs_that_share_many_shingles_are_made_once():
+    """Texts of one root each: every two share keys 10 to 39 in order, and some keys before them."""
+    rng, n = np.random.default_rng(3), 12
+    keys = [sorted({*rng.choice(10, 3, replace=False).tolist(), *range(10, 40)}) for _ in range(n)]
+    made = []
+    for key in range(40):
+        has = [x for x in range(n) if key in keys[x]]
+        leads = np.array([keys[x][:8] for x in has]).T
+        group = [np.full(len(has), key), np.array(has), np.full(len(has), 400), np.array([keys[x].index(key) for x in has]), np.array(has), np.full(len(has), key), *leads]
+        if len(has) > 1:
+            made += [p for a, b in simhash._paired(0.8)(group) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert set(made) == {(a, b) for b in range(n) for a in range(b)} and len(made) == len(set(made))
+
+
 def test_near_copies_in_large_groups_are_compared_in_parts(spark, monkeypatch):
     """The same rows stay however few entries are compared at once."""
     rng = random.Random(12)
